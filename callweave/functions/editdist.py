@@ -1,8 +1,8 @@
 """Edit distances between token sequences.
 
 Short pairs stay in the JVM: every distinct word of a pair becomes one character and Spark's ``levenshtein`` runs on
-the coded strings.  Long pairs (and hit/substitution counts, which ``levenshtein`` cannot give) use a banded
-dynamic programme in Arrow batches, one pair per row.
+the coded strings.  Long pairs run a bit-vector pass in Arrow batches, one pair per row; hit and substitution counts,
+which a distance cannot give, run a banded dynamic programme there.
 """
 
 from __future__ import annotations
@@ -13,8 +13,13 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-JVM_CELLS = 4_000_000
-JVM_CODES = 35_000
+JVM_CELLS = 250_000
+JVM_CHAR_CELLS = 1_000_000
+
+
+def bind(value: Column, body) -> Column:
+    """Evaluates ``value`` once and hands it to ``body``; without this a lambda re-evaluates it per element."""
+    return F.element_at(F.transform(F.array(value), body), 1)
 
 
 def coded(words: Column, vocabulary: Column) -> Column:
@@ -32,7 +37,7 @@ def encode_pair(ref: list, hyp: list) -> tuple[np.ndarray, np.ndarray]:
 def edit_counts(ref: list, hyp: list) -> tuple[int, int]:
     """(distance, hits): the fewest edits and, among those alignments, the most matched tokens.
 
-    One cost orders both: an edit costs ``unit``, a match -1.  Only a band around the diagonal is filled; it doubles
+    One cost orders both: an edit costs ``unit``, a match -1.  Only a band around the diagonal is filled; it widens
     until the distance fits inside, which makes the result exact."""
     a, b = encode_pair(ref, hyp)
     short = min(len(a), len(b))
@@ -47,13 +52,13 @@ def edit_counts(ref: list, hyp: list) -> tuple[int, int]:
     if not n or not m:
         return max(n, m), head + tail
     unit = n + m + 1
-    band = max(32, abs(n - m))
+    band = max(256, abs(n - m))
     while True:
         cost = _banded(a, b, unit, band)
         distance = -(-cost // unit)
         if distance <= band or band >= max(n, m):
             return distance, head + tail + distance * unit - cost
-        band *= 2
+        band *= 4
 
 
 def _banded(a: np.ndarray, b: np.ndarray, unit: int, band: int) -> int:
@@ -76,6 +81,41 @@ def _banded(a: np.ndarray, b: np.ndarray, unit: int, band: int) -> int:
     return int(row[m])
 
 
+def edit_distance(ref, hyp) -> int:
+    """Edit distance alone, by bit vectors over the reference (Myers 1999, Hyyro 2003): one pass over the hypothesis with
+    whole-column integer operations."""
+    if not len(ref) or not len(hyp):
+        return max(len(ref), len(hyp))
+    spots: dict = {}
+    for i, token in enumerate(ref):
+        spots.setdefault(token, []).append(i)
+    size = len(ref) // 8 + 1
+    match = {}
+    for token, where in spots.items():
+        bits = bytearray(size)
+        for i in where:
+            bits[i >> 3] |= 1 << (i & 7)
+        match[token] = int.from_bytes(bits, "little")
+    full, top = (1 << len(ref)) - 1, 1 << (len(ref) - 1)
+    up, down, score = full, 0, len(ref)
+    for token in hyp:
+        eq = match.get(token, 0)
+        flat = eq | down
+        cross = (((eq & up) + up) ^ up) | eq
+        rise = down | (full & ~(cross | up))
+        fall = up & cross
+        score += 1 if rise & top else -1 if fall & top else 0
+        rise = ((rise << 1) | 1) & full
+        up = ((fall << 1) & full) | (full & ~(flat | rise))
+        down = rise & flat
+    return score
+
+
+@F.pandas_udf(T.LongType())
+def _distance(ref: pd.Series, hyp: pd.Series) -> pd.Series:
+    return pd.Series([None if r is None or h is None else edit_distance(r, h) for r, h in zip(ref, hyp)], dtype="Int64")
+
+
 COUNTS = T.StructType([T.StructField(n, T.LongType()) for n in ("distance", "hits", "ref_len", "hyp_len")])
 
 
@@ -103,19 +143,18 @@ def edit_breakdown(ref: Column, hyp: Column) -> Column:
 
 
 def word_distance(ref: Column, hyp: Column) -> Column:
-    """Word-level edit distance of two word arrays."""
-    vocabulary = F.array_distinct(F.concat(ref, hyp))
-    small = (F.size(ref) * F.size(hyp) <= JVM_CELLS) & (F.size(vocabulary) <= JVM_CODES)
-    fast = F.when(small, F.levenshtein(coded(ref, vocabulary), coded(hyp, vocabulary)).cast("long"))
-    return F.coalesce(fast, _pair_counts(F.when(~small, ref), F.when(~small, hyp))["distance"])
+    """Word-level edit distance of two word arrays.  Pass materialised columns: each is read several times."""
+    small = F.size(ref) * F.size(hyp) <= JVM_CELLS
+    pair = F.struct(ref.alias("r"), hyp.alias("h"), F.array_distinct(F.concat(ref, hyp)).alias("v"))
+    fast = F.when(small, bind(pair, lambda p: F.levenshtein(coded(p["r"], p["v"]), coded(p["h"], p["v"])).cast("long")))
+    return F.coalesce(fast, _distance(F.when(~small, ref), F.when(~small, hyp)))
 
 
 def char_distance(ref: Column, hyp: Column) -> Column:
     """Character-level edit distance of two texts."""
-    small = F.length(ref).cast("long") * F.length(hyp) <= JVM_CELLS * 4
+    small = F.length(ref).cast("long") * F.length(hyp) <= JVM_CHAR_CELLS
     fast = F.when(small, F.levenshtein(ref, hyp).cast("long"))
-    chars = lambda t: F.when(~small, F.filter(F.split(t, ""), lambda c: c != ""))
-    return F.coalesce(fast, _pair_counts(chars(ref), chars(hyp))["distance"])
+    return F.coalesce(fast, _distance(F.when(~small, ref), F.when(~small, hyp)))
 
 
 def error_rate(distance: Column, ref_len: Column, hyp_len: Column) -> Column:

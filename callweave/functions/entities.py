@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from callweave.functions import fixed_values as fv
+from callweave.functions.editdist import bind
 from callweave.functions.text import normalize, normalize_v1
 
 CLASSES_6 = [*fv.ENTITY_PATTERNS, "person_names", "company_product", "tickers"]
@@ -47,12 +48,22 @@ def entities_7(text: Column, names: dict[str, list[str]] = fv.ENTITY_NAMES_7, pa
     return F.create_map(*parts)
 
 
+def normal_lists(entities: Column) -> Column:
+    return F.transform_values(entities, lambda _, found: F.transform(found, lambda e: normalize_v1(e)))
+
+
+def _hits(ref: Column, hyp: Column) -> Column:
+    """How many hypothesis entries occur in the reference."""
+    return bind(ref, lambda r: F.size(F.filter(hyp, lambda e: F.array_contains(r, e))))
+
+
 def weighted_accuracy(ref: Column, hyp: Column) -> Column:
-    """Array of (class, ref_count, hyp_count, correct, accuracy, weight) for two seven-class maps."""
+    """Array of (class, ref_count, hyp_count, correct, accuracy, weight) for two maps of ``normal_lists``; pass
+    materialised columns."""
     rows = []
     for name, weight in fv.ENTITY_WEIGHTS:
-        r, h = (F.transform(side[name], normalize_v1) for side in (ref, hyp))
-        correct = F.size(F.filter(h, lambda e, r=r: F.array_contains(r, e)))
+        r, h = ref[name], hyp[name]
+        correct = _hits(r, h)
         accuracy = F.when(F.size(r) == 0, F.when(F.size(h) == 0, 1.0).otherwise(0.95)).otherwise(
             F.round(F.least(F.lit(1.0), correct / F.greatest(F.lit(1), F.size(r))), 4))
         correct = F.when(F.size(r) == 0, 0).otherwise(correct)
@@ -79,7 +90,7 @@ def limited_matches(found: DataFrame, keys: list[str], hyp: str = "hyp_norm") ->
     ``found``: keys, ``entities`` (class -> list) and the normalised hypothesis text.  Occurrences are counted per row, so
     a hypothesis text is never copied per entity."""
     long = found.select(*keys, hyp, F.explode("entities").alias("class", "_items"))
-    normal = F.filter(F.transform("_items", normalize), lambda e: e != "")
+    normal = F.filter(F.transform("_items", lambda e: normalize(e)), lambda e: e != "")
     counted = F.transform(
         F.array_distinct("_n"),
         lambda e: F.struct(

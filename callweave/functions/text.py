@@ -136,7 +136,7 @@ def raw_clean(text: Column, is_reference: bool = False) -> Column:
 
 def normalize_v1(text: Column) -> Column:
     """First-generation normaliser: also spells digits for small number words and drops more fillers."""
-    text = expand_contractions(F.lower(F.coalesce(text, F.lit(""))), fv.CONTRACTIONS_V1)
+    text = expand_fast(F.lower(F.coalesce(text, F.lit(""))), fv.CONTRACTIONS_V1)
     number = r"([0-9]+(?:\.[0-9]+)?)"
     large = [("billion", "b"), ("million", "m"), ("thousand", "k")]
     for word, letter in large:
@@ -148,8 +148,7 @@ def normalize_v1(text: Column) -> Column:
     text = F.regexp_replace(text, rf"{number}\s*%", "$1 percent")
     for digit, word in enumerate(fv.NUMBER_WORDS):
         text = F.regexp_replace(text, _word_rule(word), str(digit))
-    for filler in fv.FILLERS_V1:
-        text = F.regexp_replace(text, _word_rule(filler), "")
+    text = F.regexp_replace(text, _word_rule("(?:" + "|".join(fv.FILLERS_V1) + ")"), "")
     text = F.regexp_replace(text, r"[^\p{L}\p{N}_\s.]", " ")
     text = F.regexp_replace(text, r"(?<!\d)\.|\.(?!\d)", " ")
     return squeeze(text)
@@ -158,7 +157,7 @@ def normalize_v1(text: Column) -> Column:
 def split_reference(text: Column) -> tuple[Column, Column]:
     """(remarks, questions) of a published transcript: at the first Q&A cue line, else at half of its lines."""
     cue = F.regexp_extract(text, fv.REFERENCE_QA_LINE, 0)
-    at = F.locate(cue, text) if isinstance(cue, str) else F.instr(text, cue)
+    at = F.instr(text, cue)
     lines = F.split(text, "\n")
     half = F.floor(F.size(lines) * 0.5).cast("int")
     found = cue != ""

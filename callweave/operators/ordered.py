@@ -22,6 +22,13 @@ def slice_by(df: DataFrame, position: str, width: float = SLICE_ROWS) -> DataFra
     return df.withColumn(SLICE, F.floor(F.col(position) / F.lit(width)).cast("long"))
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Rows spread by key over all shuffle partitions, ahead of work whose cost is the text, not the bytes.  The fixed
+    partition count keeps the runtime planner from folding small inputs into one task."""
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(n, *keys)
+
+
 def neighbour(df: DataFrame, keys: list[str], order: list[str], take: dict[str, Column], ahead: bool) -> DataFrame:
     """Adds the ``take`` expressions of the next (``ahead``) or previous row of the same group; null at the rim."""
     packed = F.struct(*[expr.alias(name) for name, expr in take.items()])

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from callweave.plans import operations, transcripts
+from callweave.plans import operations, scoring, transcripts
 
-MODULES = [transcripts, operations]
+MODULES = [transcripts, operations, scoring]
 
 
 def queries() -> dict:

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import decimal
 import math
+import os
 import sys
+import threading
 import time
 
 import duckdb
@@ -80,10 +82,13 @@ if __name__ == "__main__":
     for name, build in entry.queries().items():
         if only and not any(name.startswith(o) for o in only):
             continue
+        watch = threading.Timer(float(os.environ.get("QUERY_SEC", "90")), spark.sparkContext.cancelAllJobs)
+        watch.start()
         try:
             ok, line = compare(spark, con, folder, name, build, sql.get(name))
         except Exception as e:  # report and go on
             ok, line = False, f"{name}: ERROR {type(e).__name__} {str(e)[:1200]}"
+        watch.cancel()
         bad += not ok
         print(("ok   " if ok else "FAIL ") + line, flush=True)
     print("bad", bad)
