@@ -47,22 +47,26 @@ def dictionary_counts(texts: DataFrame, phrases: DataFrame, key: str, longest: i
     return grouped.select(key, "phrase", F.when(F.size("_at") > 0, apart).otherwise(F.col("_all")).cast("long").alias("n"))
 
 
+def _runs_of(text: str, w: int) -> Column:
+    """All character runs of length ``w`` of a text column."""
+    some = F.transform(F.sequence(F.lit(1), F.length(text) - w + 1), lambda i: F.substring(F.col(text), i, F.lit(w)))
+    return F.when(F.length(text) >= w, some).otherwise(F.array().cast("array<string>"))
+
+
 def containing(texts: DataFrame, key: str, text: str, phrases: DataFrame, phrase: str, width: int = 6) -> DataFrame:
     """Pairs (text, phrase) where the text contains the phrase anywhere.
 
     Both sides meet on the phrase's first ``width`` characters (shorter phrases on all of theirs), so only texts that
     hold such a run are compared; nothing is paired blindly."""
-    widths = F.array(*[F.lit(w) for w in range(1, width + 1)])
-    needles = phrases.where(F.length(phrase) > 0).select(
-        *phrases.columns, F.substring(F.col(phrase), 1, width).alias(GRAM))
-    used = F.least(F.length(phrase), F.lit(width)).alias("w")
-    lengths = phrases.where(F.length(phrase) > 0).agg(F.collect_set(used)).scalar()
-    grams = F.flatten(F.transform(
-        F.array_intersect(widths, lengths),
-        lambda w: F.when(
-            F.length(text) >= w,
-            F.transform(F.sequence(F.lit(1), F.length(text) - w + 1), lambda i: F.substring(F.col(text), i, w)),
-        ).otherwise(F.array().cast("array<string>")),
-    ))
-    runs = texts.select(*texts.columns, F.explode(F.array_distinct(grams)).alias(GRAM))
-    return runs.join(needles, GRAM).where(F.contains(F.col(text), F.col(phrase))).drop(GRAM)
+    def runs(widths: list[int]) -> DataFrame:
+        grams = F.flatten(F.array(*[_runs_of(text, w) for w in widths]))
+        return texts.select(*texts.columns, F.explode(F.array_distinct(grams)).alias(GRAM))
+
+    def needles(rule: Column) -> DataFrame:
+        return phrases.where(rule).select(*phrases.columns, F.substring(F.col(phrase), 1, width).alias(GRAM))
+
+    size = F.length(phrase)
+    long = runs([width]).join(needles(size >= width), GRAM)
+    # Empty unless such short phrases exist; the runtime planner then drops this branch.
+    short = runs(list(range(1, width))).join(needles((size > 0) & (size < width)), GRAM)
+    return long.unionByName(short).where(F.contains(F.col(text), F.col(phrase))).drop(GRAM)

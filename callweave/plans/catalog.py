@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from callweave.plans import operations, scoring, transcripts
+from callweave.plans import findings, operations, scoring, transcripts
 
-MODULES = [transcripts, operations, scoring]
+MODULES = [transcripts, operations, scoring, findings]
 
 
 def queries() -> dict:
