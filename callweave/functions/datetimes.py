@@ -59,7 +59,7 @@ def _phrase_reader(pattern: str, places: list[tuple[int, int, int]], today: Colu
         day = F.coalesce(*[group(d) if d else F.lit(None).cast("string") for d, _, _ in places], today)
         clock = F.coalesce(*[group(c) for _, c, _ in places])
         zone = F.coalesce(*[group(z) for _, _, z in places])
-        return F.when(hit != "", parse_call(day, clock, zone))
+        return F.when(hit != "", bind(parse_call(day, clock, zone), lambda call: F.when(call["at"].isNotNull(), call)))
 
     return read
 
@@ -71,13 +71,11 @@ def call_time(text: Column, announced: Column) -> Column:
     found = []
     for _, pattern, places in fv.CALL_TIME_PATTERNS:
         found.append(bind(F.regexp_extract(text, pattern, 0), _phrase_reader(pattern, places, today)))
-    best = F.get(F.filter(F.array(*found), lambda c: c["at"].isNotNull()), F.lit(0))
-
     def in_range(call: Column) -> Column:
         days = (F.unix_micros(call["at"]) - F.unix_micros(announced)) / F.lit(86_400_000_000.0)
         return F.when(announced.isNull() | ((days <= 2.0) & (days >= -365.0)), call)
 
-    return bind(best, in_range)
+    return bind(F.coalesce(*found), in_range)  # stops at the first phrase that works
 
 
 def quarter_number(word: Column) -> Column:

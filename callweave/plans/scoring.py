@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from callweave.functions import editdist as ed, entities as ent, fixed_values as fv, text as tx
-from callweave.operators import matching, segments as seg
+from callweave.functions import editdist as ed, entities as ent, fixed_values as fv, names as nm, text as tx
+from callweave.operators import diarization as diar, matching, segments as seg, speakers as spk
 from callweave.operators.ordered import running, slice_by, spread
 from callweave.plans import evaluate as ev
+from callweave.session import cut_lineage
 from callweave.plans.adapters import call_segments, heard_sql, heard_text, spoken_sql, spoken_text, table, with_tables, word_array, words_sql
 
 QUERIES: dict = {}
@@ -490,7 +491,7 @@ def diff_blocks(spark, folder):
 
 
 def matched(spark, folder):
-    m = ev.matched_words(ev.scripts(call_pairs(spark, folder)))
+    m = cut_lineage(ev.matched_words(ev.scripts(call_pairs(spark, folder))))
     return m.join(ref_words(spark, folder).drop("word"), ["call_id", "i"]).join(hyp_words(spark, folder), ["call_id", "j"])
 
 
@@ -501,3 +502,50 @@ def speaker_name_accuracy(spark, folder):
         F.col("speaker_id") == "SPEAKER_02", "Analyst 02")
     rows = matched(spark, folder).withColumn("hyp_name", name)
     return ev.name_accuracy(rows, F.col("ref_name") == "SMALL RING")
+
+
+@query("der")
+def der(spark, folder):
+    """Diarization error per call: reference turns from aligned words, hypothesis turns from the segments' speakers."""
+    us = lambda c: F.round(F.col(c) * 1_000_000).cast("long")
+    hyp = call_segments(spark, folder).select("call_id", us("start").alias("start"), us("end").alias("end"), F.col("speaker_id").alias("speaker"))
+    return diar.error_rate(diar.reference_turns(matched(spark, folder)), hyp)
+
+
+# --- speakers ----------------------------------------------------------------------------------------------------
+
+@query("resolve_speakers")
+def resolve_speakers(spark, folder):
+    """Names and roles of every segment from announcements, handovers and order (sections of the first pass)."""
+    rows = call_segments(spark, folder).drop("speaker_role").withColumn("ticker", F.lit("MSFT"))
+    rows = spk.resolve_speakers(seg.label_sections(rows, role=None))
+    return rows.select("call_id", "idx", "speaker_id", "speaker_name", "speaker_role")
+
+
+BLOCKS = r"""
+marked AS (SELECT call_id, string_split(regexp_replace(text, '(?m)^[ \t]*([A-Z0-9\s.,''\-&]+?):[ \t]*(.*)$', chr(1) || '\1' || chr(2) || '\2', 'g'), chr(1)) AS p FROM published),
+pieces AS (SELECT call_id, unnest(p[2:]) AS b, unnest(range(len(p) - 1)) AS block_no FROM marked),
+cut AS (SELECT call_id, block_no, regexp_replace(trim(string_split(trim(string_split(b, chr(2))[1]), ',')[1]), '\s+', ' ', 'g') AS name,
+  regexp_replace(regexp_replace(regexp_replace(string_split(b, chr(2))[2], '^\s+|\s+$', '', 'g'), '\([^)]*\)', ' ', 'g'), '\[[^\]]*\]', ' ', 'g') AS text FROM pieces)"""
+
+
+@query("speaker_blocks", with_tables("segments", more=PUBLISHED + "," + BLOCKS, query="SELECT call_id, CAST(block_no AS INTEGER) AS block_no, name, text FROM cut WHERE text <> ''"))
+def speaker_blocks(spark, folder):
+    return spk.speaker_blocks(published(call_segments(spark, folder)))
+
+
+@query("name_validity", f"""
+WITH n AS (SELECT DISTINCT array_to_string(list_transform(string_split(p_name, ' '), lambda w: upper(w[1]) || lower(w[2:])), ' ') || CASE WHEN p_size < 10 THEN ' Sale' WHEN p_size < 20 THEN ' X' WHEN p_size < 30 THEN ' Ring' ELSE '' END AS name FROM part)
+SELECT name, len(string_split(name, ' ')) BETWEEN 2 AND 3 AND len(list_filter(string_split(name, ' '), lambda w: NOT regexp_matches(w, '^[A-Z][a-z]+$') OR list_contains({[w for w in fv.NAME_BLACKLIST]}, lower(w)))) = 0 AS is_person FROM n""")
+def name_validity(spark, folder):
+    suffix = F.when(F.col("p_size") < 10, " Sale").when(F.col("p_size") < 20, " X").when(F.col("p_size") < 30, " Ring").otherwise("")
+    names = table(spark, folder, "part").select(F.concat(F.initcap("p_name"), suffix).alias("name")).distinct()
+    return names.select("name", nm.is_person(F.col("name")).alias("is_person"))
+
+
+@query("analyst_cues", with_tables("segments", query=r"""
+  SELECT call_id, idx, regexp_extract(text, 'next question from (\w+ \w+) with', 1) AS name, regexp_extract(text, 'with (\w+ Research)\. Please', 1) AS firm FROM segments
+  WHERE regexp_matches(text, 'take our next question from \w+ \w+ with \w+ Research\.')"""))
+def analyst_cues(spark, folder):
+    rows = call_segments(spark, folder).select("call_id", "idx", nm.analyst_cue(F.col("text")).alias("_c"))
+    return rows.where(F.col("_c").isNotNull()).select("call_id", "idx", "_c.*")
