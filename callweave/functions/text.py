@@ -169,14 +169,14 @@ def split_reference(text: Column) -> tuple[Column, Column]:
 
 def minutes_seconds(seconds: Column) -> Column:
     """MM:SS."""
-    whole = F.floor(seconds)
-    return F.format_string("%02d:%02d", F.floor(whole / 60), whole % 60)
+    whole = F.floor(seconds).cast("long")
+    return F.format_string("%02d:%02d", F.floor(whole / 60).cast("long"), whole % 60)
 
 
 def spoken_length(seconds: Column) -> Column:
     """Xm SSs."""
-    whole = F.floor(seconds)
-    return F.format_string("%dm %02ds", F.floor(whole / 60), whole % 60)
+    whole = F.floor(seconds).cast("long")
+    return F.format_string("%dm %02ds", F.floor(whole / 60).cast("long"), whole % 60)
 
 
 def escape_html(text: Column) -> Column:

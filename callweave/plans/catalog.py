@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from callweave.plans import findings, operations, scoring, transcripts
+from callweave.plans import auditing, findings, operations, scoring, streams, transcripts
 
-MODULES = [transcripts, operations, scoring, findings]
+MODULES = [transcripts, operations, scoring, findings, auditing, streams]
 
 
 def queries() -> dict:
