@@ -15,12 +15,17 @@ CLASSES_6 = [*fv.ENTITY_PATTERNS, "person_names", "company_product", "tickers"]
 
 
 def _phrase_hits(text: Column, phrases: list[str], any_case: bool) -> Column:
-    """Every phrase once per occurrence between word boundaries."""
+    """Every phrase once per occurrence between word boundaries; a plain substring test spares most pattern scans."""
     flag = "(?iU)" if any_case else "(?U)"
-    each = [
-        F.array_repeat(F.lit(p), F.regexp_count(text, F.lit(rf"{flag}\b{re.escape(p)}\b"))) for p in phrases
-    ]
-    return F.flatten(F.array(*each))
+    fold = (lambda t: F.lower(F.upper(t))) if any_case else (lambda t: t)
+
+    def count(seen: Column, phrase: str) -> Column:
+        needle = phrase.lower() if any_case else phrase
+        n = F.when(seen["low"].contains(needle), F.regexp_count(seen["raw"], F.lit(rf"{flag}\b{re.escape(phrase)}\b"))).otherwise(0)
+        return F.array_repeat(F.lit(phrase), n)
+
+    both = F.struct(text.alias("raw"), fold(text).alias("low"))
+    return bind(both, lambda seen: F.flatten(F.array(*[count(seen, p) for p in phrases])))
 
 
 def entities_6(
@@ -84,22 +89,25 @@ def literal(text: Column) -> Column:
     return F.regexp_replace(text, r"([^\p{L}\p{N}_ ])", r"\\$1")
 
 
+def normal_counts(entities: Column) -> Column:
+    """Array of (class, entity, ref_count) of a class -> list map: distinct normalised entities with their counts."""
+    def one_class(name: Column, found: Column) -> Column:
+        normal = F.filter(F.transform(found, lambda e: normalize(e)), lambda e: e != "")
+        return bind(normal, lambda every: F.transform(
+            F.array_distinct(every),
+            lambda e: F.struct(name.alias("class"), e.alias("entity"), F.size(F.filter(every, lambda x: x == e)).alias("ref_count"))))
+
+    return F.flatten(F.transform(F.map_entries(entities), lambda kv: one_class(kv["key"], kv["value"])))
+
+
 def limited_matches(found: DataFrame, keys: list[str], hyp: str = "hyp_norm") -> DataFrame:
     """Per key, class and distinct normalised entity: reference count, hypothesis count and the smaller of both.
 
-    ``found``: keys, ``entities`` (class -> list) and the normalised hypothesis text.  Occurrences are counted per row, so
-    a hypothesis text is never copied per entity."""
-    long = found.select(*keys, hyp, F.explode("entities").alias("class", "_items"))
-    normal = F.filter(F.transform("_items", lambda e: normalize(e)), lambda e: e != "")
-    counted = F.transform(
-        F.array_distinct("_n"),
-        lambda e: F.struct(
-            e.alias("entity"),
-            F.size(F.filter("_n", lambda x: x == e)).alias("ref_count"),
-            F.regexp_count(F.col(hyp), F.concat(F.lit(r"(?U)\b"), literal(e), F.lit(r"\b"))).alias("hyp_count"),
-        ),
-    )
-    rows = long.withColumn("_n", normal).select(*keys, "class", F.inline(counted))
+    ``found``: keys, ``counts`` (from ``normal_counts``) and the normalised hypothesis text.  Occurrences are counted
+    inside the row, so a hypothesis text is never copied per entity."""
+    in_hyp = lambda e: F.regexp_count(F.col(hyp), F.concat(F.lit(r"(?U)\b"), literal(e), F.lit(r"\b")))
+    rows = found.select(*keys, F.inline(F.transform("counts", lambda c: F.struct(
+        c["class"].alias("class"), c["entity"].alias("entity"), c["ref_count"].alias("ref_count"), in_hyp(c["entity"]).alias("hyp_count")))))
     return rows.withColumn("matched", F.least("ref_count", "hyp_count"))
 
 

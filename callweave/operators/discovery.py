@@ -103,7 +103,7 @@ def resolve_call_ids(requests: DataFrame, files: DataFrame, request: str = "requ
     clean = F.trim(F.replace(F.replace(F.col(request), F.lit(".wav"), F.lit("")), F.lit(".json"), F.lit("")))
     asked = requests.select(request).distinct().withColumn("_low", F.lower(clean)).withColumn("_exact", clean)
     stems = files.select(stem).distinct().withColumn("_stem_low", F.lower(stem))
-    pairs = containing(stems, stem, "_stem_low", asked, "_low")
+    pairs = containing(stems, [stem], "_stem_low", asked, "_low")
     rank = F.when(F.col(stem) == F.col("_exact"), 0).when(F.col("_stem_low") == F.col("_low"), 1).otherwise(2)
     best = pairs.groupBy(request).agg(F.min_by(F.struct(F.col(stem), rank.alias("how")), F.struct(rank, F.col(stem))).alias("_b"))
     return requests.select(request).distinct().join(best, request, "left").select(request, F.col("_b")[stem].alias(stem), F.col("_b.how").alias("match_class"))
@@ -113,7 +113,7 @@ def company_documents(docs: DataFrame, companies: DataFrame, head: int = 1000) -
     """Documents whose URL or first ``head`` characters name the company.  docs: doc_id, url, text; companies: ticker, name."""
     from callweave.operators.matching import containing
 
-    texts = docs.select("doc_id", F.explode(F.array(
-        F.lower(F.coalesce("url", F.lit(""))), F.lower(F.substring(F.coalesce("text", F.lit("")), 1, head)))).alias("_t"))
+    texts = docs.select("doc_id", F.posexplode(F.array(
+        F.lower(F.coalesce("url", F.lit(""))), F.lower(F.substring(F.coalesce("text", F.lit("")), 1, head)))).alias("_part", "_t"))
     names = companies.select("ticker", F.lower("name").alias("_n"))
-    return containing(texts, "doc_id", "_t", names, "_n").select("doc_id", "ticker").distinct()
+    return containing(texts, ["doc_id", "_part"], "_t", names, "_n").select("doc_id", "ticker").distinct()

@@ -48,25 +48,26 @@ def dictionary_counts(texts: DataFrame, phrases: DataFrame, key: str, longest: i
 
 
 def _runs_of(text: str, w: int) -> Column:
-    """All character runs of length ``w`` of a text column."""
-    some = F.transform(F.sequence(F.lit(1), F.length(text) - w + 1), lambda i: F.substring(F.col(text), i, F.lit(w)))
-    return F.when(F.length(text) >= w, some).otherwise(F.array().cast("array<string>"))
+    """All character runs of length ``w`` of a text column, overlapping, in one linear scan."""
+    return F.regexp_extract_all(F.col(text), F.lit(rf"(?s)(?=(.{{{w}}}))"), F.lit(1))
 
 
-def containing(texts: DataFrame, key: str, text: str, phrases: DataFrame, phrase: str, width: int = 6) -> DataFrame:
-    """Pairs (text, phrase) where the text contains the phrase anywhere.
+def containing(texts: DataFrame, keys: list[str], text: str, phrases: DataFrame, phrase: str, shortest: int = 1, width: int = 6) -> DataFrame:
+    """Pairs (text, phrase) where the text contains the phrase anywhere.  ``keys`` identify a text row.
 
-    Both sides meet on the phrase's first ``width`` characters (shorter phrases on all of theirs), so only texts that
-    hold such a run are compared; nothing is paired blindly."""
-    def runs(widths: list[int]) -> DataFrame:
-        grams = F.flatten(F.array(*[_runs_of(text, w) for w in widths]))
-        return texts.select(*texts.columns, F.explode(F.array_distinct(grams)).alias(GRAM))
+    Both sides meet on the phrase's first ``width`` characters (shorter phrases on all of theirs).  Only (keys, run) rows
+    go through that join, never the texts; the few candidate pairs fetch their text afterwards and are checked.  Say how
+    long the ``shortest`` phrase is to skip the short runs."""
+    rest = [c for c in phrases.columns if c != phrase]
+    size = F.length(phrase)
 
-    def needles(rule: Column) -> DataFrame:
-        return phrases.where(rule).select(*phrases.columns, F.substring(F.col(phrase), 1, width).alias(GRAM))
+    def candidates(widths: list[int], rule: Column) -> DataFrame:
+        grams = F.flatten(F.array(*[_runs_of(text, w) for w in widths]))
+        runs = texts.select(*keys, F.explode(grams).alias(GRAM))
+        needles = phrases.where(rule).select(phrase, *rest, F.substring(F.col(phrase), 1, width).alias(GRAM))
+        return runs.join(needles, GRAM).select(*keys, phrase, *rest)
 
-    size = F.length(phrase)
-    long = runs([width]).join(needles(size >= width), GRAM)
-    # Empty unless such short phrases exist; the runtime planner then drops this branch.
-    short = runs(list(range(1, width))).join(needles((size > 0) & (size < width)), GRAM)
-    return long.unionByName(short).where(F.contains(F.col(text), F.col(phrase))).drop(GRAM)
+    pairs = candidates([width], size >= width)
+    if shortest < width:
+        pairs = pairs.unionByName(candidates(list(range(max(1, shortest), width)), (size > 0) & (size < width)))
+    return pairs.distinct().join(texts.select(*keys, text), keys).where(F.contains(F.col(text), F.col(phrase)))

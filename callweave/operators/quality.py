@@ -43,9 +43,9 @@ def error_summary(errors: DataFrame, key: str, samples: int = 5) -> DataFrame:
     return counts.join(shown, "rule")
 
 
-def phrase_presence(texts: DataFrame, key: str, text: str, phrases: DataFrame) -> DataFrame:
+def phrase_presence(texts: DataFrame, key: str, text: str, phrases: DataFrame, shortest: int = 1) -> DataFrame:
     """Per phrase of ``phrases`` (phrase, required): how many texts hold it and whether the rule is kept."""
-    found = containing(texts.select(key, text), key, text, phrases.select("phrase").distinct(), "phrase")
+    found = containing(texts.select(key, text), [key], text, phrases.select("phrase").distinct(), "phrase", shortest)
     counts = found.groupBy("phrase").agg(F.count_distinct(key).alias("n_texts"))
     rows = phrases.join(counts, "phrase", "left").withColumn("n_texts", F.coalesce("n_texts", F.lit(0)))
     return rows.withColumn("ok", F.when(F.col("required"), F.col("n_texts") > 0).otherwise(F.col("n_texts") == 0))

@@ -16,6 +16,14 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def wide_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """A table about to go through costly per-row text work.  A scan with fewer partitions than cores (one small file) is
+    spread out; a scan that already keeps every core busy stays as it is and is not shuffled."""
+    rows = table(spark, folder, name)
+    cores = spark.sparkContext.defaultParallelism
+    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
+
+
 def word_array(text: Column) -> Column:
     """Whitespace-separated words; empty text gives an empty array."""
     squeezed = F.trim(F.regexp_replace(text, r"\s+", " "))

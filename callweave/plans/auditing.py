@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from callweave.functions import text as tx
 from callweave.operators import quality as ql, relational as rel, reports as rp, segments as seg, speakers as spk
-from callweave.plans.adapters import call_segments, registry, table, with_tables, word_array, words_sql
+from callweave.plans.adapters import call_segments, registry, table, wide_table, with_tables, word_array, words_sql
 from callweave.plans.operations import ROLLUP, rollup
 from callweave.plans.transcripts import SECTIONED
 from callweave.sources import readers, writers
@@ -96,7 +96,7 @@ FROM p LEFT JOIN documents d ON contains(d.text, phrase) GROUP BY phrase, requir
 def phrase_presence(spark, folder):
     """Long words of the benchmark passages: even lengths must occur in some document, odd ones must not."""
     words = table(spark, folder, "benchmark").select(F.explode(word_array(F.col("text"))).alias("phrase")).where(F.length("phrase") >= 8).distinct()
-    return ql.phrase_presence(table(spark, folder, "documents"), "doc_id", "text", words.withColumn("required", F.length("phrase") % 2 == 0))
+    return ql.phrase_presence(wide_table(spark, folder, "documents"), "doc_id", "text", words.withColumn("required", F.length("phrase") % 2 == 0), shortest=8)
 
 
 REPORT_SQL = """

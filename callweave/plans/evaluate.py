@@ -73,8 +73,10 @@ def without_operator(reference: DataFrame, segments: DataFrame) -> DataFrame:
 def entity_matches(reference: DataFrame, hypothesis: DataFrame, keys: list[str], **lists) -> DataFrame:
     """Count-limited entity matches; the reference's speaker headers are dropped first."""
     spoken = spread(reference, *keys).select(*keys, tx.drop_headers(F.col("text")).alias("text"))
-    ref = spoken.select(*keys, ent.entities_6(F.col("text"), **lists).alias("entities"))
-    hyp = hypothesis.select(*keys, tx.normalize(F.col("text")).alias("hyp_norm"))
+    found = spoken.select(*keys, ent.entities_6(F.col("text"), **lists).alias("entities"))
+    # Both sides do their text work before the join, on the spread rows.
+    ref = found.select(*keys, ent.normal_counts(F.col("entities")).alias("counts"))
+    hyp = spread(hypothesis, *keys).select(*keys, tx.normalize(F.col("text")).alias("hyp_norm"))
     return ent.limited_matches(ref.join(hyp, keys), keys)
 
 

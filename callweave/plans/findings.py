@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from callweave.functions import datetimes as dt, fixed_values as fv, web
 from callweave.operators import capture as cap, discovery as disc
-from callweave.plans.adapters import table, word_array, words_sql
+from callweave.plans.adapters import table, wide_table, word_array, words_sql
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -41,7 +41,7 @@ calls AS (SELECT *, timezone('UTC', timezone(region, CAST(d AS TIMESTAMP) + minu
 
 def releases(spark, folder):
     """event_id, company_id, ticker, filing_date, text of one press release per order."""
-    orders = table(spark, folder, "orders")
+    orders = wide_table(spark, folder, "orders")
     customer = table(spark, folder, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_mktsegment")
     rows = orders.join(customer, "o_custkey").withColumns({
         "y": F.lit(2020) + F.year("o_orderdate") % 10, "q": F.quarter("o_orderdate"),

@@ -9,7 +9,7 @@ from callweave.operators import diarization as diar, matching, segments as seg,
 from callweave.operators.ordered import running, slice_by, spread
 from callweave.plans import evaluate as ev
 from callweave.session import cut_lineage
-from callweave.plans.adapters import call_segments, heard_sql, heard_text, spoken_sql, spoken_text, table, with_tables, word_array, words_sql
+from callweave.plans.adapters import call_segments, heard_sql, heard_text, spoken_sql, spoken_text, table, wide_table, with_tables, word_array, words_sql
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -123,7 +123,7 @@ def norm_v1_sql(x: str) -> str:
 # --- normalising whole documents ---------------------------------------------------------------------------------
 
 def spoken_documents(spark, folder):
-    return table(spark, folder, "documents").select("doc_id", spoken_text(F.col("text")).alias("text"))
+    return wide_table(spark, folder, "documents").select("doc_id", spoken_text(F.col("text")).alias("text"))
 
 
 SPOKEN_DOCS = f"WITH d AS (SELECT doc_id, {spoken_sql('text')} AS text FROM documents) SELECT doc_id, "
@@ -269,7 +269,7 @@ def cer(spark, folder):
 @query("document_wer")
 def document_wer(spark, folder):
     """Word error rate of whole documents against their spoken-and-misheard version."""
-    docs = spread(table(spark, folder, "documents").select("doc_id", "text"), "doc_id").select(
+    docs = wide_table(spark, folder, "documents").select(
         "doc_id", tx.words(tx.normalize(F.col("text"))).alias("r"), tx.words(tx.normalize(heard_text(F.col("text")))).alias("h"))
     return docs.select("doc_id", F.size("r").alias("ref_words"), ed.word_error_rate(F.col("r"), F.col("h")).alias("wer"))
 
@@ -326,7 +326,7 @@ def figure_texts(spark, folder):
     """One sentence of figures, names and dates per order."""
     q = F.col("q")
     s = lambda c: c.cast("string")
-    rows = table(spark, folder, "orders").withColumn("q", F.floor(F.col("o_totalprice") / 100))
+    rows = wide_table(spark, folder, "orders").withColumn("q", F.floor(F.col("o_totalprice") / 100))
     text = F.concat(
         F.lit("Revenue was $"), s(F.floor(q / 10)), F.lit("."), s(q % 10), F.lit(" billion, up "), s(q % 50), F.lit("% in Q"),
         s(F.quarter("o_orderdate")), F.lit(" FY"), s(F.year("o_orderdate")), F.lit(" and "), s(q % 90 + 10),
@@ -440,7 +440,7 @@ def dictionary_counts(spark, folder):
     b = table(spark, folder, "benchmark").select(word_array(F.lower("text")).alias("w")).where(F.size("w") > 1)
     phrases = b.select(F.explode(F.transform(
         F.sequence(F.lit(1), F.size("w") - 1), lambda i: F.array_join(F.slice("w", i, 2), " "))).alias("phrase")).distinct()
-    docs = table(spark, folder, "documents").select("doc_id", word_array(F.lower("text")).alias("tokens"))
+    docs = wide_table(spark, folder, "documents").select("doc_id", word_array(F.lower("text")).alias("tokens"))
     return matching.dictionary_counts(docs, phrases, "doc_id", longest=2)
 
 

@@ -121,11 +121,11 @@ def stream_registry_upsert(spark, folder):
 
 
 @query("stream_late_corrections", with_tables("segments", more=WORD_SQL, query="""
-  SELECT call_id, seq, CASE WHEN length(word) > 8 THEN upper(word) ELSE word END AS word, CASE WHEN length(word) > 8 THEN 1 ELSE 0 END AS pass_no FROM seqd"""))
+  SELECT call_id, seq, CASE WHEN length(word) > 8 THEN word || '*' ELSE word END AS word, CASE WHEN length(word) > 8 THEN 1 ELSE 0 END AS pass_no FROM seqd"""))
 def stream_late_corrections(spark, folder):
     """Long words heard again in a second pass replace the first hearing."""
     words = timed_words(spark, folder).select("call_id", "seq", "word")
-    again = live.drain(live.replay(words.where(F.length("word") > 8)).withColumn("word", F.upper("word")))
+    again = live.drain(live.replay(words.where(F.length("word") > 8)).withColumn("word", F.concat("word", F.lit("*"))))
     return live.late_corrections(words, again, ["call_id", "seq"])
 
 

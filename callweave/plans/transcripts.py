@@ -7,10 +7,11 @@ from pyspark.sql import functions as F
 
 from callweave.functions import fixed_values as fv
 from callweave.operators import intervals, segments as seg, words as wd
-from callweave.operators.ordered import SLICE, neighbour, running, slice_by
+from callweave.operators.ordered import running, slice_by
 from callweave.plans.adapters import (
     call_segments, diarization_turns, segment_words, table, with_tables, word_array, words_sql,
 )
+from callweave.session import cut_lineage
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -172,10 +173,11 @@ def timed_words(spark, folder) -> DataFrame:
     rows = rows.withColumn("_before", F.col("_upto") - F.col("n_words")).select(
         "call_id", "idx", "_before", "start", "end", "text")
     words = wd.word_times(rows, word_array(F.col("text")))
-    return words.select(
+    # Deployments store words as a table; here they are derived once per query and read by several branches.
+    return cut_lineage(words.select(
         "call_id", "idx", "pos", "word", "start", "end", (F.col("_before") + F.col("pos")).alias("seq"),
         wd.word_probability(-F.length("word") / F.lit(10.0)).alias("prob"),
-    )
+    ))
 
 
 @query("word_times", with_tables("segments", more=WORD_SQL, query='SELECT call_id, idx, pos, word, start, "end" FROM timed'))
