@@ -30,7 +30,7 @@ def parse_table(texts: DataFrame, key: str, text: str, heading: str) -> DataFram
     is_row = lambda s: s.startswith("|") & s.endswith("|")
     rows = texts.where(at > 0).select(key, lines.alias("_l"))
     first = F.array_position(F.transform("_l", is_row), True).cast("int")
-    rows = rows.withColumn("_f", first).where(F.col("_f") > 0).withColumn("_t", F.slice("_l", F.col("_f"), F.size("_l")))
+    rows = rows.withColumn("_f", first).where(F.col("_f") > 0).withColumn("_t", F.slice("_l", F.greatest(F.lit(1), F.col("_f")), F.size("_l")))
     stop = F.array_position(F.transform("_t", lambda s: ~is_row(s)), True).cast("int")
     rows = rows.withColumn("_n", F.when(stop > 0, stop - 1).otherwise(F.size("_t")))
     cells = lambda s: F.transform(F.split(F.regexp_replace(s, r"^\|+|\|+$", ""), r"\|"), lambda c: F.regexp_replace(c, r"^\s+|\s+$", ""))
