@@ -37,12 +37,18 @@ def earnings_filings(filings: DataFrame) -> DataFrame:
     return filings.where(F.array_contains(accepted_forms(F.col("country")), form) & ((form != "8-K") | F.coalesce(F.col("items"), F.lit("")).contains("2.02")))
 
 
+def _once(rows: DataFrame, name: str, costly: Column) -> DataFrame:
+    """Adds a costly column behind a one-element explode, which later filters and projections cannot inline (each of them
+    would scan the page again)."""
+    return rows.select("*", F.explode(F.array(costly)).alias(name))
+
+
 def read_documents(docs: DataFrame, registry=fv.VENDORS) -> DataFrame:
     """Event facts of every earnings document.  docs: keys, form, filing_date, accepted_at, ticker, html."""
-    rows = docs.withColumn("_text", web.page_text(F.col("html"))).where(F.col("_text") != "")
+    rows = _once(docs, "_text", web.page_text(F.col("html"))).where(F.col("_text") != "")
     rows = rows.where(~dt.is_other_event(F.col("_text")))
     rows = rows.withColumn("announced_at_utc", dt.announced_at(F.col("filing_date"), F.col("accepted_at")))
-    rows = rows.withColumn("_call", dt.call_time(F.col("_text"), F.col("announced_at_utc")))
+    rows = _once(rows, "_call", dt.call_time(F.col("_text"), F.col("announced_at_utc")))
     flags = dt.filing_flags(F.col("_text"), F.col("_call.zone"))
     link = web.first_webcast_link(F.col("html"))
     rows = rows.withColumns({

@@ -283,3 +283,21 @@ def discovery_registry(spark, folder):
     out = disc.registry_rows(companies, docs, docs.where("filing_rank < 0"))
     return out.select(F.col("ticker").cast("long").alias("company_id"), "fiscal_period", "call_datetime_utc", "timezone_as_published",
                       "webcast_url", "vendor", "discovery_source", "confidence")
+
+
+@query("submission_filings", """
+WITH r AS (SELECT l_orderkey AS cik, row_number() OVER w - 1 AS filing_rank, l_returnflag, l_linestatus, l_partkey FROM lineitem
+           WINDOW w AS (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_returnflag, l_linestatus))
+SELECT cik, filing_rank, l_returnflag AS form, CAST(l_partkey AS VARCHAR) AS "accessionNumber" FROM r
+WHERE l_returnflag = 'A' OR (l_returnflag = 'N' AND l_linestatus = 'F')""")
+def submission_filings(spark, folder):
+    """Parallel arrays per filer (an order's lines) opened into filings and filtered by form and item."""
+    recent = table(spark, folder, "lineitem").groupBy(F.col("l_orderkey").alias("cik")).agg(F.sort_array(F.collect_list(
+        F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_returnflag", "l_linestatus"))).alias("_r"))
+    part = lambda c: F.transform("_r", lambda x: x[c].cast("string"))
+    nothing = F.transform("_r", lambda x: F.lit(None).cast("string"))
+    arrays = F.struct(part("l_returnflag").alias("form"), part("l_partkey").alias("accessionNumber"), nothing.alias("filingDate"),
+                      nothing.alias("primaryDocument"), part("l_linestatus").alias("items"), nothing.alias("acceptanceDateTime"))
+    rows = disc.filings_from_submissions(recent.select("cik", F.struct(arrays.alias("recent")).alias("filings")))
+    wanted = (F.col("form") == "A") | ((F.col("form") == "N") & F.col("items").contains("F"))
+    return rows.where(wanted).select("cik", F.col("filing_rank").cast("long").alias("filing_rank"), "form", "accessionNumber")

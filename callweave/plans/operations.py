@@ -525,6 +525,19 @@ def speaker_lists(spark, folder):
         F.array_join(F.sort_array(F.collect_list("speaker_id")), ",").alias("speakers"), F.count(F.lit(1)).alias("n"))
 
 
+@query("dropped_lists", with_tables("chunks", query="""
+  SELECT call_id, count(*) AS n_dropped, string_agg(CAST(chunk_idx AS VARCHAR) || ':' || CAST(part_id AS VARCHAR), ',' ORDER BY chunk_idx, part_id) AS dropped
+  FROM chunks WHERE proc_time_sec >= duration_sec GROUP BY call_id"""))
+def dropped_lists(spark, folder):
+    """Dropped entries gathered per chunk, the chunk lists flattened per call."""
+    per_chunk = chunk_metrics(spark, folder).where("proc_time_sec >= duration_sec").groupBy("call_id", "chunk_idx").agg(
+        F.sort_array(F.collect_list("part_id")).alias("_parts"))
+    per_call = per_chunk.groupBy("call_id").agg(F.flatten(F.transform(
+        F.sort_array(F.collect_list(F.struct("chunk_idx", "_parts"))),
+        lambda c: F.transform(c["_parts"], lambda p: F.concat_ws(":", c["chunk_idx"].cast("string"), p.cast("string"))))).alias("_d"))
+    return per_call.select("call_id", F.size("_d").cast("long").alias("n_dropped"), F.array_join("_d", ",").alias("dropped"))
+
+
 @query("form_filter", with_tables("registry", query="""
   SELECT event_id, route FROM registry JOIN nation ON n_name = country
   WHERE (n_regionkey = 1 AND route IN ('1-URGENT') AND status LIKE '%F%') OR (n_regionkey <> 1 AND (route = '2-HIGH' OR (route = '1-URGENT' AND status LIKE '%F%')))"""))

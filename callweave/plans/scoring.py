@@ -203,6 +203,15 @@ def normalize_reference(spark, folder):
     return published(call_segments(spark, folder)).select("call_id", tx.normalize(F.col("text"), True).alias("norm"))
 
 
+@query("reference_split", with_tables("segments", more=PUBLISHED + """,
+split AS (SELECT call_id, text, string_split(text, chr(10)) AS l FROM published)""", query="""
+  SELECT call_id, array_to_string(l[1 : len(l) // 2], chr(10)) AS remarks, array_to_string(l[len(l) // 2 + 1 :], chr(10)) AS questions FROM split"""))
+def reference_split(spark, folder):
+    """Remarks and questions of published transcripts (no cue line in these, so by half of the lines)."""
+    remarks, questions = tx.split_reference(F.col("text"))
+    return published(call_segments(spark, folder)).select("call_id", remarks.alias("remarks"), questions.alias("questions"))
+
+
 # --- error rates -------------------------------------------------------------------------------------------------
 
 UNIT = 100_000
@@ -448,9 +457,9 @@ def dictionary_counts(spark, folder):
 
 def call_pairs(spark, folder):
     rows = call_segments(spark, folder)
-    ref = seg.assemble_text(rows, ["call_id"]).select("call_id", tx.words(tx.normalize(F.col("text"))).alias("ref"))
-    hyp = seg.assemble_text(heard(rows), ["call_id"]).select("call_id", tx.words(tx.normalize(F.col("text"))).alias("hyp"))
-    return ref.join(hyp, "call_id")
+    words = lambda df, name: spread(seg.assemble_text(df, ["call_id"]), "call_id").select(
+        "call_id", tx.words(tx.normalize(F.col("text"))).alias(name))
+    return words(rows, "ref").join(words(heard(rows), "hyp"), "call_id")
 
 
 @query("align_opcodes")
