@@ -83,7 +83,8 @@ SELECT event_id, call_at, zone, CAST(d AS TIMESTAMP) + INTERVAL 20 HOUR AS annou
 def call_datetime(spark, folder):
     rows = releases(spark, folder).withColumn("announced_at", dt.announced_at(F.col("filing_date"), F.lit(None).cast("string")))
     rows = rows.withColumn("_c", dt.call_time(F.col("text"), F.col("announced_at")))
-    return rows.select("event_id", F.col("_c.at").alias("call_at"), F.col("_c.zone").alias("zone"), "announced_at",
+    plain = lambda c: F.col(c).cast("timestamp_ntz")
+    return rows.select("event_id", plain("_c.at").alias("call_at"), F.col("_c.zone").alias("zone"), plain("announced_at").alias("announced_at"),
                        dt.lead_hours(F.col("_c.at"), F.col("announced_at")).alias("lead_hours"))
 
 
@@ -95,6 +96,7 @@ def filing_flags(spark, folder):
     rows = releases(spark, folder).withColumn("_a", dt.announced_at(F.col("filing_date"), F.lit(None).cast("string")))
     rows = rows.withColumn("_c", dt.call_time(F.col("text"), F.col("_a")))
     flags = dt.filing_flags(F.col("text"), F.col("_c.zone"))
+    flags["replay_expiry_date"] = flags["replay_expiry_date"].cast("timestamp_ntz")
     return rows.select("event_id", *[c.alias(n) for n, c in flags.items()], web.first_webcast_link(F.col("text")).alias("webcast_url"))
 
 
@@ -281,7 +283,8 @@ def discovery_registry(spark, folder):
         F.col("event_id").alias("filing_rank"), F.lit(0).alias("doc_rank"), "filing_date", F.lit(None).cast("string").alias("accepted_at"),
         F.concat(F.lit("<html><body><p>"), "text", F.lit("</p></body></html>")).alias("html"))
     out = disc.registry_rows(companies, docs, docs.where("filing_rank < 0"))
-    return out.select(F.col("ticker").cast("long").alias("company_id"), "fiscal_period", "call_datetime_utc", "timezone_as_published",
+    return out.select(F.col("ticker").cast("long").alias("company_id"), "fiscal_period",
+                      F.col("call_datetime_utc").cast("timestamp_ntz").alias("call_datetime_utc"), "timezone_as_published",
                       "webcast_url", "vendor", "discovery_source", "confidence")
 
 

@@ -55,9 +55,13 @@ def metrics(spark, folder):
     return lat.call_metrics(base)
 
 
-@query("chunk_rollup", with_tables("chunks", more=ROLLUP, query="SELECT * FROM rollup"))
+SECONDS = ["asr_sec", "last_chunk_sec", "max_chunk_sec", "audio_sec"]
+
+
+@query("chunk_rollup", with_tables("chunks", more=ROLLUP, query="SELECT call_id, chunk_count, queue_drained, "
+       + ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in SECONDS) + " FROM rollup"))
 def chunk_rollup(spark, folder):
-    return rollup(spark, folder)
+    return rollup(spark, folder).select("call_id", "chunk_count", "queue_drained", *[F.col(c).cast("double").alias(c) for c in SECONDS])
 
 
 @query("sla_status", with_tables("chunks", more=METRICS, query="""
@@ -460,7 +464,7 @@ def route_resolution(spark, folder):
 
 
 @query("status_members", """
-SELECT c_mktsegment AS status, c_custkey // 1000 AS page, sum(count(*)) OVER (PARTITION BY c_mktsegment) AS n, string_agg(c_name, ', ' ORDER BY c_name) AS members
+SELECT c_mktsegment AS status, c_custkey // 1000 AS page, CAST(sum(count(*)) OVER (PARTITION BY c_mktsegment) AS BIGINT) AS n, string_agg(c_name, ', ' ORDER BY c_name) AS members
 FROM customer GROUP BY c_mktsegment, c_custkey // 1000""")
 def status_members(spark, folder):
     """Members per status in pages of a thousand ids, so a status of any size stays many moderate rows."""
@@ -479,13 +483,13 @@ def take_until(spark, folder):
 
 
 @query("numbered_head", """
-SELECT c_custkey, c_name, row_number() OVER (ORDER BY c_custkey) AS row_no FROM customer ORDER BY c_custkey LIMIT 25""")
+SELECT c_custkey, c_name, CAST(row_number() OVER (ORDER BY c_custkey) AS INTEGER) AS row_no FROM customer ORDER BY c_custkey LIMIT 25""")
 def numbered_head(spark, folder):
     return rel.numbered_head(table(spark, folder, "customer").select("c_custkey", "c_name"), ["c_custkey"], 25)
 
 
 @query("custom_order", """
-SELECT r_name, n_name, row_number() OVER (ORDER BY o, n_name) AS ord FROM nation JOIN region ON r_regionkey = n_regionkey
+SELECT r_name, n_name, CAST(row_number() OVER (ORDER BY o, n_name) AS INTEGER) AS ord FROM nation JOIN region ON r_regionkey = n_regionkey
 JOIN (VALUES ('EUROPE', 0), ('ASIA', 1), ('AMERICA', 2), ('AFRICA', 3), ('MIDDLE EAST', 4)) v(k, o) ON k = r_name""")
 def custom_order(spark, folder):
     """Nations in a listed region order."""

@@ -430,7 +430,7 @@ def entity_recall(spark, folder):
 
 
 @query("entity_deficits", with_tables(more=MATCHES, query="""
-  SELECT call_id, class, entity, ref_count, CAST(hyp_count AS INTEGER) AS hyp_count, ref_count - hyp_count AS deficit, CASE WHEN hyp_count = 0 THEN 'Missing' ELSE 'Partial' END AS status
+  SELECT call_id, class, entity, CAST(ref_count AS INTEGER) AS ref_count, CAST(hyp_count AS INTEGER) AS hyp_count, CAST(ref_count - hyp_count AS INTEGER) AS deficit, CASE WHEN hyp_count = 0 THEN 'Missing' ELSE 'Partial' END AS status
   FROM matches WHERE ref_count > hyp_count"""))
 def entity_deficits(spark, folder):
     return ent.deficits(figure_matches(spark, folder), ["call_id"]).orderBy(F.desc("deficit"))

@@ -43,9 +43,10 @@ def stream_pause_sessions(spark, folder):
 
 
 @query("stream_crawl_monitor", with_tables("crawl", query="""
-  SELECT date_trunc('hour', requested_at) AS window_start, source, http_status, count(*) AS n, CAST(sum(duration_ms) AS DECIMAL(28,2)) AS total_ms FROM crawl GROUP BY ALL"""))
+  SELECT date_trunc('hour', requested_at) AS window_start, source, http_status, count(*) AS n, CAST(sum(duration_ms) AS DOUBLE) AS total_ms FROM crawl GROUP BY ALL"""))
 def stream_crawl_monitor(spark, folder):
-    return live.drain_updates(live.crawl_monitor(live.replay(crawl_log(spark, folder))), ["window_start", "source", "http_status"])
+    rows = live.drain_updates(live.crawl_monitor(live.replay(crawl_log(spark, folder))), ["window_start", "source", "http_status"])
+    return rows.withColumn("window_start", F.col("window_start").cast("timestamp_ntz")).withColumn("total_ms", F.col("total_ms").cast("double"))
 
 
 @query("request_spacing", with_tables("crawl", query="""
@@ -116,8 +117,9 @@ SELECT company_id, (r).event_id AS event_id, (r).route AS route FROM (
 def stream_registry_upsert(spark, folder):
     rows = registry(spark, folder).select("company_id", "event_id", "route", F.col("announced_at").cast("timestamp").alias("announced_at"))
     path = live.scratch(spark)
-    live.upsert_stream(live.replay(rows), f"{path}/table", ["company_id"], F.struct("announced_at", "event_id"), f"{path}/checkpoint").awaitTermination()
-    return live.latest_state(spark, f"{path}/table").select("company_id", "event_id", "route")
+    newest = F.struct("announced_at", "event_id")
+    live.upsert_stream(live.replay(rows), f"{path}/table", ["company_id"], newest, f"{path}/checkpoint").awaitTermination()
+    return live.latest_state(spark, f"{path}/table", ["company_id"], newest).select("company_id", "event_id", "route")
 
 
 @query("stream_late_corrections", with_tables("segments", more=WORD_SQL, query="""

@@ -134,7 +134,7 @@ def next_other_speaker(spark, folder):
 
 
 @query("top_speakers", with_tables("segments", query="""
-  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY call_id ORDER BY n_segments DESC, first_idx) AS rank
+  SELECT * FROM (SELECT *, CAST(row_number() OVER (PARTITION BY call_id ORDER BY n_segments DESC, first_idx) AS INTEGER) AS rank
     FROM (SELECT call_id, speaker_id, speaker_role, count(*) AS n_segments, min(idx) AS first_idx FROM segments GROUP BY ALL))
   WHERE rank <= 6"""))
 def top_speakers(spark, folder):
@@ -203,7 +203,7 @@ def word_sessions(spark, folder):
 CALLS = """
 calls AS (SELECT call_id, max("end") AS duration_sec FROM segments GROUP BY call_id),
 plan AS (
-  SELECT call_id, duration_sec, k AS chunk_idx, k * 57e0 AS start_sec, least(k * 57e0 + 60, duration_sec) AS end_sec, k = n - 1 AS is_final
+  SELECT call_id, duration_sec, CAST(k AS INTEGER) AS chunk_idx, k * 57e0 AS start_sec, least(k * 57e0 + 60, duration_sec) AS end_sec, k = n - 1 AS is_final
   FROM (SELECT *, greatest(1, CAST(ceil((duration_sec - 60) / 57e0) AS INTEGER) + 1) AS n FROM calls WHERE duration_sec > 0),
        LATERAL (SELECT unnest(range(n)) AS k))"""
 

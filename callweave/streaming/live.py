@@ -182,22 +182,17 @@ def split_hallucinations(raw: DataFrame, kept_path: str, dropped_path: str, chec
 
 
 def upsert_stream(changes: DataFrame, table_path: str, keys: list[str], version: Column, checkpoint: str):
-    """Starts a query that folds every batch of candidates into a keyed table: state n is built from state n-1 under a new
-    path, so re-running a batch after a failure gives the same table."""
-    def fold(batch: DataFrame, number: int) -> None:
-        latest = rel.pick_per_key(batch, keys, version, lowest=False)
-        if number > 0:
-            before = batch.sparkSession.read.parquet(f"{table_path}/state={number - 1}")
-            latest = rel.upsert(before, latest, keys, version)
-        latest.write.mode("overwrite").parquet(f"{table_path}/state={number}")
-
-    return changes.writeStream.outputMode("update").option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(fold).start()
-
-
-def latest_state(spark: SparkSession, table_path: str) -> DataFrame:
-    states = spark.read.parquet(table_path)
-    newest = states.agg(F.max("state")).scalar()
-    return states.where(F.col("state") == newest).drop("state")
+    """Starts a query that stores every batch's newest row per key under the batch number.  A batch writes its own changes
+    only, never the table, and replaces itself when it runs again; readers merge with ``latest_state``."""
+    def store(batch: DataFrame, number: int) -> None:
+        rel.pick_per_key(batch, keys, version, lowest=False).write.mode("overwrite").parquet(f"{table_path}/batch_no={number}")
+
+    return changes.writeStream.outputMode("update").option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(store).start()
+
+
+def latest_state(spark: SparkSession, table_path: str, keys: list[str], version: Column) -> DataFrame:
+    """The keyed table: newest version of every key over all batches.  Write it to a new path now and then to compact."""
+    return rel.pick_per_key(spark.read.parquet(table_path).drop("batch_no"), keys, version, lowest=False)
 
 
 def late_corrections(words: DataFrame, corrections: DataFrame, keys: list[str]) -> DataFrame:
