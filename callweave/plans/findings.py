@@ -133,7 +133,11 @@ def html_links(spark, folder):
 PAGE_WORDS = ["the", "und", "les", "an"]
 
 
-@query("relevant_links")
+@query("relevant_links", r"""
+WITH t AS (SELECT page_id, url, regexp_extract_all(regexp_replace(regexp_replace(html, '<!--.*?-->', '', 'gs'), '<script.*?</script>', '', 'gs'), '<a href="([^"]*)">', 1) AS hs FROM pages),
+l AS (SELECT page_id, regexp_extract(url, '^[a-z]+://[^/?#]*') || replace(unnest(hs), '&amp;', '&') AS link, unnest(hs) AS h, unnest(range(len(hs))) AS o FROM t),
+f AS (SELECT page_id, link, min(o) AS o FROM l WHERE regexp_matches(lower(h), 'the|und|les|an') AND NOT regexp_matches(lower(h), '\.(pdf|zip|jpg|png|svg)$') GROUP BY ALL)
+SELECT page_id, CAST(row_number() OVER (PARTITION BY page_id ORDER BY o) - 1 AS INTEGER) AS rank, link FROM f QUALIFY rank < 8""".replace("\\\\", "\\"))
 def relevant_links(spark, folder):
     """First eight distinct links of a page that mention one of the watched words and stay on the site."""
     rows = table(spark, folder, "pages")
