@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from callweave.llm import bpe, chat, mixing, quality
+from callweave.llm import bpe, chat, jaccard, mixing, quality
 
-MODULES = [bpe, quality, mixing, chat]
+MODULES = [bpe, quality, jaccard, mixing, chat]
 
 
 def queries() -> dict:
