@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from callweave.llm import bpe, chat, jaccard, mixing, quality
+from callweave.llm import bpe, chat, jaccard, mixing, quality, spotsigs
 
-MODULES = [bpe, quality, jaccard, mixing, chat]
+MODULES = [bpe, quality, jaccard, mixing, spotsigs, chat]
 
 
 def queries() -> dict:
