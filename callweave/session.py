@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -29,13 +31,33 @@ def configure(spark: SparkSession) -> SparkSession:
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
     spark.conf.set("spark.sql.execution.arrow.pyspark.enabled", "true")
+    ship(spark)
     return spark
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Sends this package's source to the Python workers, once per application; they need not have it installed."""
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    root = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="callweave-")) / "callweave.zip"
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as out:
+        for path in sorted(root.rglob("*.py")):
+            out.write(path, f"{root.name}/{path.relative_to(root)}")
+    spark.sparkContext.addPyFile(str(archive))
+    _SHIPPED.add(app)
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's shared checkpoint folder; only where it is unset (local tests) a scratch folder is taken."""
+    """The cluster's shared checkpoint folder. In local mode, where it may be unset, a scratch folder is taken."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         folder = tempfile.mkdtemp(prefix="callweave-", dir="/tmp")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder
