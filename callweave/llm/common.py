@@ -16,9 +16,15 @@ SPACE = r"[\x20\x09-\x0D]+"
 PIECE_BYTES = 1 << 21
 
 
-def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """A given table. Arrow batches are kept short because rows are whole documents."""
+def settings(spark: SparkSession) -> SparkSession:
+    """Arrow batches are kept short because rows are whole documents; a finished step's shuffle files go."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "256")
+    spark.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
+    return spark
+
+
+def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    settings(spark)
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
@@ -42,6 +48,12 @@ def key_of(doc_id: Column) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary"))
 
 
+def named(docs: DataFrame) -> DataFrame:
+    """Adds `id` (doc_id as text, never null) and `mark` (hash of the text): the identity of a document where ids repeat or are null.
+    Rows equal in both are one document."""
+    return docs.withColumn("id", F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))).withColumn("mark", F.xxhash64(whole(F.col("text"))))
+
+
 def session_folder(spark: SparkSession) -> str:
     """A new folder below the cluster's shared checkpoint folder."""
     from uuid import uuid4

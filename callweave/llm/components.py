@@ -1,7 +1,9 @@
-"""Connected components by alternating large-star and small-star steps, each a grouped minimum and a join."""
+"""Links between the members of groups, and connected components by alternating large-star and small-star steps, each a grouped minimum and a join."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -39,3 +41,32 @@ def components(edges: DataFrame) -> DataFrame:
     return now.groupBy("a").agg(F.min("b").alias("component")).withColumnRenamed("a", "node").unionByName(
         now.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
     )
+
+
+def shared_keys(index: DataFrame) -> DataFrame:
+    """key, node, hub of the keys that several nodes have; hub is a key's least node. `index` has long columns key and node.
+
+    Most keys have one node. The grouped minimum combines before its shuffle, so a key of very many rows is no single task's.
+    """
+    hubs = index.groupBy("key").agg(F.min("node").alias("hub"), F.max("node").alias("last")).where("hub != last").select("key", "hub")
+    return common.written(index.join(common.written(hubs), "key").select("key", "node", "hub").distinct())
+
+
+def linked(shared: DataFrame, check: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Links (a, b) that give the same components as checking every pair of nodes with a common key.
+
+    First every node is held against its key's hub. After the components of those links, only keys that still hold several components
+    compare their members across components: a group of near copies costs about its size, not its square.
+    """
+    star = shared.where("node != hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
+    links = common.written(check(star))
+    found = components(links)
+    member = common.written(
+        shared.join(found, "node", "left").select("key", "node", "hub", F.coalesce("component", "node").alias("component"))
+    )
+    split = member.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x != y").select("key")
+    rest = member.join(split, "key")
+    x = rest.where("node != hub").select("key", F.col("node").alias("a"), F.col("component").alias("pa"))
+    y = rest.select("key", F.col("node").alias("b"), F.col("component").alias("pb"))
+    cross = x.join(y, "key").where("a < b AND pa != pb").select("a", "b").distinct()
+    return common.written(links.unionByName(check(cross)))

@@ -4,12 +4,11 @@ A document is its set of word n-grams. Sizes fall into bands so narrow that only
 the hash space of n-grams is cut into segments; two sets of the scheme that reach the threshold differ in at most H elements, so of m segments
 with d of them compared up to one element, some agree as soon as m + d exceeds H. Each set is indexed under its segments' subsets, and under the
 one-deletion neighbourhood of the d segments; m and d are chosen by cost (index rows, and candidate pairs seen on a bounded sample) for each
-band. There are enough segments for `SPARE` agreements more than one, so that a set's few empty segments need not be indexed; a set with more
-empty segments than that indexes them all, so nothing is lost.
+band. There are enough segments for some spare agreements, so that a set's few empty segments need not be indexed; a set with more empty
+segments than that indexes them all, so nothing is lost.
 
-Candidates are then held against an exact bound from segment counts and verified exactly. First each index key joins its members with its
-least member; after the components of those links, only keys that still hold several components compare their members across components. So
-a large group of near copies costs about its size, and every link between different components is still found.
+Candidates are then held against an exact bound from segment counts and verified exactly; components.linked keeps their number near the size
+of a group of near copies without losing a connection.
 
 Sets are 64-bit hashes of n-grams; equal sets are one node. Null and wordless texts have the empty set, linked with nothing. A text of fewer
 than n words is one n-gram. Rows of a null id are linked with nothing and have a null component. Repeated rows give repeated results; an empty
@@ -29,7 +28,6 @@ from pyspark.sql import functions as F
 from callweave.llm import common, components
 
 _HASHER = common.Hasher(fold=True, seed=7)
-SPARE = 2
 #: Counters of the exact bound, one byte each.
 COUNTERS = 64
 #: Documents whose sets the cost model looks at.
@@ -61,10 +59,11 @@ def shingles(texts: pa.ChunkedArray, n: int) -> tuple[np.ndarray, np.ndarray]:
 class Scheme:
     """Size bands and, for each, the number of segments and of one-deletion segments."""
 
-    def __init__(self, percent: int, spare: int = SPARE) -> None:
-        self.percent, self.spare = percent, spare
+    def __init__(self, percent: int) -> None:
+        self.percent = percent
         self.tops = [0]
-        self.chosen: dict[int, int] = {}
+        #: Band to (segments, one-deletion segments, spare agreements).
+        self.plan: dict[int, tuple[int, int, int]] = {}
 
     def band(self, sizes: np.ndarray) -> np.ndarray:
         """Index of the band that holds each size; band k covers sizes tops[k-1]+1 to tops[k]."""
@@ -82,12 +81,26 @@ class Scheme:
         large = small * 100 // self.percent
         return (100 - self.percent) * (small + large) // (100 + self.percent)
 
-    def deletions(self, band: int) -> int:
-        return self.chosen.get(band, 0)
-
-    def segments(self, band: int) -> int:
-        d = self.deletions(band)
-        return self.apart(band) + 1 + self.spare + min(self.spare, d) - d
+    def option(self, band: int, d: int | None) -> tuple[int, int, int]:
+        """Segments with d of them compared up to one element; None: all of them, as few as that allows."""
+        need = self.apart(band) + 1
+        if d is None:
+            m = -(-need // 2)
+            return m, m, 0
+        spare, low = 0, self.tops[band - 1] + 1
+        while True:
+            m = max(need + spare + min(spare, d) - d, d, 1)
+            # Empty segments of the smallest set: Poisson mean and a wide margin.
+            empty = m * np.exp(-low / m)
+            wanted = min(int(np.ceil(empty + 5 * empty**0.5 + 1)), need + 2)
+            if wanted <= spare:
+                return m, d, spare
+            spare = wanted
+
+    def of(self, band: int) -> tuple[int, int, int]:
+        if band not in self.plan:
+            self.plan[band] = self.option(band, 0)
+        return self.plan[band]
 
 
 def signatures(h: np.ndarray, first: np.ndarray, scheme: Scheme) -> tuple[np.ndarray, np.ndarray]:
@@ -99,7 +112,7 @@ def signatures(h: np.ndarray, first: np.ndarray, scheme: Scheme) -> tuple[np.nda
         own = bands - shift
         for b in np.unique(own[(sizes > 0) & (own > 0)]):
             docs = np.flatnonzero((own == b) & (sizes > 0))
-            m, d = scheme.segments(int(b)), scheme.deletions(int(b))
+            m, d, spare = scheme.of(int(b))
             n = sizes[docs]
             of = np.repeat(np.arange(len(docs)), n)
             start = np.concatenate([[0], np.cumsum(n)])
@@ -114,7 +127,7 @@ def signatures(h: np.ndarray, first: np.ndarray, scheme: Scheme) -> tuple[np.nda
                 total[flat[order][cuts]] = np.add.reduceat(value[order], cuts)
             filled = np.bincount(flat, minlength=len(docs) * m).reshape(len(docs), m) > 0
             # Empty exact segments are left out where a set has few of them.
-            shown = filled | ((~filled[:, d:]).sum(1) > scheme.spare)[:, None] | (np.arange(m) < d)
+            shown = filled | ((~filled[:, d:]).sum(1) > spare)[:, None] | (np.arange(m) < d)
             salt = common.mix(np.arange(m, dtype=np.uint64) + np.uint64(int(b) << 32))
             whole = common.mix(total.reshape(len(docs), m) + salt)
             r, c = np.nonzero(shown)
@@ -142,14 +155,12 @@ def allocate(sets: list[np.ndarray], total: int, scheme: Scheme) -> Scheme:
         mine = [s for s, k in zip(sets, bands, strict=True) if k == b]
         h, first = np.concatenate(mine), np.concatenate([[0], np.cumsum([len(s) for s in mine])])
         costs = {}
-        for d in sorted({0, 1, 2, (scheme.apart(int(b)) + 1) // 2}):
-            scheme.chosen[int(b)] = d
-            if scheme.segments(int(b)) < max(1, d):
-                continue
+        for d in (0, 1, 2, None):
+            scheme.plan[int(b)] = option = scheme.option(int(b), d)
             keys, _ = signatures(h, first, scheme)
             _, times = np.unique(keys, return_counts=True)
-            costs[d] = scale * len(keys) + PAIR_COST * scale**2 * float((times * (times - 1) // 2).sum())
-        scheme.chosen[int(b)] = min(costs, key=lambda d: (costs[d], d))
+            costs[option] = scale * len(keys) + PAIR_COST * scale**2 * float((times * (times - 1) // 2).sum())
+        scheme.plan[int(b)] = min(costs, key=costs.get)
     return scheme
 
 
@@ -197,8 +208,10 @@ def indexed(docs: DataFrame, n: int, percent: int) -> DataFrame:
     return common.written(rows.mapInArrow(work, "doc_id long, node long, n long, counters binary, keys array<long>"))
 
 
-def _possible(pairs: DataFrame, percent: int) -> DataFrame:
+def _possible(pairs: DataFrame, sized: DataFrame, percent: int) -> DataFrame:
     """Drops pairs that the sizes or the counters rule out: sum |x - y| never exceeds the true difference."""
+    left = sized.select(F.col("node").alias("a"), F.col("size").alias("na"), F.col("counters").alias("ca"))
+    right = sized.select(F.col("node").alias("b"), F.col("size").alias("nb"), F.col("counters").alias("cb"))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -206,11 +219,11 @@ def _possible(pairs: DataFrame, percent: int) -> DataFrame:
                 continue
             x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, COUNTERS).astype(np.int16) for c in ("ca", "cb"))
             apart = np.where((x == 255) | (y == 255), 0, np.abs(x - y)).sum(1)
-            na, nb = batch.column("na").to_numpy(), batch.column("nb").to_numpy()
-            ok = (100 + percent) * np.maximum(apart, np.abs(na - nb)) <= (100 - percent) * (na + nb)
+            ok = (100 + percent) * apart <= (100 - percent) * (batch.column("na").to_numpy() + batch.column("nb").to_numpy())
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(ok))
 
-    return pairs.mapInArrow(work, "a long, b long").distinct()
+    near = f"abs(na - nb) * {100 + percent} <= {100 - percent} * (na + nb)"
+    return pairs.join(left, "a").join(right, "b").where(near).select("a", "b", "na", "nb", "ca", "cb").mapInArrow(work, "a long, b long")
 
 
 def _verified(pairs: DataFrame, rows: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFrame:
@@ -244,29 +257,12 @@ def _verified(pairs: DataFrame, rows: DataFrame, docs: DataFrame, n: int, percen
 def near_classes(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id: the least doc_id reachable over pairs with 100 * intersection >= percent * union."""
     rows = indexed(docs, n, percent)
-    index = rows.where("node IS NOT NULL").select(F.explode("keys").alias("key"), "node", F.col("n").alias("size"), "counters")
-    # Most keys have one node; the rest keep their members.
-    hubs = index.groupBy("key").agg(F.min("node").alias("hub"), F.max("node").alias("last")).where("hub != last").select("key", "hub")
-    shared = index.select("key", "node").join(hubs, "key").distinct()
-    sized = rows.where("node IS NOT NULL").groupBy("node").agg(F.first("n").alias("size"), F.first("counters").alias("counters"))
-    shared = common.written(shared.join(sized, "node"))
-    a = shared.select("hub", "node", "size", "counters").where("node != hub").distinct()
-    hub = sized.select(F.col("node").alias("hub"), F.col("size").alias("na"), F.col("counters").alias("ca"))
-    star = a.join(hub, "hub").select(F.col("hub").alias("a"), F.col("node").alias("b"), "na", F.col("size").alias("nb"), "ca", F.col("counters").alias("cb"))
-    links = common.written(_verified(common.written(_possible(star, percent)), rows, docs, n, percent))
-    found = common.written(components.components(links))
-
-    # Keys that still hold several components compare across them; a node on no link is its own component.
-    member = shared.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    member = common.written(member)
-    split = member.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x != y").select("key")
-    rest = member.join(split, "key")
-    x = rest.select("key", F.col("node").alias("a"), F.col("component").alias("pa"), F.col("size").alias("na"), F.col("counters").alias("ca"), "hub")
-    y = rest.select("key", F.col("node").alias("b"), F.col("component").alias("pb"), F.col("size").alias("nb"), F.col("counters").alias("cb"))
-    near = f"abs(na - nb) * {100 + percent} <= {100 - percent} * (na + nb)"
-    cross = x.join(y, "key").where(f"a < b AND pa != pb AND a != hub AND {near}").select("a", "b", "na", "nb", "ca", "cb")
-    more = _verified(common.written(_possible(cross, percent)), rows, docs, n, percent)
-    found = components.components(common.written(links.unionByName(more)))
+    index = rows.where("node IS NOT NULL").select(F.explode("keys").alias("key"), "node")
+    sized = common.written(rows.where("node IS NOT NULL").groupBy("node").agg(F.first("n").alias("size"), F.first("counters").alias("counters")))
+    links = components.linked(
+        components.shared_keys(index), lambda pairs: _verified(common.written(_possible(pairs, sized, percent)), rows, docs, n, percent)
+    )
+    found = components.components(links)
 
     named = rows.join(found, "node", "left").withColumn("class", F.coalesce("component", "node"))
     least = named.where("class IS NOT NULL").groupBy("class").agg(F.min("doc_id").alias("least"))
