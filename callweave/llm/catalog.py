@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from callweave.llm import bpe, chat, jaccard, lines, mixing, quality, spotsigs
+from callweave.llm import bpe, chat, jaccard, lines, media, mixing, quality, spotsigs
 
-MODULES = [lines, bpe, quality, jaccard, mixing, spotsigs, chat]
+MODULES = [lines, media, bpe, quality, jaccard, mixing, spotsigs, chat]
 
 
 def queries() -> dict:
