@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from callweave.llm import bpe, chat, jaccard, lines, media, mixing, pii, quality, spotsigs
+from callweave.llm import bpe, chat, jaccard, lines, media, mixing, pii, pitmanyor, quality, spotsigs
 
-MODULES = [pii, lines, media, bpe, quality, jaccard, mixing, spotsigs, chat]
+MODULES = [pii, pitmanyor, lines, media, bpe, quality, jaccard, mixing, spotsigs, chat]
 
 
 def queries() -> dict:
