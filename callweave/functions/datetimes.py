@@ -93,12 +93,17 @@ def calendar_period(ticker: Column, filing_day: Column) -> Column:
     return out
 
 
-def fiscal_period(text: Column, filing_day: Column | None = None, ticker: Column | None = None) -> Column:
-    """Fiscal period by the company's own wording near the top of a release, else by its calendar."""
+def fiscal_period(
+    text: Column, filing_day: Column | None = None, ticker: Column | None = None, head: int | None = None, guidance: int | None = None
+) -> Column:
+    """Fiscal period by the company's own wording in a release, else by its calendar.
+
+    The whole text is read. `head` and `guidance` restrict the wording and the word "guidance" to so many first characters."""
     nothing = F.lit(None).cast("string")
     expected = nothing if filing_day is None or ticker is None else calendar_period(ticker, filing_day)
     who = nothing if ticker is None else ticker
-    head = F.substring(text, 1, 2500)
+    head = F.substring(text, 1, head) if head else text
+    warned = F.substring(text, 1, guidance) if guidance else text
 
     def pick(pattern: str, make) -> Column:
         return bind(F.regexp_extract(head, pattern, 0), lambda hit: F.when(
@@ -107,7 +112,7 @@ def fiscal_period(text: Column, filing_day: Column | None = None, ticker: Column
     label = lambda quarter, year: F.concat(F.lit("Q"), quarter, F.lit(" FY"), year)
     long_year = lambda y: F.when(F.length(y) == 2, F.concat(F.lit("20"), y)).otherwise(y)
     worded = pick(fv.PERIOD_WORD_YEAR, lambda g: label(quarter_number(g(1)), g(2)))
-    distrust = F.lower(F.substring(text, 1, 500)).contains("guidance") | F.coalesce(who.isin(fv.CALENDAR_FIRST_TICKERS), F.lit(False))
+    distrust = F.lower(warned).contains("guidance") | F.coalesce(who.isin(fv.CALENDAR_FIRST_TICKERS), F.lit(False))
     worded = F.when(worded.isNotNull() & expected.isNotNull() & distrust, expected).otherwise(worded)
 
     def ended(g) -> Column:
@@ -129,9 +134,9 @@ def fiscal_period(text: Column, filing_day: Column | None = None, ticker: Column
     )
 
 
-def is_other_event(text: Column) -> Column:
-    """Investor days, conferences and shareholder meetings: such a phrase near the top and no word of a quarter."""
-    head = F.lower(F.substring(text, 1, 3000))
+def is_other_event(text: Column, head: int | None = None) -> Column:
+    """Investor days, conferences and shareholder meetings: such a phrase and no word of a quarter, in the text or its first `head` characters."""
+    head = F.lower(F.substring(text, 1, head) if head else text)
     any_in = lambda words: head.rlike("|".join(words))  # noqa: E731  (plain phrases, no pattern characters)
     return any_in(fv.NON_EARNINGS_WORDS) & ~any_in(fv.QUARTERLY_WORDS)
 

@@ -1,8 +1,7 @@
 """Edit distances between token sequences.
 
-Short pairs stay in the JVM: every distinct word of a pair becomes one character and Spark's ``levenshtein`` runs on
-the coded strings.  Long pairs run a bit-vector pass in Arrow batches, one pair per row; hit and substitution counts,
-which a distance cannot give, run a banded dynamic programme there.
+Pairs of any size take one path: a bit-vector pass in Arrow batches, one pair per row; hit and substitution counts, which a
+distance cannot give, run a banded dynamic programme there.
 """
 
 from __future__ import annotations
@@ -13,21 +12,12 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-JVM_CELLS = 250_000
-JVM_CHAR_CELLS = 1_000_000
-
 
 def bind(value: Column, body) -> Column:
     """Evaluates ``value`` once and hands it to ``body``; without this a lambda re-evaluates it per element."""
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
-def coded(words: Column, vocabulary: Column) -> Column:
-    """Words to one character each, by their place in the pair's vocabulary."""
-    code = lambda w: F.decode(F.unhex(F.hex(F.lit(19967) + F.array_position(vocabulary, w))), "UTF-16BE")
-    return F.array_join(F.transform(words, code), "")
-
-
 def encode_pair(ref: list, hyp: list) -> tuple[np.ndarray, np.ndarray]:
     ids: dict = {}
     code = lambda seq: np.fromiter((ids.setdefault(t, len(ids)) for t in seq), dtype=np.int64, count=len(seq))
@@ -84,6 +74,13 @@ def _banded(a: np.ndarray, b: np.ndarray, unit: int, band: int) -> int:
 def edit_distance(ref, hyp) -> int:
     """Edit distance alone, by bit vectors over the reference (Myers 1999, Hyyro 2003): one pass over the hypothesis with
     whole-column integer operations."""
+    short, head = min(len(ref), len(hyp)), 0
+    while head < short and ref[head] == hyp[head]:
+        head += 1
+    tail = 0
+    while tail < short - head and ref[-1 - tail] == hyp[-1 - tail]:
+        tail += 1
+    ref, hyp = ref[head : len(ref) - tail], hyp[head : len(hyp) - tail]
     if not len(ref) or not len(hyp):
         return max(len(ref), len(hyp))
     spots: dict = {}
@@ -143,18 +140,13 @@ def edit_breakdown(ref: Column, hyp: Column) -> Column:
 
 
 def word_distance(ref: Column, hyp: Column) -> Column:
-    """Word-level edit distance of two word arrays.  Pass materialised columns: each is read several times."""
-    small = F.size(ref) * F.size(hyp) <= JVM_CELLS
-    pair = F.struct(ref.alias("r"), hyp.alias("h"), F.array_distinct(F.concat(ref, hyp)).alias("v"))
-    fast = F.when(small, bind(pair, lambda p: F.levenshtein(coded(p["r"], p["v"]), coded(p["h"], p["v"])).cast("long")))
-    return F.coalesce(fast, _distance(F.when(~small, ref), F.when(~small, hyp)))
+    """Word-level edit distance of two word arrays."""
+    return _distance(ref, hyp)
 
 
 def char_distance(ref: Column, hyp: Column) -> Column:
     """Character-level edit distance of two texts."""
-    small = F.length(ref).cast("long") * F.length(hyp) <= JVM_CHAR_CELLS
-    fast = F.when(small, F.levenshtein(ref, hyp).cast("long"))
-    return F.coalesce(fast, _distance(F.when(~small, ref), F.when(~small, hyp)))
+    return _distance(ref, hyp)
 
 
 def error_rate(distance: Column, ref_len: Column, hyp_len: Column) -> Column:

@@ -115,11 +115,12 @@ def resolve_call_ids(requests: DataFrame, files: DataFrame, request: str = "requ
     return requests.select(request).distinct().join(best, request, "left").select(request, F.col("_b")[stem].alias(stem), F.col("_b.how").alias("match_class"))
 
 
-def company_documents(docs: DataFrame, companies: DataFrame, head: int = 1000) -> DataFrame:
-    """Documents whose URL or first ``head`` characters name the company.  docs: doc_id, url, text; companies: ticker, name."""
+def company_documents(docs: DataFrame, companies: DataFrame, head: int | None = None) -> DataFrame:
+    """Documents whose URL or text (or its first ``head`` characters) names the company.  docs: doc_id, url, text; companies: ticker, name."""
     from callweave.operators.matching import containing
 
+    body = F.coalesce("text", F.lit(""))
     texts = docs.select("doc_id", F.posexplode(F.array(
-        F.lower(F.coalesce("url", F.lit(""))), F.lower(F.substring(F.coalesce("text", F.lit("")), 1, head)))).alias("_part", "_t"))
+        F.lower(F.coalesce("url", F.lit(""))), F.lower(F.substring(body, 1, head) if head else body))).alias("_part", "_t"))
     names = companies.select("ticker", F.lower("name").alias("_n"))
     return containing(texts, ["doc_id", "_part"], "_t", names, "_n").select("doc_id", "ticker").distinct()

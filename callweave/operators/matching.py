@@ -20,7 +20,7 @@ def dictionary_counts(texts: DataFrame, phrases: DataFrame, key: str, longest: i
 
     texts: key, tokens array.  phrases: phrase (tokens joined by one space, up to ``longest`` tokens).  The join is an
     equi-join on the word run and emits true matches only; the planner broadcasts the phrase side if its size allows and
-    otherwise splits hot runs.  Positions are kept only for phrases that can overlap themselves."""
+    otherwise splits hot runs.  Positions are kept only for phrases that can overlap themselves.  A longer phrase is an error."""
     sizes = F.sequence(F.lit(1), F.lit(longest))
     rows = texts.select(
         key, "tokens", F.explode(sizes).alias("_n")
@@ -33,7 +33,7 @@ def dictionary_counts(texts: DataFrame, phrases: DataFrame, key: str, longest: i
     )
     dictionary = phrases.select(
         F.col("phrase").alias(GRAM), F.size(F.split("phrase", " ")).alias("_n"), has_border(F.split("phrase", " ")).alias("_border")
-    ).distinct()
+    ).distinct().where(F.expr(f"if(_n <= {longest}, true, raise_error(concat('phrase over {longest} tokens: ', {GRAM})))"))
     hits = runs.join(dictionary, [GRAM, "_n"])
     grouped = hits.groupBy(key, F.col(GRAM).alias("phrase")).agg(
         F.count(F.lit(1)).alias("_all"), F.max("_n").alias("_n"),
@@ -57,7 +57,9 @@ def containing(texts: DataFrame, keys: list[str], text: str, phrases: DataFrame,
 
     Both sides meet on the phrase's first ``width`` characters (shorter phrases on all of theirs).  Only (keys, run) rows
     go through that join, never the texts; the few candidate pairs fetch their text afterwards and are checked.  Say how
-    long the ``shortest`` phrase is to skip the short runs."""
+    long the ``shortest`` phrase is to skip the short runs; a shorter one (but the empty) is an error."""
+    phrases = phrases.where(F.when((F.length(phrase) == 0) | (F.length(phrase) >= shortest), True).otherwise(
+        F.raise_error(F.concat(F.lit(f"phrase under {shortest} characters: "), F.col(phrase))).cast("boolean")))
     rest = [c for c in phrases.columns if c != phrase]
     size = F.length(phrase)
 

@@ -17,11 +17,10 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def wide_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """A table about to go through costly per-row text work.  A scan with fewer partitions than cores (one small file) is
-    spread out; a scan that already keeps every core busy stays as it is and is not shuffled."""
-    rows = table(spark, folder, name)
-    cores = spark.sparkContext.defaultParallelism
-    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
+    """A table about to go through costly per-row text work, spread over spark.callweave.textPartitions where that is set
+    (tables of few files), else as it is scanned."""
+    rows, parts = table(spark, folder, name), spark.conf.get("spark.callweave.textPartitions", None)
+    return rows.repartition(int(parts)) if parts else rows
 
 
 def word_array(text: Column) -> Column:

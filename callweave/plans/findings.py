@@ -247,10 +247,10 @@ def webcast_status(spark, folder):
 
 @query("company_doc_match", f"""
 WITH n AS (SELECT DISTINCT w AS name FROM (SELECT unnest({words_sql('lower(text)')}) AS w FROM benchmark) WHERE length(w) >= 9),
-t AS (SELECT page_id, lower(url) AS u, lower(html[1:1000]) AS h FROM pages)
+t AS (SELECT page_id, lower(url) AS u, lower(html) AS h FROM pages)
 SELECT DISTINCT page_id AS doc_id, name AS ticker FROM t, n WHERE contains(u, name) OR contains(h, name)""")
 def company_doc_match(spark, folder):
-    """Pages whose URL or head names one of the long words of the benchmark passages."""
+    """Pages whose URL or text names one of the long words of the benchmark passages."""
     words = table(spark, folder, "benchmark").select(F.explode(word_array(F.lower("text"))).alias("name")).where(F.length("name") >= 9).distinct()
     docs = table(spark, folder, "pages").select(F.col("page_id").alias("doc_id"), "url", F.col("html").alias("text"))
     return disc.company_documents(docs, words.select(F.col("name").alias("ticker"), "name"))

@@ -20,6 +20,7 @@ def local_session(cores: str = "8", app: str = "callweave") -> SparkSession:
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.driver.memory", os.environ.get("CALLWEAVE_DRIVER_MEMORY", "12g"))
         .config("spark.ui.enabled", "false")
+        .config("spark.callweave.textPartitions", cores)
         .getOrCreate()
     )
 
