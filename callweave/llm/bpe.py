@@ -193,10 +193,11 @@ def decode(df: DataFrame, path: str, pattern: str, ids: str = "token_ids", out:
 
 def as_array(df: DataFrame, ids: str = "token_ids") -> DataFrame:
     """Turns packed ids into array<long>."""
-    digits = F.transform(
-        F.sequence(F.lit(1), F.floor(F.octet_length(ids) / 4)),
-        lambda i: F.conv(F.hex(F.reverse(F.substring(F.col(ids), (i * 4 - 3).cast("int"), F.lit(4)))), 16, 10).cast("long"),
-    )
+    def number(i):
+        four = F.hex(F.substring(F.col(ids), (i * 4 - 3).cast("int"), F.lit(4)))
+        return F.conv(F.concat(*(F.substring(four, at, 2) for at in (7, 5, 3, 1))), 16, 10).cast("long")
+
+    digits = F.transform(F.sequence(F.lit(1), F.floor(F.octet_length(ids) / 4)), number)
     return df.withColumn(ids, F.when(F.octet_length(ids) > 0, digits).otherwise(F.array().cast("array<long>")))
 
 

@@ -28,7 +28,7 @@ from pyspark.sql import types as T
 from callweave.llm import common
 
 KINDS = ("email", "ip", "card", "phone")
-LONGEST, MARGIN, SAMPLE, NEAR = 24, 3.0, 250, 32
+LONGEST, MARGIN, SAMPLE, NEAR = 24, 3.0, 150, 32
 
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -232,7 +232,7 @@ def decode(t: Tokens, model: Model) -> list[tuple[int, int, int, int]]:
     return out
 
 
-def train(texts: list[str], gold: list[list[tuple[int, int, int]]], steps: int = 80, rate: float = 0.5, decay: float = 2e-6) -> Model:
+def train(texts: list[str], gold: list[list[tuple[int, int, int]]], steps: int = 60, rate: float = 0.5, decay: float = 2e-6) -> Model:
     """Maximum likelihood by adaptive gradient steps over all regions. Gold spans that are no run of whole tokens are passed over."""
     model, t = Model(), Tokens(texts)
     if not len(t.of):
