@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from html.entities import html5
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -9,22 +11,34 @@ from callweave.functions import fixed_values as fv
 from callweave.functions.editdist import bind
 
 HIDDEN = r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>|<![^>]*>"
-# Named character references decoded in page text ("&amp;" last).
-NAMED = [("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'")]
+#: A tag, whose quoted attribute values may hold ">"; one with an unclosed quote ends at the next ">".
+TAG = r"""<>|</?[A-Za-z](?:[^>"']++|"[^"]*+"|'[^']*+')*+>|<[^>]*>"""
+REFERENCE = r"&(#[xX][0-9a-fA-F]{1,6}|#[0-9]{1,7}|[A-Za-z][A-Za-z0-9]{1,31});"
+#: Named character references and what they stand for, from the standard library's table.
+NAMED = {name[:-1]: value for name, value in html5.items() if name.endswith(";")}
 
 
 def decode_entities(text: Column) -> Column:
-    for name, char in NAMED:
-        text = F.replace(text, F.lit(name), F.lit(char))
-    numbers = F.array_distinct(F.regexp_extract_all(text, F.lit(r"&#(\d{1,6});"), F.lit(1)))
-    glyph = lambda n: F.decode(F.unhex(F.lpad(F.hex(n.cast("int")), 8, "0")), "UTF-32")
-    text = F.aggregate(numbers, text, lambda t, n: F.replace(t, F.concat(F.lit("&#"), n, F.lit(";")), glyph(n)))
-    return F.replace(text, F.lit("&amp;"), F.lit("&"))
+    """Character references decoded, each once; unknown names stay, impossible numbers become U+FFFD."""
+    names = F.map_from_arrays(F.array(*map(F.lit, NAMED)), F.array(*map(F.lit, NAMED.values())))
+
+    def glyph(number: Column) -> Column:
+        fit = (number > 0) & (number < 0x110000) & ~number.between(0xD800, 0xDFFF)
+        return F.decode(F.unhex(F.lpad(F.hex(F.when(fit, number).otherwise(0xFFFD)), 8, "0")), "UTF-32")
+
+    def decoded(ref: Column) -> Column:
+        number = F.when(F.rlike(ref, F.lit("^#[xX]")), F.conv(F.substring(ref, 3, 6), 16, 10)).otherwise(F.substring(ref, 2, 7)).cast("int")
+        known = F.coalesce(F.try_element_at(names, ref), F.concat(F.lit("&"), ref, F.lit(";")))
+        return F.when(F.startswith(ref, F.lit("#")), glyph(number)).otherwise(known)
+
+    refs = F.transform(F.regexp_extract_all(text, F.lit(REFERENCE), F.lit(1)), decoded)
+    pieces = F.zip_with(F.split(text, REFERENCE, -1), refs, lambda plain, ref: F.concat(plain, F.coalesce(ref, F.lit(""))))
+    return F.when(F.contains(text, F.lit("&")), F.array_join(pieces, "")).otherwise(text)
 
 
 def page_text(html: Column) -> Column:
     """Visible strings of a page, stripped and joined by one space."""
-    pieces = F.split(F.regexp_replace(html, HIDDEN, "<>"), r"<[^>]*>")
+    pieces = F.split(F.regexp_replace(html, HIDDEN, "<>"), TAG)
     clean = F.transform(pieces, lambda p: F.regexp_replace(p, r"^[\s\p{Z}]+|[\s\p{Z}]+$", ""))
     return decode_entities(F.array_join(F.filter(clean, lambda p: p != ""), " "))
 

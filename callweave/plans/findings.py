@@ -146,10 +146,10 @@ def relevant_links(spark, folder):
 
 
 @query("page_text", r"""
-SELECT page_id, replace(replace(replace(replace(replace(replace(array_to_string(list_filter(list_transform(
+SELECT page_id, replace(replace(replace(replace(replace(replace(replace(replace(array_to_string(list_filter(list_transform(
    regexp_split_to_array(regexp_replace(html, '(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>|<![^>]*>', '<>', 'g'), '<[^>]*>'),
    lambda p: regexp_replace(p, '^[\s\p{Z}]+|[\s\p{Z}]+$', '', 'g')), lambda p: p <> ''), ' '),
-   '&nbsp;', chr(160)), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&apos;', ''''), '&amp;', '&') AS text FROM pages""")
+   '&nbsp;', chr(160)), '&copy;', chr(169)), '&middot;', chr(183)), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&apos;', ''''), '&amp;', '&') AS text FROM pages""")
 def page_text(spark, folder):
     return table(spark, folder, "pages").select("page_id", web.page_text(F.col("html")).alias("text"))
 

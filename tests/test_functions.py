@@ -3,6 +3,7 @@
 import difflib
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -186,3 +187,23 @@ def test_dictionary_counts_and_containment(spark):
     needles = spark.createDataFrame([("wheel",), ("flywheel s",), ("é",), ("zzz",), ("",)], "p string")
     pairs = {(r.id, r.p) for r in matching.containing(texts, ["id"], "t", needles, "p").collect()}
     assert pairs == {(1, "wheel"), (2, "wheel"), (1, "flywheel s"), (2, "é")}
+
+
+def test_page_text_references_and_quotes(spark):
+    from callweave.functions import web
+
+    html = """<p title="a>b" class='c>d'>x &mdash; y&#x2014;z &rsquo;&amp;lt;&#8212;</p><b>&unknown; &#0; &#55296; AT&T</b><i "open>left</i>"""
+    got = spark.createDataFrame([(html,)], "h string").select(web.page_text(F.col("h")).alias("t")).first().t
+    assert got == "x — y—z ’&lt;— &unknown; � � AT&T left"
+
+
+def test_edit_distance_of_long_and_lopsided_pairs():
+    from callweave.functions.editdist import edit_distance
+
+    draw = np.random.default_rng(1)
+    long = draw.integers(0, 5000, 60_000).tolist()
+    other = list(long)
+    for k in range(50, 60_000, 1000):
+        other[k] = -1
+    assert edit_distance(long, other) == 60
+    assert edit_distance([1], list(range(40_000))) == 39_999
