@@ -31,17 +31,28 @@ ANCHORS = (
 THRESHOLD = 0.8
 
 
+def _any_of(words: set[str]) -> str:
+    """A pattern for any of the words, branched by first letter so that few are tried at a place."""
+    heads = sorted({w[0] for w in words})
+    return "|".join(f"{h}(?:{'|'.join(sorted((w[1:] for w in words if w[0] == h), key=len, reverse=True))})" for h in heads)
+
+
 def signatures(text: Column) -> Column:
     """Sorted distinct signature hashes of a text."""
     words = F.concat(F.lit(" |^ "), F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}]+", " "), F.lit(" "))
     words = F.replace(words, F.lit("  "), F.lit(" "))
-    marked = F.regexp_replace(words, f" ({'|'.join(sorted(set(ANCHORS.split())))})(?= )", " |$1")
+    marked = F.regexp_replace(words, f" ({_any_of(set(ANCHORS.split()))})(?= )", " |$1")
     # An anchor that another one follows goes; the last one is tied to the word after it.
     last = F.regexp_replace(marked, r"\|[^ |]+ (?=\|)", "")
     tied = F.split(F.trim(F.regexp_replace(last, r"\|([^ ]+) ", "$1|")), " ")
-    after = F.slice(F.concat(tied, F.array(F.lit(""))), F.lit(2), F.size(tied))
-    found = F.zip_with(tied, after, lambda x, y: F.when(F.contains(x, F.lit("|")), F.xxhash64(x, F.substring_index(y, "|", -1))))
-    return F.when(F.rlike(text, F.lit(r"[\p{L}\p{N}]")), F.sort_array(F.array_distinct(F.array_compact(found)))).otherwise(F.array().cast("array<long>"))
+
+    def spots(t: Column) -> Column:
+        after = F.slice(F.concat(t, F.array(F.lit(""))), F.lit(2), F.size(t))
+        return F.array_compact(F.zip_with(t, after, lambda x, y: F.when(F.contains(x, F.lit("|")), F.xxhash64(x, F.substring_index(y, "|", -1)))))
+
+    # The one-element transform evaluates the words once, though `spots` names them three times.
+    found = F.sort_array(F.array_distinct(F.flatten(F.transform(F.array(tied), spots))))
+    return F.when(F.rlike(text, F.lit(r"[\p{L}\p{N}]")), found).otherwise(F.array().cast("array<long>"))
 
 
 def shown(signs: Column) -> Column:
