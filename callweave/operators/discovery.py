@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from callweave.functions import datetimes as dt, fixed_values as fv, web
@@ -43,10 +43,15 @@ def _once(rows: DataFrame, name: str, costly: Column) -> DataFrame:
     return rows.select("*", F.explode(F.array(costly)).alias(name))
 
 
-def read_documents(docs: DataFrame, registry=fv.VENDORS) -> DataFrame:
-    """Event facts of every earnings document.  docs: keys, form, filing_date, accepted_at, ticker, html."""
+def read_documents(docs: DataFrame, registry=fv.VENDORS, newest: bool = False) -> DataFrame:
+    """Event facts of every earnings document.  docs: keys, form, filing_date, accepted_at, ticker, html.
+
+    ``newest`` reads only each company's filing of least rank that has such a document; the planner limits groups ahead of the shuffle."""
     rows = _once(docs, "_text", web.page_text(F.col("html"))).where(F.col("_text") != "")
     rows = rows.where(~dt.is_other_event(F.col("_text")))
+    if newest:
+        rank = F.rank().over(Window.partitionBy("ticker").orderBy("filing_rank"))
+        rows = rows.withColumn("_rank", rank).where("_rank = 1").drop("_rank")
     rows = rows.withColumn("announced_at_utc", dt.announced_at(F.col("filing_date"), F.col("accepted_at")))
     rows = _once(rows, "_call", dt.call_time(F.col("_text"), F.col("announced_at_utc")))
     flags = dt.filing_flags(F.col("_text"), F.col("_call.zone"))
@@ -76,8 +81,8 @@ def registry_rows(companies: DataFrame, filings: DataFrame, pages: DataFrame, ov
 
     companies: ticker, country, ir_page_url.  filings / pages: ticker, filing_rank, doc_rank, form, filing_date, accepted_at,
     html (plus country, items for filings)."""
-    filed = best_document(read_documents(earnings_filings(filings)), ["ticker"]).select("ticker", *EVENT)
-    paged = best_document(read_documents(pages), ["ticker"]).withColumn("discovery_source", F.lit("IR_EVENTS_PAGE"))
+    filed = best_document(read_documents(earnings_filings(filings), newest=True), ["ticker"]).select("ticker", *EVENT)
+    paged = best_document(read_documents(pages, newest=True), ["ticker"]).withColumn("discovery_source", F.lit("IR_EVENTS_PAGE"))
     paged = paged.withColumn("confidence", cap.page_confidence(F.col("call_datetime_utc"), F.col("fiscal_period"))).select("ticker", *EVENT)
     gaps = companies.where(F.col("country") != "US").select("ticker").join(paged, "ticker")
     both = companies.select("ticker", "country", "ir_page_url").join(filed, "ticker", "left")
