@@ -52,11 +52,11 @@ def targets(sizes: DataFrame, weights: tuple[float, ...] = WEIGHTS, budget: floa
         .withColumn("weight", weight)
         .withColumn("limit", cap * F.col("source_size") / F.col("weight"))
     )
-    # With the sources of smaller limit capped, the level of the rest; the level that holds is the smallest not above its own limit.
+    # With the sources of smaller limit capped, the level of the rest; it holds at the first source, by limit, that it does not exceed.
     level = (budget * F.sum("source_size").over(whole) - F.coalesce(cap * F.sum("source_size").over(upto), F.lit(0.0))) / F.sum("weight").over(after)
     return (
         ranked.withColumn("level", level)
-        .withColumn("level", F.min(F.when(F.col("level") <= F.col("limit"), F.col("level"))).over(whole))
+        .withColumn("level", F.min(F.when(F.col("level") <= F.col("limit"), F.struct("limit", "rank", "level"))).over(whole)["level"])
         .withColumn("target", F.least(cap * F.col("source_size"), F.coalesce(F.col("level") * F.col("weight"), cap * F.col("source_size"))))
         .select("source", "rank", "source_size", "target")
     )
@@ -126,18 +126,19 @@ def placed(rows: DataFrame, schedules: tuple = SCHEDULES) -> DataFrame:
 
 def mixed(docs: DataFrame, **settings) -> DataFrame:
     """The mix itself: each taken copy as a row with the columns of `docs`, range-sorted by position."""
-    numbered = docs.drop("position")
-    rows = placed(chosen(docs, **settings)).select(F.col("doc_id").alias("_id"), F.col("size").alias("_size"), F.col("source").alias("_source"), "copy", "position")
+    names = [c for c in docs.columns if c != "position"]
+    rows = placed(chosen(docs, **settings))
+    rows = rows.select(*(F.col(c).alias(f"__{c}") for c in ("doc_id", "size", "source", "copy", "position")))
     # Rows of equal id, source and size are told apart by their number, so that repeated rows are not multiplied.
-    pick = Window.partitionBy("_id", "_source", "_size", "copy").orderBy("position")
-    rows = rows.withColumn("_n", F.row_number().over(pick))
-    each = Window.partitionBy("doc_id", "source", "_words").orderBy(F.xxhash64("text"))
-    texts = numbered.withColumn("_words", common.n_words(F.col("text"))).withColumn("_k", F.row_number().over(each))
+    pick = Window.partitionBy("__doc_id", "__source", "__size", "__copy").orderBy("__position")
+    rows = rows.withColumn("__n", F.row_number().over(pick))
+    each = Window.partitionBy("doc_id", "source", "__words").orderBy(F.xxhash64("text"))
+    texts = docs.select(*names).withColumn("__words", common.n_words(F.col("text"))).withColumn("__k", F.row_number().over(each))
     same = (
-        F.col("doc_id").eqNullSafe(F.col("_id")) & F.col("source").eqNullSafe(F.col("_source"))
-        & (F.col("_words") == F.col("_size")) & (F.col("_k") == F.col("_n"))
+        F.col("doc_id").eqNullSafe(F.col("__doc_id")) & F.col("source").eqNullSafe(F.col("__source"))
+        & (F.col("__words") == F.col("__size")) & (F.col("__k") == F.col("__n"))
     )
-    return texts.join(rows, same).select(*numbered.columns, "position").orderBy("position", "doc_id")
+    return texts.join(rows, same).select(*names, F.col("__position").alias("position")).orderBy("position", "doc_id")
 
 
 def op8_mix(spark: SparkSession, folder: str) -> DataFrame:
@@ -175,7 +176,7 @@ s AS (SELECT *, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS rank FROM
 w AS (SELECT *, [3.0, 1.0, 2.0][(rank % 3 + 1)::INT]::DOUBLE AS weight FROM s),
 lv AS (SELECT x.rank, (1.5 * (SELECT sum(source_size) FROM w) - coalesce((SELECT sum(2.0 * y.source_size) FROM w y WHERE 2.0 * y.source_size / y.weight < 2.0 * x.source_size / x.weight), 0))
   / (SELECT sum(y.weight) FROM w y WHERE 2.0 * y.source_size / y.weight >= 2.0 * x.source_size / x.weight) AS level, 2.0 * x.source_size / x.weight AS cap FROM w x),
-t AS (SELECT w.*, least(2.0 * source_size, coalesce((SELECT min(level) FROM lv WHERE level <= cap) * weight, 2.0 * source_size))::DOUBLE AS target FROM w),
+t AS (SELECT w.*, least(2.0 * source_size, coalesce((SELECT level FROM lv WHERE abs((SELECT sum(least(2.0 * z.source_size, lv.level * z.weight)) FROM w z) - 1.5 * (SELECT sum(source_size) FROM w)) < 1e-3 ORDER BY level LIMIT 1) * weight, 2.0 * source_size))::DOUBLE AS target FROM w),
 r AS (SELECT d.*, t.rank, t.source_size, t.target, coalesce(sum(d.size) OVER (PARTITION BY d.source ORDER BY digest, doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS before
   FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
 k AS (SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size)::BIGINT ELSE 0 END AS base FROM r),
