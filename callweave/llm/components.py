@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from callweave.llm import common
@@ -25,48 +25,83 @@ def _stars(edges: DataFrame, small: bool) -> DataFrame:
     return out.where("a != b").distinct()
 
 
+def _settled(edges: DataFrame) -> bool:
+    """True where every node on the larger side of an edge has one edge and is on no smaller side: each component is a star."""
+    sides = edges.select(F.col("a").alias("n"), F.lit(1).alias("up"), F.lit(0).alias("down"))
+    sides = sides.unionByName(edges.select(F.col("b").alias("n"), F.lit(0).alias("up"), F.lit(1).alias("down")))
+    return sides.groupBy("n").agg(F.sum("up").alias("up"), F.max("down").alias("down")).where("up > 1 OR (up > 0 AND down > 0)").isEmpty()
+
+
 def components(edges: DataFrame) -> DataFrame:
     """node, component (the least node reachable) of every node on an edge. `edges` has long columns a and b; loops and repeats do no harm.
 
-    Each round is a table in the shared folder; only its row count and checksum come to the driver.
+    Each round is a table in the shared folder; only whether it is the last comes to the driver.
     """
-    now, mark = common.written(edges.select("a", "b").where("a != b").distinct()), None
-    while True:
+    now = common.written(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a != b").distinct())
+    while not _settled(now):
         now = common.written(_stars(_stars(now, small=False), small=True))
-        seen = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if tuple(seen) == mark:
-            break
-        mark = tuple(seen)
-    # At rest every edge joins a node to its component's least node.
-    return now.groupBy("a").agg(F.min("b").alias("component")).withColumnRenamed("a", "node").unionByName(
+    return now.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(
         now.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
     )
 
 
+#: Members of a key that one task puts in order to find chain partners; larger keys are salted.
+CHAIN = 512
+
+
 def shared_keys(index: DataFrame) -> DataFrame:
-    """key, node, hub of the keys that several nodes have; hub is a key's least node. `index` has long columns key and node.
+    """key, node, hub, times of the keys that several nodes have; hub is a key's least node. `index` has long columns key and node.
 
     Most keys have one node. The grouped minimum combines before its shuffle, so a key of very many rows is no single task's.
     """
-    hubs = index.groupBy("key").agg(F.min("node").alias("hub"), F.max("node").alias("last")).where("hub != last").select("key", "hub")
-    return common.written(index.join(common.written(hubs), "key").select("key", "node", "hub").distinct())
+    hubs = index.groupBy("key").agg(F.min("node").alias("hub"), F.max("node").alias("last"), F.count(F.lit(1)).alias("times"))
+    hubs = common.written(hubs.where("hub != last").select("key", "hub", "times"))
+    return common.written(index.join(hubs, "key").select("key", "node", "hub", "times").distinct())
+
 
+def chained(members: DataFrame, seed: int) -> DataFrame:
+    """Every member of a key with the next one in a random order of the key's own: about as many pairs as members."""
+    draw = F.xxhash64("key", "node", F.lit(seed))
+    salted = members.withColumn("draw", draw).withColumn("salt", F.pmod(draw, F.ceil(F.col("times") / CHAIN)))
+    after = Window.partitionBy("key", "salt").orderBy(F.xxhash64("draw"), "node")
+    columns = [c for c in ("component",) if c in members.columns]
+    pairs = salted.select("node", *columns, F.lead("node").over(after).alias("other"), *(F.lead(c).over(after).alias(f"other_{c}") for c in columns))
+    pairs = pairs.where("other IS NOT NULL")
+    if columns:
+        pairs = pairs.where("component != other_component")
+    return pairs.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
 
-def linked(shared: DataFrame, check: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """Links (a, b) that give the same components as checking every pair of nodes with a common key.
 
-    First every node is held against its key's hub. After the components of those links, only keys that still hold several components
-    compare their members across components: a group of near copies costs about its size, not its square.
+def _split(shared: DataFrame, found: DataFrame) -> DataFrame:
+    """Members, with their components, of the keys that still hold several; a node on no link is its own component."""
+    member = shared.join(found, "node", "left").select("key", "node", "hub", "times", F.coalesce("component", "node").alias("component"))
+    member = common.written(member)
+    split = member.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x != y").select("key")
+    return common.written(member.join(split, "key"))
+
+
+def grouped(shared: DataFrame, check: Callable[[DataFrame], DataFrame], rounds: int = 2) -> DataFrame:
+    """node, component over the links that `check` leaves of all pairs of nodes with a common key; nodes on no link are left out.
+
+    First every node is held against its key's hub and against a random other member, then in further `rounds` against random members of
+    other components. The links so found join a group of near copies for about its size in pairs, not its square. Only what keys then still
+    hold in several components is compared in full, across components, so no connection is lost.
     """
-    star = shared.where("node != hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
-    links = common.written(check(star))
+
+    def cross(rest: DataFrame) -> DataFrame:
+        x = rest.where("node != hub").select("key", F.col("node").alias("a"), F.col("component").alias("pa"))
+        y = rest.select("key", F.col("node").alias("b"), F.col("component").alias("pb"))
+        return x.join(y, "key").where("a < b AND pa != pb").select("a", "b").distinct()
+
+    star = shared.where("node != hub").select(F.col("hub").alias("a"), F.col("node").alias("b"))
+    links = common.written(check(star.unionByName(chained(shared, 0)).distinct()))
     found = components(links)
-    member = common.written(
-        shared.join(found, "node", "left").select("key", "node", "hub", F.coalesce("component", "node").alias("component"))
-    )
-    split = member.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x != y").select("key")
-    rest = member.join(split, "key")
-    x = rest.where("node != hub").select("key", F.col("node").alias("a"), F.col("component").alias("pa"))
-    y = rest.select("key", F.col("node").alias("b"), F.col("component").alias("pb"))
-    cross = x.join(y, "key").where("a < b AND pa != pb").select("a", "b").distinct()
-    return common.written(links.unionByName(check(cross)))
+    for seed in range(1, rounds + 2):
+        rest = _split(shared, found)
+        if rest.isEmpty():
+            break
+        more = common.written(check(chained(rest, seed) if seed <= rounds else cross(rest)))
+        if not more.isEmpty():
+            links = common.written(links.unionByName(more))
+            found = components(links)
+    return found

@@ -7,7 +7,7 @@ one-deletion neighbourhood of the d segments; m and d are chosen by cost (index
 band. There are enough segments for some spare agreements, so that a set's few empty segments need not be indexed; a set with more empty
 segments than that indexes them all, so nothing is lost.
 
-Candidates are then held against an exact bound from segment counts and verified exactly; components.linked keeps their number near the size
+Candidates are then held against an exact bound from segment counts and verified exactly; components.grouped keeps their number near the size
 of a group of near copies without losing a connection.
 
 Sets are 64-bit hashes of n-grams; equal sets are one node. Null and wordless texts have the empty set, linked with nothing. A text of fewer
@@ -259,10 +259,9 @@ def near_classes(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     rows = indexed(docs, n, percent)
     index = rows.where("node IS NOT NULL").select(F.explode("keys").alias("key"), "node")
     sized = common.written(rows.where("node IS NOT NULL").groupBy("node").agg(F.first("n").alias("size"), F.first("counters").alias("counters")))
-    links = components.linked(
+    found = components.grouped(
         components.shared_keys(index), lambda pairs: _verified(common.written(_possible(pairs, sized, percent)), rows, docs, n, percent)
     )
-    found = components.components(links)
 
     named = rows.join(found, "node", "left").withColumn("class", F.coalesce("component", "node"))
     least = named.where("class IS NOT NULL").groupBy("class").agg(F.min("doc_id").alias("least"))

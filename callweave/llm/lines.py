@@ -110,8 +110,8 @@ def block_keys(simhash: Column) -> Column:
     return F.array(*(F.xxhash64(F.lit(i * 8 + j), part[i], part[j]) for i in range(5) for j in range(i + 1, 5)))
 
 
-def line_links(docs: DataFrame, found: DataFrame, similarity: float, bits: int) -> DataFrame:
-    """Links (a, b) between normal forms."""
+def line_groups(docs: DataFrame, found: DataFrame, similarity: float, bits: int) -> DataFrame:
+    """node, component of the normal forms that have links."""
     forms = common.written(found.groupBy("node").agg(F.first("simhash").alias("simhash"), F.min(F.struct("id", "mark", "line")).alias("at")))
     shared = components.shared_keys(forms.select(F.explode(block_keys(F.col("simhash"))).alias("key"), "node"))
     hashes = forms.select("node", "simhash")
@@ -132,14 +132,14 @@ def line_links(docs: DataFrame, found: DataFrame, similarity: float, bits: int)
         apart = F.abs(F.char_length("fa") - F.char_length("fb")) <= F.col("limit")
         return both.where(apart & (F.expr("levenshtein(fa, fb, limit)") >= 0)).select("a", "b").distinct()
 
-    return components.linked(shared, check)
+    return components.grouped(shared, check)
 
 
 def deduplicated(docs: DataFrame, min_words: int = MIN_WORDS, similarity: float = SIMILARITY, bits: int = BITS) -> DataFrame:
     """`docs` with the kept lines as text, and n_lines and n_dropped."""
     docs = docs.drop("n_lines", "n_dropped")
     found = occurrences(docs, min_words)
-    group = components.components(line_links(docs, found, similarity, bits))
+    group = line_groups(docs, found, similarity, bits)
     spot = F.struct(F.col("doc_id").isNull().alias("x"), "doc_id", "mark", "line")
     lines = found.join(group, "node", "left").select("id", "mark", "doc_id", "line", F.coalesce("component", "node").alias("class"))
     lines = common.written(lines)
