@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -47,6 +49,8 @@ def components(edges: DataFrame) -> DataFrame:
 
 #: Members of a key that one task puts in order to find chain partners; larger keys are salted.
 CHAIN = 512
+#: Members of a key that are compared with so many others at a time.
+CHUNK = 256
 
 
 def shared_keys(index: DataFrame) -> DataFrame:
@@ -80,19 +84,47 @@ def _split(shared: DataFrame, found: DataFrame) -> DataFrame:
     return common.written(member.join(split, "key"))
 
 
-def grouped(shared: DataFrame, check: Callable[[DataFrame], DataFrame], rounds: int = 2) -> DataFrame:
+def crossed(rest: DataFrame, traits: DataFrame, may: Callable) -> DataFrame:
+    """Pairs of nodes of different components with a common key that `may` be linked by their traits.
+
+    A key's members are dealt into chunks of about CHUNK; a task compares two chunks and gives only what `may` leaves, each pair under its
+    least common key, so the pairs of a large group are never rows. `may` takes two arrays of traits (bytes) and returns a matrix.
+    """
+    own = rest.groupBy("node").agg(F.sort_array(F.collect_list("key")).alias("keys"))
+    rows = rest.select("key", "node", "component", "times").join(traits, "node").join(own, "node")
+    chunk = F.pmod(F.xxhash64("node", "key"), F.ceil(F.col("times") / CHUNK))
+    dealt = rows.groupBy("key", chunk.alias("chunk")).agg(F.collect_list(F.struct("node", "component", "trait", "keys")).alias("members"))
+    one = dealt.select("key", F.col("chunk").alias("ca"), F.col("members").alias("ma"))
+    two = dealt.select("key", F.col("chunk").alias("cb"), F.col("members").alias("mb"))
+    both = one.join(two, "key").where("ca <= cb").select("key", "ma", "mb")
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(batch.num_rows):
+                key, (x, y) = batch.column("key")[k].as_py(), (batch.column(c)[k].values for c in ("ma", "mb"))
+                n, m = (np.asarray(z.field("node")) for z in (x, y))
+                ok = may(x.field("trait").to_pylist(), y.field("trait").to_pylist())
+                ok &= np.asarray(x.field("component"))[:, None] != np.asarray(y.field("component"))[None, :]
+                i, j = np.nonzero(ok & (n[:, None] != m[None, :]))
+                kx, ky = x.field("keys"), y.field("keys")
+                a, b = [], []
+                for s, t in zip(i, j):
+                    if np.intersect1d(np.asarray(kx[s].values), np.asarray(ky[t].values)).min() == key:
+                        a.append(min(n[s], m[t])), b.append(max(n[s], m[t]))
+                found = pa.table([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+                yield from found.group_by(["a", "b"]).aggregate([]).select(["a", "b"]).to_batches()
+
+    return both.mapInArrow(work, "a long, b long").distinct()
+
+
+def grouped(shared: DataFrame, check: Callable[[DataFrame], DataFrame], traits: DataFrame, may: Callable, rounds: int = 2) -> DataFrame:
     """node, component over the links that `check` leaves of all pairs of nodes with a common key; nodes on no link are left out.
 
     First every node is held against its key's hub and against a random other member, then in further `rounds` against random members of
     other components. The links so found join a group of near copies for about its size in pairs, not its square. Only what keys then still
-    hold in several components is compared in full, across components, so no connection is lost.
+    hold in several components is compared in full, across components (see `crossed`), so no connection is lost. `traits` has node and
+    trait; `may` must hold for every pair that `check` keeps.
     """
-
-    def cross(rest: DataFrame) -> DataFrame:
-        x = rest.where("node != hub").select("key", F.col("node").alias("a"), F.col("component").alias("pa"))
-        y = rest.select("key", F.col("node").alias("b"), F.col("component").alias("pb"))
-        return x.join(y, "key").where("a < b AND pa != pb").select("a", "b").distinct()
-
     star = shared.where("node != hub").select(F.col("hub").alias("a"), F.col("node").alias("b"))
     links = common.written(check(star.unionByName(chained(shared, 0)).distinct()))
     found = components(links)
@@ -100,7 +132,7 @@ def grouped(shared: DataFrame, check: Callable[[DataFrame], DataFrame], rounds:
         rest = _split(shared, found)
         if rest.isEmpty():
             break
-        more = common.written(check(chained(rest, seed) if seed <= rounds else cross(rest)))
+        more = common.written(check(chained(rest, seed) if seed <= rounds else crossed(rest, traits, may)))
         if not more.isEmpty():
             links = common.written(links.unionByName(more))
             found = components(links)

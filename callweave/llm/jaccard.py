@@ -259,8 +259,19 @@ def near_classes(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     rows = indexed(docs, n, percent)
     index = rows.where("node IS NOT NULL").select(F.explode("keys").alias("key"), "node")
     sized = common.written(rows.where("node IS NOT NULL").groupBy("node").agg(F.first("n").alias("size"), F.first("counters").alias("counters")))
+    traits = sized.select("node", F.concat(F.unhex(F.lpad(F.hex("size"), 16, "0")), "counters").alias("trait"))
+
+    def may(x: list[bytes], y: list[bytes]) -> np.ndarray:
+        """Whether sizes and counters allow each pair to reach the threshold."""
+        x, y = (np.frombuffer(b"".join(z), np.uint8).reshape(-1, 8 + COUNTERS) for z in (x, y))
+        nx, ny = (np.ascontiguousarray(z[:, :8]).view(">i8").ravel().astype(np.int64) for z in (x, y))
+        apart = np.abs(nx[:, None] - ny[None, :])
+        full = x[:, None, 8:].astype(np.int16) - y[None, :, 8:].astype(np.int16)
+        full[(x[:, None, 8:] == 255) | (y[None, :, 8:] == 255)] = 0
+        return (100 + percent) * np.maximum(apart, np.abs(full).sum(2)) <= (100 - percent) * (nx[:, None] + ny[None, :])
+
     found = components.grouped(
-        components.shared_keys(index), lambda pairs: _verified(common.written(_possible(pairs, sized, percent)), rows, docs, n, percent)
+        components.shared_keys(index), lambda pairs: _verified(common.written(_possible(pairs, sized, percent)), rows, docs, n, percent), traits, may
     )
 
     named = rows.join(found, "node", "left").withColumn("class", F.coalesce("component", "node"))

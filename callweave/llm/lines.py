@@ -132,7 +132,13 @@ def line_groups(docs: DataFrame, found: DataFrame, similarity: float, bits: int)
         apart = F.abs(F.char_length("fa") - F.char_length("fb")) <= F.col("limit")
         return both.where(apart & (F.expr("levenshtein(fa, fb, limit)") >= 0)).select("a", "b").distinct()
 
-    return components.grouped(shared, check)
+    traits = hashes.select("node", F.unhex(F.lpad(F.hex("simhash"), 16, "0")).alias("trait"))
+
+    def may(x: list[bytes], y: list[bytes]) -> np.ndarray:
+        a, b = (np.frombuffer(b"".join(z), ">u8").astype(np.uint64) for z in (x, y))
+        return np.bitwise_count(a[:, None] ^ b[None, :]) <= bits
+
+    return components.grouped(shared, check, traits, may)
 
 
 def deduplicated(docs: DataFrame, min_words: int = MIN_WORDS, similarity: float = SIMILARITY, bits: int = BITS) -> DataFrame:

@@ -238,3 +238,17 @@ def test_pipeline_stages(spark, odd, none):
     near = corpus_pipeline.drop_near_duplicates(spark, docs, SMALL)
     want = {i for i, (n, c) in plain_classes([(r.doc_id, r.text) for r in docs.collect()], 5, 80).items() if n == 0 or i == c}
     assert {r.doc_id for r in near.collect()} == want
+
+
+def test_crossed(spark):
+    """All pairs across components of a key with several chunks, each once though keys share pairs."""
+    draw = np.random.default_rng(4)
+    rows = [(key, node, node % 3, 700) for key in range(6) for node in draw.choice(40, 25, replace=False).tolist()]
+    rest = spark.createDataFrame(rows, "key long, node long, component long, times long")
+    traits = spark.createDataFrame([(i, bytes([i])) for i in range(40)], "node long, trait binary")
+    got = [(r.a, r.b) for r in components.crossed(rest, traits, lambda x, y: np.ones((len(x), len(y)), bool)).collect()]
+    of = {}
+    for key, node, _, _ in rows:
+        of.setdefault(key, set()).add(node)
+    want = {(a, b) for s in of.values() for a in s for b in s if a < b and a % 3 != b % 3}
+    assert len(got) == len(set(got)) and set(got) == want
