@@ -284,14 +284,19 @@ def scored(docs: DataFrame, learn: Column, s: Settings = Settings()) -> DataFram
 
     def asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Every word and n-gram of a block once."""
-        found: dict[int, np.ndarray] = {}
+        found: dict[int, list[np.ndarray]] = {}
         for piece in common.pieces(batches):
             block = piece.column("block").to_numpy()
             for key, first in (grams(piece.column("text")), words(piece.column("text"))):
                 of = np.repeat(block, np.diff(first))
                 for b in np.unique(block):
-                    found[int(b)] = np.union1d(found.get(int(b), key[:0]), key[of == b])
-        for b, keys in found.items():
+                    kept = found.setdefault(int(b), [])
+                    kept.append(np.unique(key[of == b]))
+                    # Merged now and then: the runs gathered since are as long as what is kept.
+                    if sum(map(len, kept[1:])) > max(1_000_000, len(kept[0])):
+                        found[int(b)] = [np.unique(np.concatenate(kept))]
+        for b, kept in found.items():
+            keys = np.unique(np.concatenate(kept))
             for lo in range(0, len(keys), 1 << 16):
                 part = keys[lo : lo + (1 << 16)]
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(part), b, np.int32)), pa.array(part)], ["block", "key"])
