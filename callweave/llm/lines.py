@@ -1,10 +1,14 @@
 r"""Operator 3: fuzzy line dedup.
 
 Lines are the pieces of a text between line feeds. Their normal form is lower case with everything but letters taken as space. Lines of
-`min_words` words or more take part; shorter ones (headings, list marks) always stay. Each distinct normal form gets a 64-bit SimHash of its
-words and word pairs. The SimHash is cut into 5 blocks; forms that agree in two blocks are candidates, so none within 3 bits is missed and most
-at some more bits are met as well. Candidates within `bits` bits are verified by edit similarity (1 - distance / longer length, code points) of
-`similarity` or more. Of every connected group of lines the first occurrence by (doc_id, line) stays, in that document and place.
+`min_words` words or more take part; shorter ones (headings, list marks) always stay. Each distinct normal form gets keys: its runs of three
+words, at most KEYS of them (the least by a hash that favours runs of many bytes), and below SHORT words also its words with each one left out.
+Forms with a common key are candidates, and all candidates are verified by edit similarity (1 - distance / longer length, code points) of
+`similarity` or more; before texts are fetched, only pairs whose letter counts prove them too far apart go. Of every connected group of lines
+the first occurrence by (doc_id, line) stays, in that document and place.
+
+So one changed, added or missing word always makes a candidate up to 9 words, and so do changes of up to a fifth of the words up to KEYS + 2
+words. Of longer forms that share a share J of their runs, 1 - (1 - J) ** KEYS meet: J is 0.25 at least where a fifth of the words is replaced.
 
 Null texts stay null and take no part. Null ids come last in the order; rows of one id and text are one document and get the same result;
 equal ids with different texts are ordered by text hash. A text that loses all its lines becomes empty, its row stays. Other columns pass through.
@@ -23,9 +27,11 @@ from pyspark.sql import types as T
 
 from callweave.llm import common, components
 
-MIN_WORDS, SIMILARITY, BITS = 5, 0.8, 16
-#: First bit and width of the five blocks.
-BLOCKS = ((0, 13), (13, 13), (26, 13), (39, 13), (52, 12))
+MIN_WORDS, SIMILARITY = 5, 0.8
+#: Words of a run, runs that are keys of a form, and words from which a form has no keys with a word left out.
+RUN, KEYS, SHORT = 3, 20, 10
+#: Letter counts of a form: a bucket for each of a to z, the others for further characters by their last byte.
+BUCKETS = 64
 
 _HASHER = common.Hasher(fold=True, seed=3)
 _HASHER.space = np.array([b < 128 and not chr(b).isalpha() for b in range(256)])
@@ -50,40 +56,82 @@ def forms_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(forms, pa.string())], ["node", "form"])
 
 
-def line_hashes(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """For lines that begin at `starts` (one more entry than lines): words, hash of the normal form, SimHash."""
-    sums = _HASHER.sums(data)
+#: Bucket of each byte; a character counts once, where it ends.
+_BUCKET = np.array([ord(chr(b).lower()) - 97 if chr(b).isalpha() and b < 128 else 26 + b % (BUCKETS - 26) if b > 127 else -1 for b in range(256)])
+
+
+def line_words(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For lines that begin at `starts` (one more entry than lines): word hashes, word lengths in bytes, each line's first word."""
     begin, end, rows = _HASHER.word_bounds(data, starts)
-    words = _HASHER.runs(sums, begin, end)
+    return _HASHER.runs(_HASHER.sums(data), begin, end), end - begin, rows
+
+
+def line_hashes(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For lines that begin at `starts` (one more entry than lines): words, hash of the normal form, characters of the normal form."""
+    words, _, rows = line_words(data, starts)
     count = np.diff(rows)
     line = np.repeat(np.arange(len(count)), count)
     place = np.arange(len(words)) - rows[:-1][line]
     form = np.zeros(len(count), np.uint64)
-    sims = np.zeros(len(count), np.uint64)
     full = np.flatnonzero(count)
-    if not len(full):
-        return count, form, sims
-    form[full] = np.add.reduceat(common.mix(words + place.astype(np.uint64) * np.uint64(0xD1B54A32D192ED03)), rows[:-1][full])
-    before = np.concatenate([np.zeros(1, np.uint64), words[:-1]])
-    before[rows[:-1][full]] = 0
-    pair = common.mix(words * np.uint64(3) + before)
-    # A bit is set where more than half of the line's words and pairs have it.
-    step = 1 << 16
-    for lo in range(0, len(full), step):
-        part = full[lo : lo + step]
-        a, b = rows[part[0]], rows[part[-1] + 1]
-        bits = np.unpackbits(common.mix(words[a:b]).view(np.uint8)).reshape(-1, 64) + np.unpackbits(pair[a:b].view(np.uint8)).reshape(-1, 64)
-        votes = np.add.reduceat(bits, rows[:-1][part] - a, axis=0, dtype=np.int32)
-        sims[part] = np.packbits(votes > count[part][:, None], axis=1).view(np.uint64).ravel()
-    return count, common.mix(form), sims
+    if len(full):
+        form[full] = np.add.reduceat(common.mix(words + place.astype(np.uint64) * np.uint64(0xD1B54A32D192ED03)), rows[:-1][full])
+    ends = np.concatenate([[0], np.cumsum(~_HASHER.space[data] & (data & 0xC0 != 0x80))])
+    chars = ends[starts[1:]] - ends[starts[:-1]] + np.maximum(count - 1, 0)
+    return count, common.mix(form), chars
+
+
+def letter_counts(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """One row of BUCKETS bytes a line: characters of each bucket, 255 at most."""
+    last = np.ones(len(data), bool)
+    last[:-1] = data[1:] & 0xC0 != 0x80
+    bucket = _BUCKET[data]
+    at = np.flatnonzero(last & (bucket >= 0))
+    line = np.searchsorted(starts, at, "right") - 1
+    lines = len(starts) - 1
+    return np.minimum(np.bincount(line * BUCKETS + bucket[at], minlength=lines * BUCKETS), 255).astype(np.uint8).reshape(lines, BUCKETS)
+
+
+def line_keys(words: np.ndarray, width: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """line and key of the keys of every line, sorted by line."""
+    count = np.diff(rows)
+    line = np.repeat(np.arange(len(count)), count)
+    place, size = np.arange(len(words)) - rows[:-1][line], count[line]
+    # Runs of words, the first KEYS of a line by a hash that long runs have shifted down.
+    at = np.flatnonzero(place <= size - RUN)
+    run, wide = np.zeros(len(at), np.uint64), np.zeros(len(at), np.int64)
+    for j in range(RUN):
+        run = common.mix(run * np.uint64(0x9E3779B97F4A7C15) + words[at + j])
+        wide += width[at + j]
+    order = np.lexsort((run >> np.clip((wide - 8) // 3, 0, 10).astype(np.uint64), line[at]))
+    own, run = line[at][order], run[order]
+    fresh = np.ones(len(own), bool)
+    fresh[1:] = (own[1:] != own[:-1]) | (run[1:] != run[:-1])
+    own, run = own[fresh], run[fresh]
+    keep = np.arange(len(own)) - np.searchsorted(own, own) < KEYS
+    lines, keys = [own[keep]], [run[keep]]
+    # The words of a short line without one of them, and all of them: sums of hashes that know their place.
+    for gone in range(SHORT):
+        some = np.flatnonzero((size < SHORT) & (size >= gone) & (place != gone))
+        if not len(some):
+            continue
+        spot = place[some] - (place[some] > gone)
+        part = common.mix(words[some] + (spot + 1).astype(np.uint64) * np.uint64(0xD1B54A32D192ED03))
+        first = np.flatnonzero(np.diff(line[some], prepend=-1))
+        lines.append(line[some][first])
+        keys.append(common.mix(np.add.reduceat(part, first) + np.uint64(1)))
+    out, key = np.concatenate(lines), np.concatenate(keys)
+    order = np.argsort(out, kind="stable")
+    return out[order], key[order]
 
 
 def occurrences(docs: DataFrame, min_words: int) -> DataFrame:
-    """id, mark, doc_id, line, node, simhash, chars of every line that takes part, written once."""
+    """id, mark, doc_id, line, node, chars, keys and counts (see `line_keys`, `letter_counts`) of every line that takes part, written once."""
     rows = common.named(docs.where("text IS NOT NULL")).select("id", "mark", F.col("doc_id"), "text").where(F.length("text") > 0)
     schema = T.StructType(
         [rows.schema["id"], rows.schema["mark"], rows.schema["doc_id"]]
-        + [T.StructField(c, T.LongType()) for c in ("line", "node", "simhash", "chars")]
+        + [T.StructField(c, T.LongType()) for c in ("line", "node", "chars")]
+        + [T.StructField("keys", T.ArrayType(T.LongType())), T.StructField("counts", T.BinaryType())]
     )
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -91,35 +139,53 @@ def occurrences(docs: DataFrame, min_words: int) -> DataFrame:
             data, offsets = common.flat(piece.column("text"))
             # A line begins after each line feed and at each text's start; the feed itself counts as space.
             starts = np.unique(np.concatenate([offsets, np.flatnonzero(data == 10) + 1]))
-            count, form, sims = line_hashes(data, starts)
+            count, form, chars = line_hashes(data, starts)
             row = np.searchsorted(offsets, starts[:-1], "right") - 1
             first = np.searchsorted(starts, offsets[:-1])
             keep = np.flatnonzero(count >= min_words)
             own = piece.select(["id", "mark", "doc_id"]).take(pa.array(row[keep]))
-            out = {"line": keep - first[row[keep]], "node": form[keep].view(np.int64), "simhash": sims[keep].view(np.int64), "chars": np.diff(starts)[keep]}
+            out = {"line": keep - first[row[keep]], "node": form[keep].view(np.int64), "chars": chars[keep]}
             for name, values in out.items():
                 own = own.append_column(name, pa.array(values.astype(np.int64)))
+            line, key = line_keys(*line_words(data, starts))
+            has = np.isin(line, keep)
+            ends = np.searchsorted(line[has], keep, "right")
+            lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]), pa.int32()), pa.array(key[has].view(np.int64)))
+            counts = pa.array([x.tobytes() for x in letter_counts(data, starts)[keep]], pa.binary())
+            own = own.append_column("keys", lists).append_column("counts", counts)
             yield from own.to_batches()
 
     return common.written(rows.mapInArrow(work, schema))
 
 
-def block_keys(simhash: Column) -> Column:
-    """One key for every two of the five blocks."""
-    part = [F.shiftrightunsigned(simhash, at).bitwiseAND(F.lit((1 << width) - 1)) for at, width in BLOCKS]
-    return F.array(*(F.xxhash64(F.lit(i * 8 + j), part[i], part[j]) for i in range(5) for j in range(i + 1, 5)))
+def far(counts: np.ndarray, chars: np.ndarray, other: np.ndarray, others: np.ndarray, similarity: float) -> np.ndarray:
+    """True where letter counts or lengths prove forms further apart than `similarity` allows: an edit adds one character at most and takes one."""
+    most = np.floor(np.maximum(chars, others) * (1 - similarity) + 1e-9)
+    change = counts.astype(np.int16) - other
+    return (np.maximum(change, 0).sum(-1) > most) | (np.maximum(-change, 0).sum(-1) > most) | (np.abs(chars - others) > most)
 
 
-def line_groups(docs: DataFrame, found: DataFrame, similarity: float, bits: int) -> DataFrame:
+def line_groups(docs: DataFrame, found: DataFrame, similarity: float) -> DataFrame:
     """node, component of the normal forms that have links."""
-    forms = common.written(found.groupBy("node").agg(F.first("simhash").alias("simhash"), F.min(F.struct("id", "mark", "line")).alias("at")))
-    shared = components.shared_keys(forms.select(F.explode(block_keys(F.col("simhash"))).alias("key"), "node"))
-    hashes = forms.select("node", "simhash")
+    first = found.groupBy("node").agg(F.min(F.struct("id", "mark", "line")).alias("at"), F.first("keys").alias("keys"), F.first("counts").alias("counts"), F.first("chars").alias("chars"))
+    forms = common.written(first)
+    shared = components.shared_keys(forms.select(F.explode("keys").alias("key"), "node"))
+    # Counts, then the length as eight bytes.
+    traits = forms.select("node", F.concat("counts", F.unhex(F.lpad(F.hex("chars"), 16, "0"))).alias("trait"))
+
+    def read(traits: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        rows = np.frombuffer(b"".join(traits), np.uint8).reshape(-1, BUCKETS + 8)
+        return rows[:, :BUCKETS], rows[:, BUCKETS:].copy().view(">i8").ravel().astype(np.int64)
+
+    def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x, y = (read(batch.column(c).to_pylist()) for c in ("ta", "tb"))
+            yield batch.select(["a", "b"]).filter(pa.array(~far(*x, *y, similarity)))
 
     def check(pairs: DataFrame) -> DataFrame:
-        a = hashes.select(F.col("node").alias("a"), F.col("simhash").alias("sa"))
-        b = hashes.select(F.col("node").alias("b"), F.col("simhash").alias("sb"))
-        close = common.written(pairs.join(a, "a").join(b, "b").where(F.bit_count(F.col("sa").bitwiseXOR(F.col("sb"))) <= bits).select("a", "b"))
+        a = traits.select(F.col("node").alias("a"), F.col("trait").alias("ta"))
+        b = traits.select(F.col("node").alias("b"), F.col("trait").alias("tb"))
+        close = common.written(pairs.join(a, "a").join(b, "b").select("a", "b", "ta", "tb").mapInArrow(near, "a long, b long"))
         used = close.select(F.col("a").alias("node")).unionByName(close.select(F.col("b").alias("node"))).distinct()
         spots = forms.join(used, "node").select("node", "at.*").groupBy("id", "mark").agg(F.collect_list(F.struct("line", "node")).alias("spots"))
         # A document gives the lines it stands for; its text moves once.
@@ -132,20 +198,18 @@ def line_groups(docs: DataFrame, found: DataFrame, similarity: float, bits: int)
         apart = F.abs(F.char_length("fa") - F.char_length("fb")) <= F.col("limit")
         return both.where(apart & (F.expr("levenshtein(fa, fb, limit)") >= 0)).select("a", "b").distinct()
 
-    traits = hashes.select("node", F.unhex(F.lpad(F.hex("simhash"), 16, "0")).alias("trait"))
-
     def may(x: list[bytes], y: list[bytes]) -> np.ndarray:
-        a, b = (np.frombuffer(b"".join(z), ">u8").astype(np.uint64) for z in (x, y))
-        return np.bitwise_count(a[:, None] ^ b[None, :]) <= bits
+        (counts, chars), (other, others) = read(x), read(y)
+        return np.stack([~far(c, n, other, others, similarity) for c, n in zip(counts, chars)])
 
     return components.grouped(shared, check, traits, may)
 
 
-def deduplicated(docs: DataFrame, min_words: int = MIN_WORDS, similarity: float = SIMILARITY, bits: int = BITS) -> DataFrame:
+def deduplicated(docs: DataFrame, min_words: int = MIN_WORDS, similarity: float = SIMILARITY) -> DataFrame:
     """`docs` with the kept lines as text, and n_lines and n_dropped."""
     docs = docs.drop("n_lines", "n_dropped")
     found = occurrences(docs, min_words)
-    group = line_groups(docs, found, similarity, bits)
+    group = line_groups(docs, found, similarity)
     spot = F.struct(F.col("doc_id").isNull().alias("x"), "doc_id", "mark", "line")
     lines = found.join(group, "node", "left").select("id", "mark", "doc_id", "line", F.coalesce("component", "node").alias("class"))
     lines = common.written(lines)

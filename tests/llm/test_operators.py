@@ -46,6 +46,35 @@ def test_lines(spark, odd, none):
     assert got[1][1:] == (2, 0) and got[2] == ("", 1, 1) and got[3] == ("first", 2, 1) and got[4] == ("short line\nshort line", 2, 0)
 
 
+def edits(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        last, row[0] = row[0], i
+        for j, y in enumerate(b, 1):
+            last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+    return row[-1]
+
+
+def test_lines_recall(spark):
+    """Pairs of lines with words changed, put in or left out: every pair within the edit similarity is found, and no other."""
+    draw = np.random.default_rng(7)
+    word = lambda: "".join(draw.choice(list("abcdefghijklmnopqrstuvwxyzé"), draw.integers(3, 9)))
+    rows, near = [], set()
+    for size, changes in ((5, 1), (6, 1), (9, 1), (10, 1), (10, 2), (15, 1), (15, 3), (25, 1), (25, 2), (50, 1), (50, 3)):
+        for k in range(20):
+            one = [word() for _ in range(size)]
+            two = list(one)
+            for at in sorted(draw.choice(size, changes, replace=False), reverse=True):
+                two[at : at + 1] = [[word()], [], [two[at], word()]][k % 3 if size > 5 else 2 * (k % 2)]
+            a, b = " ".join(one), " ".join(two)
+            if edits(a, b) <= np.floor(max(len(a), len(b)) * 0.2 + 1e-9):
+                near.add(len(rows) + 1)
+            rows += [(len(rows), a), (len(rows) + 1, b)]
+    assert len(near) > 120
+    out = lines.deduplicated(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id for r in out if r.n_dropped} == near
+
+
 def test_media(spark, odd, none):
     out = media.loaded(media.stored(odd)).collect()
     assert len(out) == len(ROWS)
