@@ -1,8 +1,10 @@
 r"""Operator 3: fuzzy line dedup.
 
 Lines are the pieces of a text between line feeds. Their normal form is lower case with everything but letters taken as space. Lines of
-`min_words` words or more take part; shorter ones (headings, list marks) always stay. Each distinct normal form gets keys: its runs of three
-words, at most KEYS of them (the least by a hash that favours runs of many bytes), and below SHORT words also its words with each one left out.
+`min_words` words or more take part, and so do lines of LONG characters or more that have as many units: in scripts written without spaces each
+character is a unit. Other lines of LONG characters or more (long words, digits, marks) are one where they are equal but for case and
+spaces; what is shorter (headings, list marks) always stays. Each distinct normal form gets keys: its runs of three
+units (words, where there are spaces), at most KEYS of them (the least by a hash that favours runs of many bytes), and below SHORT words also its words with each one left out.
 Forms with a common key are candidates, and all candidates are verified by edit similarity (1 - distance / longer length, code points) of
 `similarity` or more; before texts are fetched, only pairs whose letter counts prove them too far apart go. Of every connected group of lines
 the first occurrence by (doc_id, line) stays, in that document and place.
@@ -17,6 +19,7 @@ An empty table gives an empty table.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,6 +31,8 @@ from pyspark.sql import types as T
 from callweave.llm import common, components
 
 MIN_WORDS, SIMILARITY = 5, 0.8
+#: Characters from which a line takes part whatever its words.
+LONG = 20
 #: Words of a run, runs that are keys of a form, and words from which a form has no keys with a word left out.
 RUN, KEYS, SHORT = 3, 20, 10
 #: Letter counts of a form: a bucket for each of a to z, the others for further characters by their last byte.
@@ -66,6 +71,28 @@ def line_words(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.nda
     return _HASHER.runs(_HASHER.sums(data), begin, end), end - begin, rows
 
 
+def line_units(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """As `line_words`, but each character of a script without spaces (Chinese, Japanese, Thai, Lao, Burmese, Khmer) is a word of its own."""
+    after = np.concatenate([data[1:], np.zeros(1, np.uint8)])
+    alone = (data >= 0xE3) & (data <= 0xE9)
+    alone |= (data == 0xE0) & (after >= 0xB8) & (after <= 0xBB)
+    alone |= (data == 0xE1) & (((after >= 0x80) & (after <= 0x82)) | (after == 0x9E) | (after == 0x9F))
+    at = np.flatnonzero(alone)
+    if not len(at):
+        return line_words(data, starts)
+    begin, end, _ = _HASHER.word_bounds(data, starts)
+    # All these characters have three bytes; what lies between them in a word is a unit as well.
+    end = np.unique(np.concatenate([end, at + 3, at[np.isin(at, begin, invert=True)]]))
+    begin = np.unique(np.concatenate([begin, at, (at + 3)[np.isin(at + 3, _HASHER.word_bounds(data, starts)[1], invert=True)]]))
+    return _HASHER.runs(_HASHER.sums(data), begin, end), end - begin, np.searchsorted(begin, starts)
+
+
+def exact_form(line: bytes) -> int | None:
+    """Hash of a line without regard to case and spaces; None below LONG characters."""
+    text = " ".join(line.decode().lower().split())
+    return int.from_bytes(hashlib.blake2b(text.encode(), digest_size=8).digest(), "big", signed=True) if len(text) >= LONG else None
+
+
 def line_hashes(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """For lines that begin at `starts` (one more entry than lines): words, hash of the normal form, characters of the normal form."""
     words, _, rows = line_words(data, starts)
@@ -142,13 +169,24 @@ def occurrences(docs: DataFrame, min_words: int) -> DataFrame:
             count, form, chars = line_hashes(data, starts)
             row = np.searchsorted(offsets, starts[:-1], "right") - 1
             first = np.searchsorted(starts, offsets[:-1])
-            keep = np.flatnonzero(count >= min_words)
+            units = line_units(data, starts)
+            near, node = count >= min_words, form.view(np.int64)
+            same = np.zeros(len(count), bool)
+            for k in np.flatnonzero(~near & (np.diff(starts) >= LONG)):
+                exact = exact_form(data[starts[k] : starts[k + 1]].tobytes())
+                if exact is None:
+                    continue
+                if units[2][k + 1] - units[2][k] >= min_words:
+                    near[k] = True
+                else:
+                    same[k], node[k] = True, exact
+            keep = np.flatnonzero(near | same)
             own = piece.select(["id", "mark", "doc_id"]).take(pa.array(row[keep]))
-            out = {"line": keep - first[row[keep]], "node": form[keep].view(np.int64), "chars": chars[keep]}
+            out = {"line": keep - first[row[keep]], "node": node[keep], "chars": chars[keep]}
             for name, values in out.items():
                 own = own.append_column(name, pa.array(values.astype(np.int64)))
-            line, key = line_keys(*line_words(data, starts))
-            has = np.isin(line, keep)
+            line, key = line_keys(*units)
+            has = near[line]
             ends = np.searchsorted(line[has], keep, "right")
             lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]), pa.int32()), pa.array(key[has].view(np.int64)))
             counts = pa.array([x.tobytes() for x in letter_counts(data, starts)[keep]], pa.binary())

@@ -75,6 +75,20 @@ def test_lines_recall(spark):
     assert {r.doc_id for r in out if r.n_dropped} == near
 
 
+def test_long_lines_of_few_words(spark):
+    """Lines without spaces or letters take part by their length; texts in scripts without spaces are compared by edit similarity."""
+    draw = np.random.default_rng(3)
+    han, thai = ("".join(chr(base + i) for i in draw.integers(0, 48, 60)) for base in (0x4E00, 0x0E01))
+    han = "".join(chr(0x4E00 + i) for i in draw.integers(0, 3000, 60)) + han
+    key, mark, short = "Q" * 300, "2024-01-02 03:04:05.678901 | 77", "\u7b2c\u4e00\u7ae0"
+    first = [han, thai, key, mark, short, "-- --"]
+    second = [han[:30] + "\u9fa0\u9fa1" + han[31:], thai[:20] + thai[22:], key.lower(), mark, short, "-- --"]
+    third = ["".join(reversed(han)), "2024-01-02 03:04:05.678902 | 77", "R" * 300]
+    docs = spark.createDataFrame([(i, "\n".join(x)) for i, x in enumerate((first, second, third))], "doc_id long, text string")
+    got = {r.doc_id: (r.text, r.n_dropped) for r in lines.deduplicated(docs).collect()}
+    assert got == {0: ("\n".join(first), 0), 1: (f"{short}\n-- --", 4), 2: ("\n".join(third), 0)}
+
+
 def test_media(spark, odd, none):
     out = media.loaded(media.stored(odd)).collect()
     assert len(out) == len(ROWS)
