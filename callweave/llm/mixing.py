@@ -5,8 +5,10 @@ Targets: sources in code-point order (null last) take the weights in turn and sh
 closed form over the sources sorted by cap * words / weight.
 
 Choice: every document is taken floor(target / words) times; the rest of the target goes to a prefix of the source's documents in md5 order of
-the id, then `fills` times to the largest further document that still fits. Whole documents only, so a source ends within one document of its
-target, and no document is taken more than ceil(cap) times.
+the id, then in rounds to the largest further document that still fits and to those after it in the order of size that fit together with it.
+`mixed` goes on until no document fits the gap of any source; the query takes FILLS times the one largest document, as its SQL states. Whole
+documents only, so a source of `mixed` ends short of its target by less than its smallest document not taken, and no document is taken more
+than ceil(cap) times.
 
 Positions: each source has a piecewise-linear schedule of its weight over training time 0 to 1. The schedule is integrated to the source's
 cumulative demand and inverted at the document's place among the words taken; documents are range-sorted by that position.
@@ -94,8 +96,11 @@ def position(u: Column, rank: Column, schedules: tuple = SCHEDULES) -> Column:
     return out
 
 
-def chosen(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, budget: float = 1.5, cap: float = 2.0, fills: int = FILLS) -> DataFrame:
-    """One row per document: row, doc_id, source, size, source_size, target, rank, before, copies."""
+def chosen(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, budget: float = 1.5, cap: float = 2.0, fills: int | None = FILLS) -> DataFrame:
+    """One row per document: row, doc_id, source, size, source_size, target, rank, before, copies.
+
+    Without `fills` all gaps are filled, and `place` has the words of the documents ahead that are taken once more, for those that are.
+    """
     sizes = sized(docs)
     goal = targets(sizes, weights, budget, cap)
     same = F.col("d.source").eqNullSafe(F.col("t.source"))
@@ -104,6 +109,10 @@ def chosen(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, budget: float
     rest = F.floor(F.col("target") - F.col("base") * F.col("source_size"))
     rows = rows.withColumn("base", base).withColumn("rest", rest.cast("long"))
     rows = rows.withColumn("extra", (F.col("before") + F.col("size") <= F.col("rest")).cast("long"))
+    if fills is None:
+        rows = filled(rows)
+        extra = running(rows.where("extra = 1").select("row", "doc_id", "source", "size", "digest")).select("row", F.col("before").alias("place"))
+        return rows.join(extra, "row", "left").withColumn("copies", F.col("base") + F.col("extra")).drop("base", "extra", "rest")
     for _ in range(fills):
         rows = common.written(rows)
         left = rows.groupBy("source").agg((F.max("rest") - F.sum(F.col("size") * F.col("extra"))).alias("left"))
@@ -116,10 +125,41 @@ def chosen(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, budget: float
     return rows.withColumn("copies", F.col("base") + F.col("extra")).drop("base", "extra", "rest")
 
 
+def filled(rows: DataFrame) -> DataFrame:
+    """`rows` with `extra` also 1 for documents that fill the gaps, until no further document fits the gap of its source.
+
+    A round takes the documents that fit, largest first, up to the first that does not fit with those before it. They are more than half of the gap,
+    so rounds are few. Sums run over the sizes of a source; only in the one size that is taken in part do documents have an order.
+    """
+    ahead = Window.partitionBy("source").orderBy(F.col("size").desc())
+    while True:
+        rows = common.written(rows)
+        left = rows.groupBy("source").agg((F.max("rest") - F.sum(F.col("size") * F.col("extra"))).alias("left"))
+        same = F.col("d.source").eqNullSafe(F.col("l.source"))
+        fits = rows.alias("d").join(left.alias("l"), same).where("d.extra = 0 AND d.size > 0 AND d.size <= l.left")
+        sizes = fits.groupBy("d.source", "d.size").agg(F.sum("d.size").alias("words"), F.first("l.left").alias("left"))
+        sizes = sizes.withColumn("upto", F.sum("words").over(ahead))
+        over = F.when(F.col("upto") > F.col("left"), F.col("size"))
+        # One row per source: the largest size that is not taken whole, and the room that larger ones leave.
+        edge = sizes.groupBy("source").agg(F.max(over).alias("edge"), (F.first("left") - F.sum(F.when(F.col("upto") <= F.col("left"), F.col("words")).otherwise(0))).alias("room"), F.max("left").alias("left"))
+        edge = common.written(edge)
+        if edge.isEmpty():
+            return rows
+        same = F.col("d.source").eqNullSafe(F.col("e.source"))
+        some = rows.alias("d").join(edge.alias("e"), same).where("d.extra = 0 AND d.size > 0 AND d.size <= e.left")
+        some = common.written(some.select("d.row", "d.doc_id", "d.source", "d.size", "d.digest", "e.edge", "e.room"))
+        part = running(some.where("size = edge")).where("before + size <= room")
+        take = some.where("edge IS NULL OR size > edge").select("row").unionByName(part.select("row")).withColumn("filled", F.lit(1))
+        rows = rows.join(take, "row", "left").withColumn("extra", F.greatest("extra", F.coalesce("filled", F.lit(0)).cast("long"))).drop("filled")
+
+
 def placed(rows: DataFrame, schedules: tuple = SCHEDULES) -> DataFrame:
     """One row per taken copy with its `position` in training time."""
     copy = rows.where("copies > 0").withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)))
-    at = F.col("copy") * F.col("source_size") + F.col("before") + F.col("size") / 2
+    ahead = F.col("before")
+    if "place" in rows.columns:
+        ahead = F.when(F.col("copy") == F.col("copies") - 1, F.coalesce("place", "before")).otherwise(F.col("before"))
+    at = F.col("copy") * F.col("source_size") + ahead + F.col("size") / 2
     u = F.when(F.col("target") > 0, F.least(F.lit(1.0), at / F.col("target"))).otherwise(0.0)
     return copy.withColumn("position", position(u, F.col("rank"), schedules))
 
@@ -127,7 +167,7 @@ def placed(rows: DataFrame, schedules: tuple = SCHEDULES) -> DataFrame:
 def mixed(docs: DataFrame, **settings) -> DataFrame:
     """The mix itself: each taken copy as a row with the columns of `docs`, range-sorted by position."""
     names = [c for c in docs.columns if c != "position"]
-    rows = placed(chosen(docs, **settings))
+    rows = placed(common.written(chosen(docs, **{"fills": None} | settings)))
     rows = rows.select(*(F.col(c).alias(f"__{c}") for c in ("doc_id", "size", "source", "copy", "position")))
     # Rows of equal id, source and size are told apart by their number, so that repeated rows are not multiplied.
     pick = Window.partitionBy("__doc_id", "__source", "__size", "__copy").orderBy("__position")

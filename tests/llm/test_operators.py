@@ -195,6 +195,27 @@ def test_mixing(spark, odd, none):
     assert all(0 < target[s] and 0 <= target[s] - taken[s] < largest[s] for s in target)
 
 
+def test_mixing_long_document(spark):
+    """A document longer than the rest of its source's target is passed over; what is taken keeps to the schedule."""
+    rows = [(f"{s}{i}", s, 3 + i % 40) for s in "abc" for i in range(150)] + [("0", "b", 9000), ("n0", None, 5), ("n1", None, 0)]
+    docs = spark.createDataFrame(rows, "doc_id string, source string, n int").select("doc_id", "source", F.expr("repeat('w ', n)").alias("text"))
+    # Ids of the long document that come early, midway and late in md5 order.
+    for name in ("0", "x1", "x7"):
+        these = docs.withColumn("doc_id", F.when(F.col("doc_id") == "0", name).otherwise(F.col("doc_id")))
+        chosen = mixing.chosen(these, weights=(3.0, 0.7, 2.0), budget=0.6, fills=None).collect()
+        taken, free, target = Counter(), {}, {}
+        for r in chosen:
+            target[r.source] = r.target
+            taken[r.source] += r.copies * r.size
+            base = int(r.target // r.source_size) if r.source_size else 0
+            assert base <= r.copies <= base + 1
+            if r.size and r.copies == base:
+                free[r.source] = min(free.get(r.source, r.size), r.size)
+        assert all(0 <= target[s] - taken[s] < free.get(s, 1e9) for s in target)
+        out = mixing.mixed(these, weights=(3.0, 0.7, 2.0), budget=0.6).collect()
+        assert len(out) == sum(r.copies for r in chosen) and not any(r.text and r.position == 1.0 for r in out)
+
+
 def plain_signatures(text):
     import regex
 
