@@ -10,7 +10,7 @@ Forms with a common key are candidates, and all candidates are verified by edit
 the first occurrence by (doc_id, line) stays, in that document and place.
 
 So one changed, added or missing word always makes a candidate up to 9 words, and so do changes of up to a fifth of the words up to KEYS + 2
-words. Of longer forms that share a share J of their runs, 1 - (1 - J) ** KEYS meet: J is 0.25 at least where a fifth of the words is replaced.
+words. Of longer forms that share a share J of their runs, about 1 - (1 - J) ** KEYS meet: J is 0.21 where every fifth of 25 words is replaced.
 
 Null texts stay null and take no part. Null ids come last in the order; rows of one id and text are one document and get the same result;
 equal ids with different texts are ordered by text hash. A text that loses all its lines becomes empty, its row stays. Other columns pass through.
