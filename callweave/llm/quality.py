@@ -5,7 +5,8 @@ every word that equals the word so many places before it; each is hashed to one
 The mean vector goes through a softmax layer; vectors and layer are learnt together by mini-batch stochastic gradient descent in numpy.
 Because the layer is linear in the mean, a learnt model is kept as one log-odds weight per bucket and scores texts of any length whole.
 
-Learning takes a bounded, documented sample: `max_rows` labelled documents, those of the smallest hash of the id. Scores see the text only.
+Learning takes a bounded, documented sample: `max_rows` labelled documents, those of the smallest hash of the id, as long as together they
+have `max_features` distinct features of a text at most (8 bytes each at the driver). Scores see the text only.
 Texts without words score by the bias alone. Null texts are empty. Null ids are scored but never learnt from; repeated rows give repeated
 results; without usable labels every score is 0.5 (predicted 1: nothing is rejected unlearnt). Other columns pass through.
 """
@@ -17,7 +18,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -31,6 +32,7 @@ class Settings:
     lags: tuple[int, ...] = (1, 2, 3)
     width: int = 8
     max_rows: int = 4000
+    max_features: int = 16_000_000
     epochs: int = 6
     batch: int = 32
     rate: float = 0.5
@@ -122,10 +124,19 @@ def fit(docs: DataFrame, labels: DataFrame, s: Settings = Settings()) -> tuple[n
             yield from pa.table([piece.column("doc_id").combine_chunks(), piece.column("quality").combine_chunks(), digest, *lists], schema_names).to_batches()
 
     schema_names = ["doc_id", "quality", "digest", "buckets", "counts"]
-    sample = rows.mapInArrow(bags, schema).toPandas().sort_values(["doc_id", "digest"]).drop_duplicates(["doc_id"])
-    if sample.quality.nunique() < 2:
+    found = common.written(rows.mapInArrow(bags, schema))
+    # Sizes first: the rows that come to the driver are bounded by features as well as in number.
+    sizes = found.groupBy("doc_id").agg(F.min_by(F.struct("digest", F.size("buckets").alias("n")), "digest").alias("x"))
+    upto = F.sum("x.n").over(Window.orderBy(F.xxhash64("doc_id"), "doc_id").rowsBetween(Window.unboundedPreceding, 0))
+    taken = sizes.withColumn("upto", upto).where(F.col("upto") <= s.max_features).select("doc_id", "x.digest")
+    sample = found.join(F.broadcast(taken), ["doc_id", "digest"]).toArrow().sort_by([("doc_id", "ascending")])
+    first = np.unique(sample.column("doc_id").to_numpy(), return_index=True)[1]
+    sample = sample.take(pa.array(first))
+    quality = sample.column("quality").to_numpy().astype(np.int64)
+    if len(set(quality)) < 2:
         return np.zeros(1 << s.bits, np.float32), 0.0
-    return train(list(zip(sample.buckets, sample.counts, strict=True)), sample.quality.to_numpy(np.int64), s)
+    lists = ([np.asarray(x.values, np.int32) for x in sample.column(c)] for c in ("buckets", "counts"))
+    return train(list(zip(*lists, strict=True)), quality, s)
 
 
 def score(docs: DataFrame, model: tuple[np.ndarray, float], s: Settings = Settings(), out: str = "score") -> DataFrame:
