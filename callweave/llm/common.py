@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import weakref
 from collections.abc import Iterator
 
 import numpy as np
@@ -63,12 +64,28 @@ def session_folder(spark: SparkSession) -> str:
     return f"{shared_folder(spark).rstrip('/')}/llm-{uuid4().hex}"
 
 
-def written(df: DataFrame, partition_by: list[str] | None = None) -> DataFrame:
+def written(df: DataFrame, partition_by: list[str] | None = None, **options) -> DataFrame:
     """The rows as a Parquet table in the shared folder: cuts lineage, survives lost executors, computed once."""
     path = session_folder(df.sparkSession)
-    writer = df.write.partitionBy(*partition_by) if partition_by else df.write
-    writer.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    writer = df.write.options(**options)
+    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
+    out = df.sparkSession.read.parquet(path)
+    _FOLDERS[id(out)] = weakref.ref(out), path
+    return out
+
+
+_FOLDERS: dict[int, tuple] = {}
+
+
+def removed(*tables: DataFrame) -> None:
+    """Deletes the folders of tables made by `written` that nothing reads any more; other tables are left alone."""
+    for df in tables:
+        ref, path = _FOLDERS.pop(id(df), (lambda: None, ""))
+        if ref() is not df:
+            continue
+        jvm = df.sparkSession._jvm
+        where = jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(where, True)
 
 
 def flat(texts: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
