@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from callweave.llm import bpe, chat, jaccard, lines, media, mixing, pii, pitmanyor, quality, spotsigs
+from callweave.llm import alignment, bpe, chat, clustering, jaccard, lines, media, mixing, pii, pitmanyor, quality, spotsigs, tokenfiles
 
-MODULES = [pii, pitmanyor, lines, media, bpe, quality, jaccard, mixing, spotsigs, chat]
+MODULES = [pii, pitmanyor, lines, media, bpe, quality, jaccard, mixing, spotsigs, chat, alignment, clustering, tokenfiles]
 
 
 def queries() -> dict:
