@@ -76,7 +76,7 @@ def chained(members: DataFrame, seed: int) -> DataFrame:
     return pairs.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
 
 
-def _split(shared: DataFrame, found: DataFrame) -> DataFrame:
+def split(shared: DataFrame, found: DataFrame) -> DataFrame:
     """Members, with their components, of the keys that still hold several; a node on no link is its own component."""
     member = shared.join(found, "node", "left").select("key", "node", "hub", "times", F.coalesce("component", "node").alias("component"))
     member = common.written(member)
@@ -129,7 +129,7 @@ def grouped(shared: DataFrame, check: Callable[[DataFrame], DataFrame], traits:
     links = common.written(check(star.unionByName(chained(shared, 0)).distinct()))
     found = components(links)
     for seed in range(1, rounds + 2):
-        rest = _split(shared, found)
+        rest = split(shared, found)
         if rest.isEmpty():
             break
         more = common.written(check(chained(rest, seed) if seed <= rounds else crossed(rest, traits, may)))

@@ -3,14 +3,14 @@ r"""Operator 3: fuzzy line dedup.
 Lines are the pieces of a text between line feeds. Their normal form is lower case with everything but letters taken as space. Lines of
 `min_words` words or more take part, and so do lines of LONG characters or more that have as many units: in scripts written without spaces each
 character is a unit. Other lines of LONG characters or more (long words, digits, marks) are one where they are equal but for case and
-spaces; what is shorter (headings, list marks) always stays. Each distinct normal form gets keys: its runs of three
-units (words, where there are spaces), at most KEYS of them (the least by a hash that favours runs of many bytes), and below SHORT words also its words with each one left out.
-Forms with a common key are candidates, and all candidates are verified by edit similarity (1 - distance / longer length, code points) of
-`similarity` or more; before texts are fetched, only pairs whose letter counts prove them too far apart go. Of every connected group of lines
-the first occurrence by (doc_id, line) stays, in that document and place.
+spaces; what is shorter (headings, list marks, a lone "yes") always stays: such lines repeat because the texts have the same make-up.
 
-So one changed, added or missing word always makes a candidate up to 9 words, and so do changes of up to a fifth of the words up to KEYS + 2
-words. Of longer forms that share a share J of their runs, about 1 - (1 - J) ** KEYS meet: J is 0.21 where every fifth of 25 words is replaced.
+Each normal form has a SimHash of 128 bits over its runs of GRAM characters. It is cut into four blocks, and forms with a block in common are
+candidates: by pigeonhole all forms that differ in three bits at most. An edit similarity of 0.8 goes along with many more bits (two changed
+words in fifty move about ten), so that blocks alone miss most such pairs; a form therefore has further keys: a MinHash sample of KEYS of its
+runs of three units and, below SHORT words, its words with each one left out. Forms with a common key are candidates; those whose SimHash
+differs in more than BITS bits, or whose lengths rule it out, go; all others are verified by edit similarity (1 - distance / longer length,
+code points) of `similarity` or more. Of every connected group of lines the first occurrence by (doc_id, line) stays, in that document and place.
 
 Null texts stay null and take no part. Null ids come last in the order; rows of one id and text are one document and get the same result;
 equal ids with different texts are ordered by text hash. A text that loses all its lines becomes empty, its row stays. Other columns pass through.
@@ -24,7 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -33,10 +33,12 @@ from callweave.llm import common, components
 MIN_WORDS, SIMILARITY = 5, 0.8
 #: Characters from which a line takes part whatever its words.
 LONG = 20
-#: Words of a run, runs that are keys of a form, and words from which a form has no keys with a word left out.
-RUN, KEYS, SHORT = 3, 20, 10
-#: Letter counts of a form: a bucket for each of a to z, the others for further characters by their last byte.
-BUCKETS = 64
+#: Words of a run, runs sampled of a form, and words from which a form has no keys with a word left out.
+RUN, KEYS, SHORT = 3, 12, 10
+#: Characters of a SimHash feature, and bits of 128 in which verified forms may differ.
+GRAM, BITS = 5, 46
+#: Members of a key from which its pairs are not all given by its least member and by neighbours.
+FEW = 3
 
 _HASHER = common.Hasher(fold=True, seed=3)
 _HASHER.space = np.array([b < 128 and not chr(b).isalpha() for b in range(256)])
@@ -61,10 +63,6 @@ def forms_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(forms, pa.string())], ["node", "form"])
 
 
-#: Bucket of each byte; a character counts once, where it ends.
-_BUCKET = np.array([ord(chr(b).lower()) - 97 if chr(b).isalpha() and b < 128 else 26 + b % (BUCKETS - 26) if b > 127 else -1 for b in range(256)])
-
-
 def line_words(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """For lines that begin at `starts` (one more entry than lines): word hashes, word lengths in bytes, each line's first word."""
     begin, end, rows = _HASHER.word_bounds(data, starts)
@@ -108,19 +106,52 @@ def line_hashes(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.nd
     return count, common.mix(form), chars
 
 
-def letter_counts(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """One row of BUCKETS bytes a line: characters of each bucket, 255 at most."""
-    last = np.ones(len(data), bool)
-    last[:-1] = data[1:] & 0xC0 != 0x80
-    bucket = _BUCKET[data]
-    at = np.flatnonzero(last & (bucket >= 0))
-    line = np.searchsorted(starts, at, "right") - 1
-    lines = len(starts) - 1
-    return np.minimum(np.bincount(line * BUCKETS + bucket[at], minlength=lines * BUCKETS), 255).astype(np.uint8).reshape(lines, BUCKETS)
+#: For each byte its eight bits as the eight bytes of a number: sums of up to 255 of them count bits.
+_LANES = (np.arange(256, dtype=np.uint8)[:, None] >> np.arange(8, dtype=np.uint8) & 1).copy().view(np.uint64).ravel()
 
 
-def line_keys(words: np.ndarray, width: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """line and key of the keys of every line, sorted by line."""
+def line_signs(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """SimHash of each line's normal form: two 64-bit numbers. Its features are the runs of GRAM characters (bytes), a space before and after."""
+    words, ends, rows = _HASHER.word_bounds(data, starts)
+    lines = len(starts) - 1
+    if not len(words):
+        return np.zeros((lines, 2), np.uint64)
+    # Words of all lines, one space ahead of each and one after the last of a line.
+    line = np.repeat(np.arange(lines), np.diff(rows))
+    size = ends - words + 1
+    last = np.diff(line, append=-1) != 0
+    at = np.concatenate([[0], np.cumsum(size + last)])
+    flat = np.full(at[-1], 32, np.uint8)
+    source = np.arange(at[-1]) - np.repeat(at[:-1], size + last)
+    inside = (source > 0) & (source < np.repeat(size, size + last))
+    flat[inside] = data[(np.repeat(words, size + last) + source - 1)[inside]]
+    upper = (flat >= 65) & (flat <= 90)
+    flat[upper] += 32
+    full = np.flatnonzero(np.diff(rows))
+    begin, end = at[rows[full]], at[rows[full + 1]]
+    sums = _HASHER.sums(flat)
+    # A form shorter than a run is one feature.
+    count = np.maximum(end - begin - GRAM + 1, 1)
+    first = np.concatenate([[0], np.cumsum(count)])
+    spot = np.arange(first[-1]) - np.repeat(first[:-1] - begin, count)
+    gram = _HASHER.runs(sums, spot, np.minimum(spot + GRAM, np.repeat(end, count)))
+    # Pieces of at most 255 features, so that a lane does not overflow.
+    pieces = np.unique(np.concatenate([first[:-1], np.flatnonzero((np.arange(first[-1]) - np.repeat(first[:-1], count)) % 255 == 0)]))
+    own = np.searchsorted(first, pieces, "right") - 1
+    heads = np.searchsorted(pieces, first[:-1])
+    out = np.zeros((lines, 2), np.uint64)
+    for half in range(2):
+        bytes_ = common.mix(gram + np.uint64((half + 1) * 0x9E3779B97F4A7C15 % (1 << 64))).view(np.uint8).reshape(-1, 8)
+        ones = np.empty((len(full), 64), np.int64)
+        for k in range(8):
+            lanes = np.add.reduceat(_LANES[bytes_[:, k]], pieces).view(np.uint8).reshape(-1, 8)
+            ones[:, 8 * k : 8 * k + 8] = np.add.reduceat(lanes.astype(np.int64), heads, axis=0)
+        out[full, half] = np.packbits(2 * ones > count[:, None], axis=1, bitorder="little").view(np.uint64).ravel()
+    return out
+
+
+def line_keys(words: np.ndarray, width: np.ndarray, rows: np.ndarray, signs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """line and key of the keys of every line, sorted by line: its SimHash's blocks, its sampled runs, its words without one."""
     count = np.diff(rows)
     line = np.repeat(np.arange(len(count)), count)
     place, size = np.arange(len(words)) - rows[:-1][line], count[line]
@@ -137,6 +168,11 @@ def line_keys(words: np.ndarray, width: np.ndarray, rows: np.ndarray) -> tuple[n
     own, run = own[fresh], run[fresh]
     keep = np.arange(len(own)) - np.searchsorted(own, own) < KEYS
     lines, keys = [own[keep]], [run[keep]]
+    some = np.flatnonzero(count)
+    for block in range(4):
+        part = signs[some, block // 2] >> np.uint64(32 * (block % 2)) & np.uint64(0xFFFFFFFF)
+        lines.append(some)
+        keys.append(common.mix(part + np.uint64(block + 1 << 40)))
     # The words of a short line without one of them, and all of them: sums of hashes that know their place.
     for gone in range(SHORT):
         some = np.flatnonzero((size < SHORT) & (size >= gone) & (place != gone))
@@ -153,12 +189,12 @@ def line_keys(words: np.ndarray, width: np.ndarray, rows: np.ndarray) -> tuple[n
 
 
 def occurrences(docs: DataFrame, min_words: int) -> DataFrame:
-    """id, mark, doc_id, line, node, chars, keys and counts (see `line_keys`, `letter_counts`) of every line that takes part, written once."""
+    """id, mark, doc_id, line, node, chars, s1, s2 (SimHash) and keys of every line that takes part, written once."""
     rows = common.named(docs.where("text IS NOT NULL")).select("id", "mark", F.col("doc_id"), "text").where(F.length("text") > 0)
     schema = T.StructType(
         [rows.schema["id"], rows.schema["mark"], rows.schema["doc_id"]]
-        + [T.StructField(c, T.LongType()) for c in ("line", "node", "chars")]
-        + [T.StructField("keys", T.ArrayType(T.LongType())), T.StructField("counts", T.BinaryType())]
+        + [T.StructField(c, T.LongType()) for c in ("line", "node", "chars", "s1", "s2")]
+        + [T.StructField("keys", T.ArrayType(T.LongType()))]
     )
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -182,65 +218,107 @@ def occurrences(docs: DataFrame, min_words: int) -> DataFrame:
                     same[k], node[k] = True, exact
             keep = np.flatnonzero(near | same)
             own = piece.select(["id", "mark", "doc_id"]).take(pa.array(row[keep]))
-            out = {"line": keep - first[row[keep]], "node": node[keep], "chars": chars[keep]}
+            signs = line_signs(data, starts)
+            out = {"line": keep - first[row[keep]], "node": node[keep], "chars": chars[keep], "s1": signs[keep, 0].view(np.int64), "s2": signs[keep, 1].view(np.int64)}
             for name, values in out.items():
                 own = own.append_column(name, pa.array(values.astype(np.int64)))
-            line, key = line_keys(*units)
+            line, key = line_keys(*units, signs)
             has = near[line]
             ends = np.searchsorted(line[has], keep, "right")
             lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]), pa.int32()), pa.array(key[has].view(np.int64)))
-            counts = pa.array([x.tobytes() for x in letter_counts(data, starts)[keep]], pa.binary())
-            own = own.append_column("keys", lists).append_column("counts", counts)
-            yield from own.to_batches()
-
-    return common.written(rows.mapInArrow(work, schema))
-
-
-def far(counts: np.ndarray, chars: np.ndarray, other: np.ndarray, others: np.ndarray, similarity: float) -> np.ndarray:
-    """True where letter counts or lengths prove forms further apart than `similarity` allows: an edit adds one character at most and takes one."""
-    most = np.floor(np.maximum(chars, others) * (1 - similarity) + 1e-9)
-    change = counts.astype(np.int16) - other
-    return (np.maximum(change, 0).sum(-1) > most) | (np.maximum(-change, 0).sum(-1) > most) | (np.abs(chars - others) > most)
-
-
-def line_groups(docs: DataFrame, found: DataFrame, similarity: float) -> DataFrame:
+            yield from own.append_column("keys", lists).to_batches()
+
+    return common.written(rows.mapInArrow(work, schema), compression="zstd")
+
+
+def within(a: str, b: str, limit: int) -> bool:
+    """True where the edit distance is `limit` at most. Bit vectors over a, column by column of b (Myers 1999); every 32 columns the value on
+    the diagonal, less the difference in length, bounds the distance from below, so that unlike texts are left early."""
+    short, head = min(len(a), len(b)), 0
+    while head < short and a[head] == b[head]:
+        head += 1
+    tail = 0
+    while tail < short - head and a[-1 - tail] == b[-1 - tail]:
+        tail += 1
+    a, b = a[head : len(a) - tail], b[head : len(b) - tail]
+    n, m = len(a), len(b)
+    if abs(n - m) > limit:
+        return False
+    if max(n, m) <= limit:
+        return True
+    match: dict[str, int] = {}
+    for i, c in enumerate(a):
+        match[c] = match.get(c, 0) | 1 << i
+    full, top = (1 << n) - 1, 1 << (n - 1)
+    up, down, score = full, 0, n
+    for j, c in enumerate(b, 1):
+        eq = match.get(c, 0)
+        flat = eq | down
+        cross = (((eq & up) + up) ^ up) | eq
+        rise, fall = down | (full & ~(cross | up)), up & cross
+        score += 1 if rise & top else -1 if fall & top else 0
+        rise = ((rise << 1) | 1) & full
+        up = ((fall << 1) & full) | (full & ~(flat | rise))
+        down = rise & flat
+        if not j & 31 and j <= n:
+            low = (1 << j) - 1
+            if j + (up & low).bit_count() - (down & low).bit_count() - abs(n - m) > limit:
+                return False
+    return score <= limit
+
+
+def _limit(n: Column, similarity: float) -> Column:
+    return F.floor(n * (1 - similarity) + 1e-9).cast("int")
+
+
+def line_groups(docs: DataFrame, found: DataFrame, similarity: float, bits: int = BITS) -> DataFrame:
     """node, component of the normal forms that have links."""
-    first = found.groupBy("node").agg(F.min(F.struct("id", "mark", "line")).alias("at"), F.first("keys").alias("keys"), F.first("counts").alias("counts"), F.first("chars").alias("chars"))
-    forms = common.written(first)
-    shared = components.shared_keys(forms.select(F.explode("keys").alias("key"), "node"))
-    # Counts, then the length as eight bytes.
-    traits = forms.select("node", F.concat("counts", F.unhex(F.lpad(F.hex("chars"), 16, "0"))).alias("trait"))
-
-    def read(traits: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        rows = np.frombuffer(b"".join(traits), np.uint8).reshape(-1, BUCKETS + 8)
-        return rows[:, :BUCKETS], rows[:, BUCKETS:].copy().view(">i8").ravel().astype(np.int64)
+    shared = components.shared_keys(found.select(F.explode("keys").alias("key"), "node"))
+    used = shared.select("node").distinct()
+    first = found.groupBy("node").agg(F.min(F.struct("id", "mark", "line")).alias("at"), F.first("chars").alias("chars"), F.first("s1").alias("s1"), F.first("s2").alias("s2"))
+    forms = common.written(first.join(used, "node"), compression="zstd")
+    traits = forms.select("node", "chars", "s1", "s2")
+    # A document gives the lines it stands for; its text moves once.
+    spots = forms.select("node", "at.*").groupBy("id", "mark").agg(F.collect_list(F.struct("line", "node")).alias("spots"))
+    texts = common.named(docs.where("text IS NOT NULL")).select("id", "mark", "text").dropDuplicates(["id", "mark"]).join(spots, ["id", "mark"])
+    texts = common.written(texts.select("text", "spots").mapInArrow(forms_of, "node long, form string"), compression="zstd")
 
     def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x, y = (read(batch.column(c).to_pylist()) for c in ("ta", "tb"))
-            yield batch.select(["a", "b"]).filter(pa.array(~far(*x, *y, similarity)))
+            columns = (batch.column(c).to_pylist() for c in ("fa", "fb", "limit"))
+            yield batch.select(["a", "b"]).filter(pa.array([within(*x) for x in zip(*columns)], pa.bool_()))
 
     def check(pairs: DataFrame) -> DataFrame:
-        a = traits.select(F.col("node").alias("a"), F.col("trait").alias("ta"))
-        b = traits.select(F.col("node").alias("b"), F.col("trait").alias("tb"))
-        close = common.written(pairs.join(a, "a").join(b, "b").select("a", "b", "ta", "tb").mapInArrow(near, "a long, b long"))
-        used = close.select(F.col("a").alias("node")).unionByName(close.select(F.col("b").alias("node"))).distinct()
-        spots = forms.join(used, "node").select("node", "at.*").groupBy("id", "mark").agg(F.collect_list(F.struct("line", "node")).alias("spots"))
-        # A document gives the lines it stands for; its text moves once.
-        texts = common.named(docs.where("text IS NOT NULL")).select("id", "mark", "text").join(spots, ["id", "mark"])
-        texts = common.written(texts.select("text", "spots").mapInArrow(forms_of, "node long, form string"))
-        x = texts.select(F.col("node").alias("a"), F.col("form").alias("fa"))
-        y = texts.select(F.col("node").alias("b"), F.col("form").alias("fb"))
-        most = F.greatest(F.char_length("fa"), F.char_length("fb"))
-        both = close.join(x, "a").join(y, "b").withColumn("limit", F.floor(most * (1 - similarity) + 1e-9).cast("int"))
-        apart = F.abs(F.char_length("fa") - F.char_length("fb")) <= F.col("limit")
-        return both.where(apart & (F.expr("levenshtein(fa, fb, limit)") >= 0)).select("a", "b").distinct()
+        a, b = (traits.select(F.col("node").alias(k), *(F.col(c).alias(f"{c}_{k}") for c in ("chars", "s1", "s2"))) for k in "ab")
+        differ = F.bit_count(F.col("s1_a").bitwiseXOR(F.col("s1_b"))) + F.bit_count(F.col("s2_a").bitwiseXOR(F.col("s2_b")))
+        apart = F.abs(F.col("chars_a") - F.col("chars_b"))
+        close = pairs.join(a, "a").join(b, "b").where((differ <= bits) & (apart <= _limit(F.greatest("chars_a", "chars_b"), similarity))).select("a", "b")
+        x, y = (texts.select(F.col("node").alias(k), F.col("form").alias(f"f{k}")) for k in "ab")
+        both = close.join(x, "a").join(y, "b").withColumn("limit", _limit(F.greatest(F.char_length("fa"), F.char_length("fb")), similarity))
+        parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        return both.repartition(parts).mapInArrow(near, "a long, b long")
 
     def may(x: list[bytes], y: list[bytes]) -> np.ndarray:
-        (counts, chars), (other, others) = read(x), read(y)
-        return np.stack([~far(c, n, other, others, similarity) for c, n in zip(counts, chars)])
-
-    return components.grouped(shared, check, traits, may)
+        p, q = (np.frombuffer(b"".join(t), ">u8").reshape(-1, 3).astype(np.uint64) for t in (x, y))
+        differ = sum(np.bitwise_count(p[:, None, k] ^ q[None, :, k]).astype(np.int16) for k in (1, 2))
+        chars, others = p[:, None, 0].astype(np.int64), q[None, :, 0].astype(np.int64)
+        return (differ <= bits) & (np.abs(chars - others) <= np.floor(np.maximum(chars, others) * (1 - similarity) + 1e-9))
+
+    # Every member of a key with the key's least one and with the next one in an order that is the same for all keys, so that lines which
+    # share many keys are one pair.
+    salted = shared.withColumn("salt", F.pmod(F.xxhash64("node"), F.ceil(F.col("times") / components.CHAIN)))
+    after = Window.partitionBy("key", "salt").orderBy("node")
+    chain = salted.select(F.col("node").alias("a"), F.lead("node").over(after).alias("b")).where("b IS NOT NULL")
+    star = shared.where("node != hub").select(F.col("hub").alias("a"), F.col("node").alias("b"))
+    links = common.written(check(star.unionByName(chain).distinct()))
+    group = components.components(links)
+    # Keys of FEW members are done: these pairs are all they have. Of the others, what is still in several components is compared in full.
+    rest = components.split(shared.where(F.col("times") > FEW), group)
+    if rest.isEmpty():
+        return group
+    packed = traits.select("node", F.concat(*(F.unhex(F.lpad(F.hex(c), 16, "0")) for c in ("chars", "s1", "s2"))).alias("trait"))
+    more = common.written(check(components.crossed(rest, packed, may)))
+    return group if more.isEmpty() else components.components(links.unionByName(more))
 
 
 def deduplicated(docs: DataFrame, min_words: int = MIN_WORDS, similarity: float = SIMILARITY) -> DataFrame:
