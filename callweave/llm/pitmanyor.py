@@ -2,13 +2,13 @@
 
 The model predicts a text's tokens byte by byte: words in lower case (A-Z), a space after each, and one end symbol. A restaurant is a context of up
 to five bytes; its parent is the context without its farthest byte, down to the empty one, which rests on the uniform law. Customers of the longest contexts
-are the corpus counts; every table of a restaurant is a customer of its parent. Seatings are sampled: customers are first seated in
-turn (those of a frequent dish in growing blocks), then Gibbs steps take customers from their tables and seat them anew. Predictive
-probabilities are averaged over samples.
+are the corpus counts; every table of a restaurant is a customer of its parent. Seatings are sampled: the chain starts with a
+table for every dish, each Gibbs step takes a random share of the customers from their tables and seats them anew, and the seating is carried
+from sweep to sweep (customers that the tables below bring or take come and go). Predictive probabilities are averaged over samples.
 
-Counts are gathered from all training documents by grouped sums. Contexts of one last pair of bytes form a subtree of at most 256**4 counts, so
-subtrees are sampled side by side in partitions; the contexts of one byte and none have 256**2 counts at most, which is proven small
-enough for the driver. Both parts are sampled in turn. Texts are scored in blocks of bounded size that look up just the n-grams and words they hold.
+Counts are gathered from all training documents by grouped sums. Contexts of one last pair of bytes form a subtree; subtrees are sampled side
+by side, one after the other inside a partition (small ones together). A pair of more than `together` counts is sampled by its third bytes, whose
+tables are the pair's customers. The contexts of one byte and none have 256**2 counts at most, which is proven small enough for the driver. Both parts are sampled in turn. Texts are scored in blocks of bounded size that look up just the n-grams and words they hold.
 
 Null texts are empty and consist of the end symbol. A null id is neither held out nor learnt from. Repeated rows give repeated results; an empty table gives
 an empty table; other columns are ignored. Texts are scored whole.
@@ -40,14 +40,17 @@ _WORD = np.uint64(1 << 63)
 
 @dataclass(frozen=True)
 class Settings:
-    """Discount and strength by context length; Gibbs sweeps before and while samples are kept; steps a sweep."""
+    """Discount and strength by context length; Gibbs sweeps before and while samples are kept; steps a sweep
+    and the share of customers that each moves; n-grams that a task samples at a time."""
 
     discount: tuple[float, ...] = (0.2, 0.3, 0.4, 0.5, 0.5, 0.5)
     strength: tuple[float, ...] = (1.0, 1.0, 1.0, 1.0, 0.5, 0.5)
     burn: int = 2
     samples: int = 4
-    steps: int = 6
+    steps: int = 3
+    share: float = 0.3
     rounds: int = 2
+    together: int = 400_000
     seed: int = 11
 
 
@@ -116,72 +119,112 @@ def _batches(keys: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(keys[lo : lo + (1 << 16)]), pa.array(n[lo : lo + (1 << 16)])], ["key", "n"])
 
 
+def _split(draw: np.random.Generator, k: np.ndarray, weight: np.ndarray, first: np.ndarray, dish: np.ndarray) -> np.ndarray:
+    """Customers that each table gets when k[i] of them choose among the tables of dish[i] by weight: table after table, a binomial share of
+    those left. `first` has each dish's first table (one more entry than dishes)."""
+    out = np.zeros(len(weight), np.int64)
+    rest, at, end = k.copy(), first[dish], first[dish + 1]
+    ends = np.concatenate([[0.0], np.cumsum(weight)])
+    whole = ends[end] - ends[at]
+    open_ = np.flatnonzero(rest > 0)
+    while len(open_):
+        here = at[open_]
+        last = here + 1 >= end[open_]
+        share = np.where(last, 1.0, np.clip(weight[here] / np.maximum(whole[open_], 1e-300), 0, 1))
+        got = draw.binomial(rest[open_], share)
+        out[here] += got
+        rest[open_] -= got
+        whole[open_] -= weight[here]
+        at[open_] += 1
+        open_ = open_[rest[open_] > 0]
+    return out
+
+
 class Level:
-    """Restaurants of one context length: dish by dish customers, base probability and table sizes."""
+    """Restaurants of one context length. The seating is kept: `dish` and `size` of every table, in order of dishes."""
 
     def __init__(self, room: np.ndarray, discount: float, strength: float, draw: np.random.Generator) -> None:
         self.room, self.rooms = room, int(room.max(initial=-1)) + 1
         self.discount, self.strength, self.draw = discount, strength, draw
-
-    def seat(self, customers: np.ndarray, base: np.ndarray) -> None:
-        """Seats all customers in turn; those of a dish beyond the first few in blocks that grow with the number seated."""
-        self.customers, n = customers, len(customers)
-        tables, seated = (customers > 0).astype(np.int64), (customers > 0).astype(np.int64)
-        open_ = np.flatnonzero(customers > 1)
+        self.customers = np.zeros(len(room), np.int64)
+        self.dish = self.size = np.zeros(0, np.int64)
+
+    def _first(self) -> np.ndarray:
+        return np.concatenate([[0], np.cumsum(np.bincount(self.dish, minlength=len(self.room)))])
+
+    def leave(self, dish: np.ndarray, k: np.ndarray) -> None:
+        """k[i] customers of dish[i], drawn at random, leave; empty tables go."""
+        first = self._first()
+        rest, at = k.copy(), first[dish]
+        whole = self.customers[dish].copy()
+        open_ = np.flatnonzero(rest > 0)
         while len(open_):
-            total = np.bincount(self.room, tables, self.rooms)
-            more = np.minimum(customers[open_] - seated[open_], seated[open_] // 4 + 1)
-            new = (self.strength + self.discount * total[self.room[open_]]) * base[open_]
-            share = new / (new + seated[open_] - self.discount * tables[open_])
-            tables[open_] += self.draw.binomial(more, np.clip(share, 0, 1))
-            seated[open_] += more
-            open_ = open_[seated[open_] < customers[open_]]
-        dish = np.repeat(np.arange(n), tables)
-        # Beyond one each, customers spread over a dish's tables by random shares.
-        share = self.draw.gamma(1 - self.discount, size=len(dish)) + 1e-9
-        whole = np.bincount(dish, share, n)[dish] if len(dish) else share
-        spare = (customers - tables)[dish] * share / whole if len(dish) else share
-        size = 1 + np.floor(spare).astype(np.int64)
-        if len(dish):
-            lack = customers - np.bincount(dish, size, n).astype(np.int64)
-            first = np.flatnonzero(np.diff(dish, prepend=-1))
-            size[first] += lack[dish[first]]
-        self.dish, self.size = dish, size
-
-    def step(self, base: np.ndarray) -> None:
-        """One customer of every dish with more than one leaves its table and is seated anew, all dishes at once."""
-        n = len(self.customers)
-        some = np.flatnonzero(self.customers > 1)
-        if not len(some):
-            return
-        ends = np.cumsum(self.size)
-        begin = np.concatenate([[0], np.cumsum(np.bincount(self.dish, self.size, n).astype(np.int64))])
-        left = np.searchsorted(ends, begin[some] + (self.draw.random(len(some)) * self.customers[some]).astype(np.int64), "right")
-        self.size[left] -= 1
+            here = at[open_]
+            own = self.size[here]
+            others = whole[open_] - own
+            most = np.minimum(own, rest[open_])
+            small = own + others < 1_000_000_000
+            gone = np.zeros(len(open_), np.int64)
+            gone[small] = self.draw.hypergeometric(own[small], others[small], rest[open_][small])
+            # Beyond the sizes that numpy's hypergeometric law takes, the binomial one is as good.
+            gone[~small] = self.draw.binomial(rest[open_][~small], own[~small] / whole[open_][~small])
+            gone = np.clip(gone, np.maximum(rest[open_] - others, 0), most)
+            self.size[here] -= gone
+            rest[open_] -= gone
+            whole[open_] -= own
+            at[open_] += 1
+            open_ = open_[rest[open_] > 0]
+        self.customers[dish] -= k
         keep = self.size > 0
         self.dish, self.size = self.dish[keep], self.size[keep]
-        tables = np.bincount(self.dish, minlength=n)
-        total = np.bincount(self.room, tables, self.rooms)
-        new = (self.strength + self.discount * total[self.room[some]]) * base[some]
-        old = self.customers[some] - 1 - self.discount * tables[some]
-        opens = self.draw.random(len(some)) * (new + old) < new
-        stay = some[~opens]
-        weight = self.size - self.discount
-        ends = np.cumsum(weight)
-        whole = np.bincount(self.dish, weight, n)
-        start = np.concatenate([[0], np.cumsum(whole)])
-        spot = np.searchsorted(ends, start[stay] + self.draw.random(len(stay)) * whole[stay], "right")
-        # Rounding must not lead to a neighbour's table.
-        first = np.concatenate([[0], np.cumsum(tables)])
-        spot = np.clip(spot, first[stay], first[stay + 1] - 1)
-        np.add.at(self.size, spot, 1)
-        fresh = some[opens]
-        order = np.argsort(np.concatenate([self.dish, fresh]), kind="stable")
-        self.dish = np.concatenate([self.dish, fresh])[order]
-        self.size = np.concatenate([self.size, np.ones(len(fresh), np.int64)])[order]
+
+    def enter(self, dish: np.ndarray, k: np.ndarray, base: np.ndarray, blocks: int = 2) -> None:
+        """k[i] customers of dish[i] are seated in turn; rates stay the same inside one of the blocks, which double where few are seated."""
+        rest = k.copy()
+        while True:
+            some = np.flatnonzero(rest > 0)
+            if not len(some):
+                return
+            d, tables = dish[some], self.tables()
+            total = np.bincount(self.room, tables, self.rooms)
+            seated, own = self.customers[d], tables[d]
+            many = np.minimum(rest[some], np.maximum(-(-k[some] // blocks), 1))
+            many = np.where(seated == 0, 1, np.minimum(many, seated // 4 + 1))
+            fresh = (self.strength + self.discount * total[self.room[d]]) * base[d]
+            new = self.draw.binomial(many, np.where(seated == 0, 1.0, np.clip(fresh / (fresh + seated - self.discount * own), 0, 1)))
+            self.size += _split(self.draw, many - new, self.size - self.discount, self._first(), d)
+            self.customers[d] += many
+            rest[some] -= many
+            added = np.repeat(d, new)
+            order = np.argsort(np.concatenate([self.dish, added]), kind="stable")
+            self.dish = np.concatenate([self.dish, added])[order]
+            self.size = np.concatenate([self.size, np.ones(len(added), np.int64)])[order]
+
+    def arrange(self, customers: np.ndarray, base: np.ndarray) -> None:
+        """Customers come or go until there are as many as given; all others keep their tables. The chain starts with one table a dish:
+        from there the steps come near the law soonest, since tables of many customers rarely empty."""
+        if not len(self.dish):
+            self.customers, self.dish = customers.copy(), np.flatnonzero(customers)
+            self.size = customers[self.dish].copy()
+            return
+        change = customers - self.customers
+        gone, come = np.flatnonzero(change < 0), np.flatnonzero(change > 0)
+        if len(gone):
+            self.leave(gone, -change[gone])
+        if len(come):
+            self.enter(come, change[come], base)
+
+    def step(self, base: np.ndarray, share: float) -> None:
+        """A Gibbs step: of every dish a random share of the customers leaves and is seated anew given all others."""
+        some = np.flatnonzero(self.customers > 1)
+        k = self.draw.binomial(self.customers[some], share)
+        some, k = some[k > 0], k[k > 0]
+        if len(some):
+            self.leave(some, k)
+            self.enter(some, k, base)
 
     def tables(self) -> np.ndarray:
-        return np.bincount(self.dish, minlength=len(self.customers))
+        return np.bincount(self.dish, minlength=len(self.room))
 
     def predictive(self, base: np.ndarray) -> np.ndarray:
         tables = self.tables()
@@ -190,10 +233,10 @@ class Level:
 
 
 def sample(keys: np.ndarray, n: np.ndarray, depths: tuple[int, ...], base: np.ndarray, s: Settings, seed: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Samples restaurants of the given context lengths, shortest first, over counts of n-grams of the longest.
+    """Samples restaurants of the given context lengths, longest first, over counts of n-grams of the longest.
 
-    `base` is the law below the shortest: the probability of each of its n-grams (sorted). Returns the averaged predictive probability of every key, and
-    the shortest length's n-grams with the tables of the last sample.
+    `base` is the law below the shortest: the probability of each of its n-grams (sorted). One seating is carried through all sweeps. Returns
+    the averaged predictive probability of every key, and the shortest length's n-grams with the tables of the last sample.
     """
     draw = np.random.default_rng([s.seed, seed])
     parts = [np.unique(keys & ((1 << (8 * (d + 1))) - 1), return_inverse=True) for d in depths]
@@ -201,10 +244,7 @@ def sample(keys: np.ndarray, n: np.ndarray, depths: tuple[int, ...], base: np.nd
     for d, (gram, _) in zip(depths, parts, strict=True):
         room = np.unique(gram >> 8, return_inverse=True)[1] if d else np.zeros(len(gram), np.int64)
         levels.append(Level(room, s.discount[d], s.strength[d], draw))
-    up = []
-    for (gram, _), (_, _), d in zip(parts[1:], parts[:-1], depths[:-1]):
-        short = np.unique(gram & ((1 << (8 * (d + 1))) - 1), return_inverse=True)[1]
-        up.append(short)
+    up = [np.unique(gram & ((1 << (8 * (d + 1))) - 1), return_inverse=True)[1] for (gram, _), d in zip(parts[1:], depths[:-1])]
     counts = np.bincount(parts[-1][1], n, len(parts[-1][0])).astype(np.int64)
     law: list[np.ndarray] = [base]
     for k in range(len(levels) - 1):
@@ -213,9 +253,9 @@ def sample(keys: np.ndarray, n: np.ndarray, depths: tuple[int, ...], base: np.nd
     for sweep in range(s.burn + s.samples):
         customers = counts
         for k in range(len(levels) - 1, -1, -1):
-            levels[k].seat(customers, law[k])
+            levels[k].arrange(customers, law[k])
             for _ in range(s.steps):
-                levels[k].step(law[k])
+                levels[k].step(law[k], s.share)
             if k:
                 customers = np.bincount(up[k - 1], levels[k].tables(), len(parts[k - 1][0])).astype(np.int64)
         p = base
@@ -229,47 +269,128 @@ def sample(keys: np.ndarray, n: np.ndarray, depths: tuple[int, ...], base: np.nd
     return (out / s.samples)[parts[-1][1]], parts[0][0], levels[0].tables()
 
 
+def _subtrees(batches: Iterator[pa.RecordBatch], together: int) -> Iterator[tuple[np.ndarray, np.ndarray, bool, bool]]:
+    """Runs of rows, as (keys, n, whether the run is a part of one pair, whether that pair ends with it).
+
+    Rows come in order of pair, third byte and key. Pairs of fewer than `together` rows go together; a larger one is cut after a third byte.
+    """
+    held: list[tuple[np.ndarray, np.ndarray]] = []
+
+    def cut(keys: np.ndarray, n: np.ndarray, last: bool) -> Iterator:
+        pair, third = (keys >> 8) & 0xFFFF, (keys >> 24) & 0xFF
+        while len(keys):
+            if not last and len(keys) <= together:
+                break
+            upto = np.flatnonzero(np.diff(pair, append=-1))
+            whole = upto[upto < together] + 1 if not cut.inside else upto[:1][upto[:1] < together] + 1
+            if not last and len(whole) and whole[-1] == len(keys):
+                whole = whole[:-1]
+            if len(whole) and not cut.inside:
+                end, part, ends = int(whole[-1]), False, True
+            else:
+                pair_end = int(upto[0]) + 1
+                thirds = np.flatnonzero(np.diff(third[:pair_end], append=-1)) + 1
+                done = pair_end < len(keys) or last
+                if not done:
+                    thirds = thirds[:-1]
+                if not len(thirds):
+                    break
+                fits = thirds[thirds <= together]
+                end = int(fits[-1] if len(fits) else thirds[0])
+                part, ends = True, done and end == pair_end
+            yield keys[:end], n[:end], part, ends
+            cut.inside = part and not ends
+            keys, n, pair, third = keys[end:], n[end:], pair[end:], third[end:]
+        held[:] = [(keys, n)] if len(keys) else []
+
+    cut.inside = False
+    for batch in batches:
+        if batch.num_rows:
+            held.append((batch.column("key").to_numpy(), batch.column("n").to_numpy()))
+            if sum(len(k) for k, _ in held) > 2 * together:
+                yield from cut(*(np.concatenate(c) for c in zip(*held)), False)
+    if held:
+        yield from cut(*(np.concatenate(c) for c in zip(*held)), True)
+
+
 def fit(counts: DataFrame, s: Settings = Settings()) -> DataFrame:
-    """key, p: averaged predictive probability of every n-gram of the corpus."""
-    rows = counts.where("key >= 0").select("key", "n", F.expr("shiftright(key, 8) & 65535").alias("pair"))
-    bits = (1 << 16) - 1
+    """key, p: averaged predictive probability of every n-gram of the corpus.
+
+    The first round gives the tables of the two-byte contexts and, for pairs that are sampled in parts, their own law; the last one the result.
+    """
+    rows = counts.where("key >= 0").select("key", "n", F.expr("shiftright(key, 8) & 65535").alias("pair"), F.expr("shiftright(key, 24) & 255").alias("third"))
+    bits, gram2 = (1 << 16) - 1, (1 << 24) - 1
+
+    def tables_of(top: np.ndarray | None, middle: tuple[np.ndarray, np.ndarray], out: bool, turn: int):
+        def base_of(short: np.ndarray) -> np.ndarray:
+            return (top[short & bits] if top is not None else np.full(len(short), 1 / 256)).astype(np.float64)
+
+        def rows_of(a: np.ndarray, b: np.ndarray) -> Iterator[pa.RecordBatch]:
+            yield from pa.table([pa.array(a), pa.array(b.astype(np.float64))], ["key", "p"]).to_batches(max_chunksize=1 << 16)
 
-    def tables_of(top: np.ndarray | None, out: bool, turn: int):
         def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            table = [b for b in batches if b.num_rows]
-            if not table:
-                return
-            table = pa.Table.from_batches(table)
-            keys, n = table.column("key").to_numpy(), table.column("n").to_numpy()
-            order = np.argsort(keys)
-            keys, n = keys[order], n[order]
-            short = np.unique(keys & ((1 << 24) - 1))
-            base = (top[short & bits] if top is not None else np.full(len(short), 1 / 256)).astype(np.float64)
-            p, gram, tables = sample(keys, n, tuple(range(2, DEPTH + 1)), base, s, turn)
-            if out:
-                a, b = pa.array(keys), pa.array(p)
-            else:
-                a, b = pa.array(gram & bits), pa.array(tables.astype(np.float64))
-            yield from pa.table([a, b], ["key", "p"]).to_batches(max_chunksize=1 << 16)
+            own = np.zeros(256, np.int64)
+            for keys, n, part, ends in _subtrees(batches, s.together):
+                order = np.argsort(keys)
+                keys, n = keys[order], n[order]
+                if not part:
+                    p, gram, tables = sample(keys, n, tuple(range(2, DEPTH + 1)), base_of(np.unique(keys & gram2)), s, turn)
+                    yield from rows_of(keys, p) if out else rows_of(gram & bits, tables)
+                    continue
+                # Contexts of three bytes and more, below the pair's law: that of the round before, or else the law below it.
+                short = np.unique(keys & ((1 << 32) - 1)) & gram2
+                law = base_of(short)
+                if len(middle[0]):
+                    at = np.minimum(np.searchsorted(middle[0], short), len(middle[0]) - 1)
+                    law = np.where(middle[0][at] == short, middle[1][at], law)
+                p, gram, tables = sample(keys, n, tuple(range(3, DEPTH + 1)), law, s, turn)
+                if out:
+                    yield from rows_of(keys, p)
+                    continue
+                np.add.at(own, gram & 255, tables)
+                if ends:
+                    two = (keys[0] & (bits << 8)) + np.flatnonzero(own)
+                    p, gram, tables = sample(two, own[own > 0], (2,), base_of(two), s, turn)
+                    yield from rows_of(gram & bits, tables)
+                    yield from rows_of(-1 - two, p)
+                    own[:] = 0
 
         return work
 
-    # A last pair of context bytes is one subtree; partitions hold whole subtrees.
+    # Partitions hold whole pairs, in order.
     parts = int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    trees = rows.repartition(parts, "pair").select("key", "n")
-    top = None
+    trees = rows.repartition(parts, "pair").sortWithinPartitions("pair", "third", "key").select("key", "n")
+    top, middle = None, (np.zeros(0, np.int64), np.zeros(0))
     for turn in range(s.rounds - 1):
-        found = trees.mapInArrow(tables_of(top, False, turn), "key long, p double").groupBy("key").agg(F.sum("p").alias("p"))
-        # One row for a pair of bytes at most: 65,536.
-        pairs = found.toPandas().sort_values("key")
-        keys, n = np.arange(1 << 16), np.zeros(1 << 16)
-        n[pairs.key.to_numpy()] = pairs.p.to_numpy()
-        top, _, _ = sample(keys, n.astype(np.int64), (0, 1), np.full(256, 1 / 256), s, 1000 + turn)
-    return common.written(trees.mapInArrow(tables_of(top, True, s.rounds), "key long, p double"))
-
-
-def _block(blocks: int) -> Column:
-    return F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int")
+        found = trees.mapInArrow(tables_of(top, middle, False, turn), "key long, p double")
+        # One row for a pair of bytes at most, 65,536, and 256 for a pair that is sampled in parts.
+        pairs = found.groupBy("key").agg(F.sum("p").alias("p")).toArrow().sort_by("key")
+        key, p = pairs.column("key").to_numpy(), pairs.column("p").to_numpy()
+        low = key < 0
+        middle = (-1 - key[low])[::-1], p[low][::-1]
+        n = np.zeros(1 << 16)
+        n[key[~low]] = p[~low]
+        top, _, _ = sample(np.arange(1 << 16), n.astype(np.int64), (0, 1), np.full(256, 1 / 256), s, 1000 + turn)
+    return common.written(trees.mapInArrow(tables_of(top, middle, True, s.rounds), "key long, p double"))
+
+
+#: Rows of one id and text from which their scoring is spread over blocks.
+REPEATS = 256
+
+
+def blocked(rows: DataFrame, blocks: int) -> tuple[DataFrame, DataFrame]:
+    """`rows` with the block that each is scored in, and the texts that each block has to know. Rows of one id and text share a block; where
+    they are many, they are spread at random over several blocks, each of which knows the text."""
+    rows = rows.withColumn("h", F.xxhash64("doc_id", "text"))
+    spread = F.least(F.lit(blocks), F.ceil(F.col("times") / REPEATS)).cast("int")
+    many = rows.groupBy("h").agg(F.count(F.lit(1)).alias("times")).where(F.col("times") > REPEATS)
+    many = common.written(many.select("h", spread.alias("spread")))
+    met = rows.join(many, "h", "left").withColumn("spread", F.coalesce("spread", F.lit(1)))
+    block = F.pmod(F.col("h") + F.col("salt"), F.lit(blocks)).cast("int")
+    dealt = met.withColumn("salt", F.floor(F.rand(5) * F.col("spread"))).select("doc_id", "text", block.alias("block"))
+    one = rows.join(many, "h", "left_anti").select("text", F.pmod("h", F.lit(blocks)).cast("int").alias("block"))
+    some = rows.join(many, "h").withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("spread") - 1))).select("text", block.alias("block"))
+    return dealt, one.unionByName(some.dropDuplicates(["text", "block"]))
 
 
 def scored(docs: DataFrame, learn: Column, s: Settings = Settings()) -> DataFrame:
@@ -280,7 +401,7 @@ def scored(docs: DataFrame, learn: Column, s: Settings = Settings()) -> DataFram
     total = counts.where("key < 0").agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.when(F.col("n") > 0, 1)), F.max(F.when(F.col("key") == END_WORD, F.col("n")))).first()
     size, kinds, ends = (int(x or 0) for x in total)
     blocks = int((rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // BLOCK_BYTES) + 1
-    dealt = rows.select("doc_id", "text", _block(blocks).alias("block"))
+    dealt, texts = blocked(rows.select("doc_id", "text"), blocks)
 
     def asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Every word and n-gram of a block once."""
@@ -301,7 +422,7 @@ def scored(docs: DataFrame, learn: Column, s: Settings = Settings()) -> DataFram
                 part = keys[lo : lo + (1 << 16)]
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(part), b, np.int32)), pa.array(part)], ["block", "key"])
 
-    needs = dealt.repartition(blocks, "block").select("block", "text").mapInArrow(asked, "block int, key long")
+    needs = texts.repartition(blocks, "block").select("block", "text").mapInArrow(asked, "block int, key long")
     values = model.unionByName(counts.where("key < 0 AND n > 0").select("key", F.col("n").cast("double").alias("p")))
     known = common.written(needs.join(values, "key").select("block", "key", "p"))
     log_base = np.log10(size + 0.5 * (kinds + 1))
