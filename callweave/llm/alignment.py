@@ -65,19 +65,27 @@ class Aligner:
         # Text of a token inside a group and at its end, A before B.
         self.texts = [f"{i}," for i in range(n)] + [f"{i}|" for i in range(n)] + [f"{i}," for i in range(m)] + [f"{i};" for i in range(m)]
 
+    def _whole(self, a: np.ndarray, text: str) -> bool:
+        """Whether the tokens of A are the text's bytes with a space ahead. The rank coder merges just these bytes; the library may have a normaliser."""
+        return self.one.ranks is not None or b"".join(map(self.one.tokens.__getitem__, a.tolist())) == (" " + text).encode()
+
     def align(self, texts: list[str | None]) -> Aligned:
-        ids: tuple[list, list] = ([], [])
-        for t in texts:
-            found = [c.faithful(" " + t) if t else None for c in (self.one, self.two)]
-            for k, x in enumerate(found):
-                ids[k].append(x if None not in found else b"")
-        a, b = (np.frombuffer(b"".join(x), "<u4").astype(np.int64) for x in ids)
-        rows_a, rows_b = (np.concatenate([[0], np.cumsum([len(x) // 4 for x in k], dtype=np.int64)]) for k in ids)
+        some = [t for t in texts if t]
+        found = zip([self.one.encode(" " + t) for t in some], self.two.encode(some), some)
+        none = np.zeros(0, np.uint32)
+        kept = iter([(a, b) if b is not None and self._whole(a, t) else (none, none) for a, b, t in found])
+        ids = [next(kept) if t else (none, none) for t in texts]
+        a, b = (np.concatenate([none, *(x[k] for x in ids)]).astype(np.int64) for k in (0, 1))
+        rows_a, rows_b = (np.concatenate([[0], np.cumsum([len(x[k]) for x in ids], dtype=np.int64)]) for k in (0, 1))
         # Both sequences of a text have as many bytes, so the running sums over several texts still meet at each text's end.
         ends_a, ends_b = np.cumsum(self.one.sizes[a]), np.cumsum(self.two.sizes[b])
-        at = np.searchsorted(ends_b, ends_a)
-        link_a = np.flatnonzero(ends_b[at] == ends_a) if len(a) else at
-        return Aligned(a, b, rows_a, rows_b, link_a, at[link_a], np.searchsorted(link_a, rows_a))
+        place = np.zeros((int(ends_b[-1]) if len(b) else 0) + 1, np.int32)
+        place[ends_b] = np.arange(1, len(b) + 1)
+        at = place[ends_a]
+        hit = at > 0
+        link_a = np.flatnonzero(hit)
+        links = np.concatenate([[0], np.cumsum(hit)])
+        return Aligned(a, b, rows_a, rows_b, link_a, at[link_a].astype(np.int64) - 1, links[rows_a])
 
     def pairs(self, x: Aligned) -> np.ndarray:
         return x.a[x.link_a] * self.width + x.b[x.link_b]
@@ -89,8 +97,9 @@ class Aligner:
         code_a[x.link_a] += n
         code_b[x.link_b] += m
         # A group's place: the tokens of both sequences that end at the cut before it or earlier.
-        before_a = np.searchsorted(x.link_a, np.arange(len(x.a)))
-        before_b = np.searchsorted(x.link_b, np.arange(len(x.b)))
+        before_a, before_b = np.zeros(len(x.a) + 1, np.int64), np.zeros(len(x.b) + 1, np.int64)
+        before_a[x.link_a + 1] = before_b[x.link_b + 1] = 1
+        before_a, before_b = np.cumsum(before_a)[:-1], np.cumsum(before_b)[:-1]
         upto_a, upto_b = x.link_a + 1, np.concatenate([[0], x.link_b + 1])
         order = np.empty(len(x.a) + len(x.b), np.int64)
         order[np.arange(len(x.a)) + upto_b[before_a]] = code_a

@@ -1,6 +1,6 @@
 """Operator 13: token ids in files, each a compressed wavelet matrix (see `wavelet.py`) that is also read by position and by token.
 
-Texts are encoded whole by the `tokenizers` library's file, the end id is appended, and documents are dealt in ascending order of their id
+Texts are encoded whole with the ids of the `tokenizers` library's file (see `vocabularies.py`), the end id is appended, and documents are dealt in ascending order of their id
 (null first; repeated ids by the text's hash, then by row) to ranges. A range's documents are written one after the other; a file ends with
 the document that brings it to `FILE_TOKENS` ids. Each file is one row, and one Parquet file, of a table in the shared folder: range, its
 number in the range, number of ids, content. It holds the documents' ids and first positions as well.
@@ -35,7 +35,7 @@ def encoded(docs: DataFrame, path: str, end: int = END) -> DataFrame:
         coder = vocabularies.loaded(vocabularies.ByteLevel, content.value)
         kind = "<u2" if max(len(coder.tokens) - 1, end) < 1 << 16 else "<u4"
         for piece in common.pieces(batches):
-            ids = [np.append(np.frombuffer(coder.encode_as_library(t or ""), "<u4"), np.uint32(end)) for t in piece.column("text").to_pylist()]
+            ids = [np.append(coder.encode_as_library(t or ""), np.uint32(end)) for t in piece.column("text").to_pylist()]
             columns = [piece.column("doc_id"), piece.column("mark"), pa.array([x.astype(kind).tobytes() for x in ids], pa.binary()), pa.array([len(x) for x in ids], pa.int64())]
             yield from pa.table(columns, ["doc_id", "mark", "ids", "n_tokens"]).to_batches()
 

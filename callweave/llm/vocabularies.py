@@ -1,8 +1,8 @@
-"""Two tokenizers as tasks use them: whole texts cut into units that merges never cross, each unit encoded once by the library and remembered.
+"""Two tokenizers as tasks use them, each from the content of its vocabulary file, with the bytes of every id.
 
-A byte-level BPE file of the `tokenizers` library merges inside pre-tokens only. A sentencepiece BPE model merges across a place only where
-the vocabulary has a piece that spans it; no piece has a space mark after another character (checked), so a text may be cut before every
-space that follows another character. The ids are therefore those of the whole text, whatever its length.
+A byte-level BPE file of the `tokenizers` library merges by rank inside pre-tokens. Where the merges come in the order of their results' ids
+(checked when the file is read), the rank coder of `tiktoken` gives the same ids several times as fast and is taken; else, and for texts that
+hold an added token's string where that counts, the library itself encodes.
 """
 
 from __future__ import annotations
@@ -12,19 +12,22 @@ import json
 import re
 
 import numpy as np
-import regex
 import sentencepiece
+import tiktoken
 from pyspark.sql import SparkSession
 from tokenizers import Tokenizer
 
-from callweave.llm.bpe import FROM_SHOWN, VOCABULARY_LIMIT, narrow
+from callweave.llm.bpe import FROM_SHOWN, VOCABULARY_LIMIT
 
-#: Units whose ids a worker remembers; beyond that it starts anew (memory only, results do not change).
-REMEMBERED = 700_000
 #: Pre-tokens of the byte-level vocabulary (fixed value of that format).
 PRE_TOKEN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 SPACE_MARK = "▁"
 _BYTE_PIECE = re.compile(r"<0x([0-9A-F]{2})>")
+#: Units that a generation of a worker's memory holds: when it is full it becomes the old one, from which units in use move on to the next
+#: (memory only, results do not change).
+REMEMBERED = 500_000
+#: Characters from which the library encodes a text: the rank coder's patterns may run out of stack on endless runs of one kind.
+LONG_TEXT = 1_000_000
 
 
 def sent_file(spark: SparkSession, path: str):
@@ -36,100 +39,45 @@ def sent_file(spark: SparkSession, path: str):
     return spark.sparkContext.broadcast(content)
 
 
-class _Units:
-    """Ids of texts from remembered units. `tokens` has each id's bytes, `sizes` their number."""
-
-    tokens: list[bytes]
-
-    def __init__(self) -> None:
-        self.known: dict[str, bytes] = {}
-        self.lossy: set[str] = set()
-        self.sizes = np.array([len(t) for t in self.tokens], np.int64)
-
-    def _cut(self, text: str) -> list[str]:
-        raise NotImplementedError
-
-    def _ids(self, units: list[str]) -> list[np.ndarray]:
-        raise NotImplementedError
-
-    def _learn(self, units: set[str]) -> None:
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
-            self.lossy.clear()
-        units = [u for u in units if u not in self.known]
-        for unit, ids in zip(units, self._ids(units), strict=True):
-            self.known[unit] = ids.tobytes()
-            if b"".join(map(self.tokens.__getitem__, ids.tolist())) != unit.encode():
-                self.lossy.add(unit)
-
-    def _packed(self, text: str) -> tuple[list[str], bytes]:
-        units = self._cut(text)
-        try:
-            return units, b"".join(map(self.known.__getitem__, units))
-        except KeyError:
-            self._learn(set(units))
-            return units, b"".join(map(self.known.__getitem__, units))
-
-    def encode(self, text: str) -> bytes:
-        """Ids as little-endian unsigned 32-bit integers; control strings inside the text are text."""
-        return self._packed(text)[1]
-
-    def faithful(self, text: str) -> bytes | None:
-        """The ids, or None where their joined bytes are not the text's."""
-        units, ids = self._packed(text)
-        if self.lossy and not self.lossy.isdisjoint(units):
-            if b"".join(map(self.tokens.__getitem__, np.frombuffer(ids, "<u4").tolist())) != text.encode():
-                return None
-        return ids
-
-
-class ByteLevel(_Units):
+class ByteLevel:
     """A byte-level BPE file of the `tokenizers` library."""
 
     def __init__(self, content: bytes) -> None:
         text = content.decode()
-        self.library = Tokenizer.from_str(text)
-        self.plain = Tokenizer.from_str(text)
+        described = json.loads(text)
+        self.library, self.plain = Tokenizer.from_str(text), Tokenizer.from_str(text)
         self.plain.encode_special_tokens = True
-        n = self.library.get_vocab_size()
-        added = {t["id"]: t["content"] for t in json.loads(text)["added_tokens"]}
-        shown = [self.library.id_to_token(i) for i in range(n)]
+        added = {t["id"]: t["content"] for t in described["added_tokens"]}
+        shown = [self.library.id_to_token(i) for i in range(self.library.get_vocab_size())]
         self.tokens = [added[i].encode() if i in added else bytes(FROM_SHOWN[c] for c in s) for i, s in enumerate(shown)]
+        self.sizes = np.array([len(t) for t in self.tokens], np.int64)
         self.added = list(added.values())
-        self.pattern, self.narrow = regex.compile(PRE_TOKEN), narrow(PRE_TOKEN)
-        self.line = self.library.token_to_id("Ċ")
-        super().__init__()
-
-    def _cut(self, text: str) -> list[str]:
-        try:
-            text.encode("latin-1")
-        except UnicodeEncodeError:
-            return self.pattern.findall(text)
-        return self.narrow.findall(text)
-
-    def _ids(self, units: list[str]) -> list[np.ndarray]:
-        # Words hold no line end, so many are encoded as lines of one text; a line end between them is a pre-token of its own.
-        words = [u for u in units if not u.isspace()]
-        out: dict[str, np.ndarray] = {}
-        for at in range(0, len(words), 20_000):
-            some = words[at : at + 20_000]
-            ids = np.array(self.plain.encode_batch_fast(["\n".join(["", *some])], add_special_tokens=False)[0].ids, "<u4")
-            parts = np.split(ids, np.flatnonzero(ids == self.line))[1:]
-            out |= {u: p[1:] for u, p in zip(some, parts, strict=True)}
-        blanks = [u for u in units if u.isspace()]
-        for u, e in zip(blanks, self.plain.encode_batch_fast(blanks, add_special_tokens=False), strict=True):
-            out[u] = np.array(e.ids, "<u4")
-        return [out[u] for u in units]
-
-    def encode_as_library(self, text: str) -> bytes:
+        pairs = [m.split(" ") if isinstance(m, str) else m for m in described["model"]["merges"]]
+        ids = [described["model"]["vocab"][a + b] for a, b in pairs]
+        self.ranks = None
+        if ids == list(range(256, 256 + len(ids))):
+            ranks = {self.tokens[i]: i for i in range(256 + len(ids))}
+            self.ranks = tiktoken.Encoding("own", pat_str=PRE_TOKEN, mergeable_ranks=ranks, special_tokens={})
+
+    def encode(self, text: str) -> np.ndarray:
+        """Ids; added tokens' strings inside the text are text."""
+        if self.ranks is None or len(text) >= LONG_TEXT:
+            return np.array(self.plain.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
+        return self.ranks.encode_to_numpy(text, disallowed_special=())
+
+    def encode_as_library(self, text: str) -> np.ndarray:
         """As the library's defaults do it: an added token's string inside the text is that token."""
         if any(t in text for t in self.added):
-            return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+            return np.array(self.library.encode(text, add_special_tokens=False).ids, np.uint32)
         return self.encode(text)
 
 
-class Pieces(_Units):
-    """A sentencepiece BPE model that puts a space mark ahead of a text; `encode` takes the text with that space written out."""
+class Pieces:
+    """A sentencepiece BPE model that puts a space mark ahead of a text.
+
+    Merges cross a place only where the vocabulary has a piece that spans it. No piece has a space mark after another character (checked), so a
+    text is cut before every space that follows another character; each such unit is encoded once by the library and remembered.
+    """
 
     def __init__(self, content: bytes) -> None:
         self.library = sentencepiece.SentencePieceProcessor(model_proto=content)
@@ -138,23 +86,51 @@ class Pieces(_Units):
             raise ValueError("a piece has a space after another character: texts cannot be cut into units")
         bytes_of = lambda p: bytes([int(m[1], 16)]) if (m := _BYTE_PIECE.fullmatch(p)) else p.replace(SPACE_MARK, " ").encode()
         self.tokens = [bytes_of(p) for p in names]
+        self.sizes = np.array([len(t) for t in self.tokens], np.int64)
         self.unit = re.compile(f"[ {SPACE_MARK}]+[^ {SPACE_MARK}]*")
-        super().__init__()
-
-    def _cut(self, text: str) -> list[str]:
-        return self.unit.findall(text)
+        self.space = [self.library.piece_to_id(SPACE_MARK)]
+        self.known: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+        #: Units whose ids are not their bytes.
+        self.lossy: set[str] = set()
 
-    def _ids(self, units: list[str]) -> list[np.ndarray]:
+    def _learn(self, units: set[str]) -> None:
+        if len(self.known) > REMEMBERED:
+            self.known, self.old = {}, self.known
+            self.lossy &= self.old.keys()
+        fresh = []
+        for u in units.difference(self.known):
+            ids = self.old.get(u)
+            if ids is None:
+                fresh.append(u)
+            else:
+                self.known[u] = ids
         # The library writes a unit's first space itself, but not ahead of nothing.
-        space = [self.library.piece_to_id(SPACE_MARK)]
-        found = self.library.encode([u[1:] for u in units], num_threads=1) if units else []
-        return [np.array(x if len(u) > 1 else space, "<u4") for u, x in zip(units, found, strict=True)]
+        found = self.library.encode([u[1:] for u in fresh], num_threads=1) if fresh else []
+        found = [x if len(u) > 1 else self.space for u, x in zip(fresh, found, strict=True)]
+        packed, at = np.array([i for x in found for i in x], "<u4").tobytes(), 0
+        for unit, ids in zip(fresh, found):
+            self.known[unit] = packed[at : (at := at + 4 * len(ids))]
+            if b"".join([self.tokens[i] for i in ids]) != unit.encode():
+                self.lossy.add(unit)
+
+    def encode(self, texts: list[str]) -> list[np.ndarray | None]:
+        """Ids of each text with its space ahead, or None where their joined bytes are not that text's."""
+        cut = [self.unit.findall(" " + t) for t in texts]
+        self._learn(set().union(*cut))
+        out = []
+        for text, units in zip(texts, cut):
+            ids = np.frombuffer(b"".join([self.known[u] for u in units]), "<u4")
+            if self.lossy and not self.lossy.isdisjoint(units):
+                ids = ids if b"".join(map(self.tokens.__getitem__, ids.tolist())) == (" " + text).encode() else None
+            out.append(ids)
+        return out
 
 
-_LOADED: dict[tuple, _Units] = {}
+_LOADED: dict[tuple, ByteLevel | Pieces] = {}
 
 
-def loaded(kind: type, content: bytes) -> _Units:
+def loaded(kind: type, content: bytes) -> ByteLevel | Pieces:
     key = (kind, hashlib.sha256(content).digest())
     if key not in _LOADED:
         _LOADED[key] = kind(content)

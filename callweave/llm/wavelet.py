@@ -38,11 +38,12 @@ class Writer:
         names = np.array([d if d is not None else 0 for d in self.docs], "<i8")
         nulls = np.array([d is None for d in self.docs], "<i8")
         planes = max(1, int(ids.max()).bit_length()) if len(ids) else 1
+        ids = ids.astype(np.uint16) if planes <= 16 else ids
         blocks = -(-len(ids) // BLOCK)
         zeros, ones, ends, packed, at = [], [], [], [], 0
         squeeze = zstandard.ZstdCompressor(level=3)
         for level in range(planes - 1, -1, -1):
-            bit = ((ids >> level) & 1).astype(bool)
+            bit = (ids & ids.dtype.type(1 << level)) != 0
             bits = np.packbits(bit, bitorder="little")
             bits = np.pad(bits, (0, blocks * BLOCK // 8 - len(bits)))
             count = np.bitwise_count(bits.view("<u8")).reshape(blocks, BLOCK // 64).sum(axis=1, dtype=np.int64)
@@ -157,13 +158,14 @@ class WaveletMatrix:
 
     def everything(self) -> np.ndarray:
         """All ids in order: the planes are undone from the last to the first."""
-        out = np.zeros(self.size, np.uint32)
+        kind = np.uint16 if self.planes <= 16 else np.uint32
+        out = np.zeros(self.size, kind)
         for level in range(self.planes - 1, -1, -1):
             k, z = level * self.blocks, zstandard.ZstdDecompressor()
             raw = b"".join(z.decompress(self.content[self.at + int(self.ends[j]) : self.at + int(self.ends[j + 1])]) for j in range(k, k + self.blocks))
             bit = np.unpackbits(np.frombuffer(raw, np.uint8), count=self.size, bitorder="little").astype(bool)
             up = np.empty_like(out)
             up[~bit] = out[: self.zeros[level]]
-            up[bit] = out[self.zeros[level] :] | np.uint32(1 << (self.planes - 1 - level))
+            up[bit] = out[self.zeros[level] :] | kind(1 << (self.planes - 1 - level))
             out = up
-        return out
+        return out.astype(np.uint32)
