@@ -45,22 +45,32 @@ def gap_stats(segments: DataFrame, long_gap: float = 10.0, slack: float = 0.5) -
     )
 
 
-def label_sections(
-    segments: DataFrame,
+def section_cues(
     role: str | None = "speaker_role",
     qa_cues: list[str] = fv.QA_CUES,
     disclaimers: list[str] = fv.QA_DISCLAIMER_CUES,
     remarks_cues: list[str] = fv.REMARKS_CUES,
-) -> DataFrame:
-    """Adds ``section``.  Sections only move forward, so two per-call minima (first Q&A row, first remarks row) decide
-    every label: one map-side-combined aggregate, no per-call ordering."""
+) -> tuple[Column, Column]:
+    """Whether a segment opens the Q&A, and whether it opens the prepared remarks: the rule of batch and stream."""
     text, idx = F.col("text"), F.col("idx")
     who = F.coalesce(F.col(role), F.lit("")) if role else F.lit("")
     cue = text.rlike(any_of(qa_cues)) & ~text.rlike(any_of(disclaimers)) & ((idx > 3) | (F.col("start") > 120.0))
-    opens_qa = cue | who.rlike("^Analyst(,|$)")
     leader = who.isin("CEO", "CFO", "President") | who.rlike("Chief (Executive|Financial) Officer")
     host = who.isin("Operator", "IR") | who.contains("Investor Relations")
-    opens_remarks = (text.rlike(any_of(remarks_cues)) & (idx > 0)) | leader | ((idx >= 2) & ~host)
+    return cue | who.rlike("^Analyst(,|$)"), (text.rlike(any_of(remarks_cues)) & (idx > 0)) | leader | ((idx >= 2) & ~host)
+
+
+def label_sections(
+    segments: DataFrame,
+    role: str | None = "speaker_role",
+    qa_cues: list[str] = fv.QA_CUES,
+    disclaimers: list[str] = fv.QA_DISCLAIMER_CUES,
+    remarks_cues: list[str] = fv.REMARKS_CUES,
+) -> DataFrame:
+    """Adds ``section``.  Sections only move forward, so two per-call minima (first Q&A row, first remarks row) decide
+    every label: one map-side-combined aggregate, no per-call ordering."""
+    idx = F.col("idx")
+    opens_qa, opens_remarks = section_cues(role, qa_cues, disclaimers, remarks_cues)
     starts = segments.groupBy("call_id").agg(
         F.min(F.when(opens_qa, idx)).alias("_qa"), F.min(F.when(opens_remarks, idx)).alias("_remarks")
     )
@@ -92,7 +102,7 @@ def section_counts(labelled: DataFrame) -> DataFrame:
 
 
 def assemble_text(rows: DataFrame, keys: list[str], position: str = "idx", text: str = "text", sep: str = " ") -> DataFrame:
-    """Texts of a group joined in order.  Rows are joined per slice first, so no task gathers a whole group's rows."""
+    """Texts of a group joined in order.  Slices are joined first, so a group's rows never meet in one task; its text, which is the result, does."""
     def ordered(pos: str, value: str) -> Column:
         return F.array_join(
             F.transform(F.sort_array(F.collect_list(F.struct(pos, value))), lambda x: x[value]), sep

@@ -187,7 +187,7 @@ def word_times(spark, folder):
     ).select("call_id", "idx", F.col("pos").cast("long").alias("pos"), "word", "start", "end")
 
 
-@query("word_sessions", with_tables("segments", more=WORD_SQL + """,
+SESSIONS = with_tables("segments", more=WORD_SQL + """,
 lagw AS (SELECT *, lag("end") OVER w AS pe, lag(word) OVER w AS pw FROM seqd WINDOW w AS (PARTITION BY call_id ORDER BY seq)),
 opened AS (SELECT *, CASE WHEN pe IS NULL OR start - pe > 1.2e0 OR (regexp_matches(pw, '[.!?]\\s*$') AND start - pe > 0.3e0) THEN 1 ELSE 0 END AS opens FROM lagw),
 sess AS (SELECT *, CAST(sum(opens) OVER w AS BIGINT) AS session, max(CASE WHEN opens = 1 THEN seq END) OVER w AS first
@@ -195,7 +195,10 @@ sess AS (SELECT *, CAST(sum(opens) OVER w AS BIGINT) AS session, max(CASE WHEN o
   SELECT call_id, session, CAST((seq - first) // 25 AS BIGINT) AS part, min(start) AS start, max_by("end", seq) AS "end",
          trim(regexp_replace(string_agg(word, ' ' ORDER BY seq), ' +([,.!?:;%…])', '\\1', 'g')) AS text,
          CAST(sum(CAST(prob AS DECIMAL(18,6))) AS DOUBLE) / count(*) AS confidence, count(*) AS n_words
-  FROM sess GROUP BY call_id, session, (seq - first) // 25"""))
+  FROM sess GROUP BY call_id, session, (seq - first) // 25""")
+
+
+@query("word_sessions", SESSIONS)
 def word_sessions(spark, folder):
     return wd.utterances(timed_words(spark, folder))
 

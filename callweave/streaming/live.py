@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,8 +17,8 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from callweave.functions import fixed_values as fv
 from callweave.operators import relational as rel, words as wd
-from callweave.operators.segments import any_of
-from callweave.session import shared_folder
+from callweave.sources.keyed_table import KeyedTable
+from callweave.session import STATE_STORE, shared_folder
 
 
 # --- plumbing ---------------------------------------------------------------------------------------------------
@@ -26,20 +27,40 @@ def scratch(spark: SparkSession) -> str:
     return f"{shared_folder(spark)}/streams/{uuid.uuid4().hex}"
 
 
-def replay(rows: DataFrame) -> DataFrame:
-    """A batch table written to the shared folder and read again as a stream."""
-    path = scratch(rows.sparkSession) + "/in"
-    rows.write.parquet(path)
-    return rows.sparkSession.readStream.schema(rows.schema).parquet(path)
+def replay(rows: DataFrame, files: int | None = None, last: DataFrame | None = None) -> DataFrame:
+    """A batch table written to the shared folder and read again as a stream; with ``files``, dealt at random to as many files, one a
+    micro-batch. ``last`` rows come in a file after all others."""
+    spark, path = rows.sparkSession, scratch(rows.sparkSession) + "/in"
+    (rows if files is None else rows.orderBy(F.rand(files)).repartition(files)).write.parquet(path)
+    if last is not None:
+        last.select(rows.columns).coalesce(1).write.mode("append").parquet(path)
+    reader = spark.readStream.schema(rows.schema)
+    return (reader if files is None else reader.option("maxFilesPerTrigger", "1")).parquet(path)
+
+
+@contextmanager
+def state_on_disk(spark: SparkSession) -> Iterator[None]:
+    """Queries started inside keep their state in RocksDB."""
+    name = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, STATE_STORE)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
 
 
 def drain(stream: DataFrame) -> DataFrame:
     """Runs an append stream over everything available and returns what it wrote."""
     spark, path = stream.sparkSession, scratch(stream.sparkSession)
-    query = (
-        stream.writeStream.format("parquet").outputMode("append").option("path", f"{path}/out")
-        .option("checkpointLocation", f"{path}/checkpoint").trigger(availableNow=True).start())
-    query.awaitTermination()
+    with state_on_disk(spark):
+        query = (
+            stream.writeStream.format("parquet").outputMode("append").option("path", f"{path}/out")
+            .option("checkpointLocation", f"{path}/checkpoint").trigger(availableNow=True).start())
+        query.awaitTermination()
     return spark.read.schema(stream.schema).parquet(f"{path}/out")
 
 
@@ -61,18 +82,27 @@ def drain_updates(stream: DataFrame, keys: list[str]) -> DataFrame:
 
 # --- windows ----------------------------------------------------------------------------------------------------
 
-def chunk_windows(words: DataFrame, delay: str = "2 minutes") -> DataFrame:
-    """Words per call in 60 s windows every 57 s, anchored at the call start (``at`` = seconds since then as a timestamp)."""
-    return words.withWatermark("at", delay).groupBy("call_id", F.window("at", "60 seconds", "57 seconds")).agg(
-        F.count(F.lit(1)).alias("n_words")
-    ).select("call_id", F.unix_seconds("window.start").alias("window_sec"), "n_words")
+def chunk_windows(words: DataFrame, delay: str, width: int = 60, step: int = 57) -> DataFrame:
+    """Words per call in 60 s windows every 57 s from the call's start.
+
+    words: call_id, start (seconds since the call's start), call_at (when the call started). Windows are told apart by their number, their state
+    goes when the watermark passes their end by the clock, so calls of any time of day share one stream; ``delay`` has to cover the arrival's spread."""
+    first = F.floor(F.col("start") / step)
+    ks = F.filter(F.sequence(first - F.lit(width // step), first), lambda k: F.col("start") < k * step + width)
+    each = words.withColumn("k", F.explode(ks))
+    each = each.withColumn("ends_at", F.timestamp_seconds(F.unix_seconds("call_at") + F.col("k") * step + width))
+    return each.withWatermark("ends_at", delay).groupBy("call_id", "ends_at", "k").agg(F.count(F.lit(1)).alias("n_words")).select(
+        "call_id", (F.col("k") * step).alias("window_sec"), "n_words")
+
 
+def pause_sessions(words: DataFrame, delay: str, pause: str = "1200 milliseconds") -> DataFrame:
+    """Utterances split by pauses alone. words: call_id, at (event time), call_at; times are given from the call's start."""
+    def since(t: Column) -> Column:
+        return F.unix_millis(t) - F.unix_millis("call_at")
 
-def pause_sessions(words: DataFrame, pause: str = "1200 milliseconds", delay: str = "2 minutes") -> DataFrame:
-    """Utterances split by pauses alone."""
-    return words.withWatermark("at", delay).groupBy("call_id", F.session_window("at", pause)).agg(
+    return words.withWatermark("at", delay).groupBy("call_id", "call_at", F.session_window("at", pause)).agg(
         F.count(F.lit(1)).alias("n_words")
-    ).select("call_id", F.unix_millis("session_window.start").alias("from_ms"), F.unix_millis("session_window.end").alias("to_ms"), "n_words")
+    ).select("call_id", since(F.col("session_window.start")).alias("from_ms"), since(F.col("session_window.end")).alias("to_ms"), "n_words")
 
 
 def crawl_monitor(log: DataFrame, width: str = "1 hour", delay: str = "10 minutes") -> DataFrame:
@@ -84,88 +114,58 @@ def crawl_monitor(log: DataFrame, width: str = "1 hour", delay: str = "10 minute
 
 # --- stateful operators -----------------------------------------------------------------------------------------
 
-def own_words_live(words: DataFrame, delay: str = "2 minutes", step: float = fv.CHUNK_SEC - fv.CHUNK_OVERLAP_SEC, margin: float = fv.BOUNDARY_SEC) -> DataFrame:
-    """Every word once although chunks overlap.  A chunk's words before the next boundary leave at once; its last ones wait
-    until the next chunk shows up (then they belong to it) or the call has been quiet past the watermark.
+def own_words_live(words: DataFrame, delay: str, step: float = fv.CHUNK_SEC - fv.CHUNK_OVERLAP_SEC, margin: float = fv.BOUNDARY_SEC, quiet: float = 60.0) -> DataFrame:
+    """Every word once although chunks overlap and files may come twice, in any order.  A chunk's words before the next boundary leave at once; its
+    last ones wait until a later chunk shows up (then they belong to that) or the chunk is known to be the last: by the call's end marker, or by a
+    timer once the call has been quiet past the watermark.
 
-    words: call_id, chunk_idx, seq, word, start, at."""
+    words: call_id, chunk_idx, seq, word, start, at, closes; an end marker has the last chunk's number and, as seq, the rows of the call."""
     late = F.col("start") >= (F.col("chunk_idx") + 1) * step + margin
     mine = (F.col("chunk_idx") == 0) | (F.col("start") >= F.col("chunk_idx") * step + margin)
-    rows = words.where(mine).withColumn("_tail", late).withWatermark("at", delay)
+    flags = words.withColumn("_tail", F.coalesce(late, F.lit(False))).withColumn("_mine", F.coalesce(mine, F.lit(False)))
+    rows = flags.withWatermark("at", delay).dropDuplicatesWithinWatermark(["call_id", "chunk_idx", "start", "word", "closes"])
     kind = dict(words.dtypes)
     schema = f"call_id {kind['call_id']}, chunk_idx {kind['chunk_idx']}, seq {kind['seq']}, word string, start double"
     columns = ["chunk_idx", "seq", "word", "start"]
 
     def hold(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        top, held = state.get if state.exists else (-1, [])
-        out = []
+        top, seen, total, held = state.get if state.exists else (-1, 0, -1, [])
+        out, held = [], [list(h) for h in held]
         if state.hasTimedOut:
-            out = [list(h) for h in held]
+            out = held
             state.remove()
         else:
             last = 0
-            held = [list(h) for h in held]
             for batch in batches:
                 if len(batch):
+                    ends = batch.loc[batch["closes"]]
+                    total = max(total, int(ends["seq"].max())) if len(ends) else total
+                    seen += int((~batch["closes"]).sum())
                     top = max(top, int(batch["chunk_idx"].max()))
                     last = max(last, int(batch["at"].max().timestamp() * 1000))
-                    out += batch.loc[~batch["_tail"], columns].values.tolist()
-                    held += batch.loc[batch["_tail"], columns].values.tolist()
+                    own = batch.loc[batch["_mine"] & ~batch["closes"]]
+                    out += own.loc[~own["_tail"], columns].values.tolist()
+                    held += own.loc[own["_tail"], columns].values.tolist()
             held = [h for h in held if h[0] >= top]
-            state.update((top, [tuple(h) for h in held]))
-            state.setTimeoutTimestamp(max(last, state.getCurrentWatermarkMs() + 1) + int((step + margin) * 1000))
+            if total >= 0:
+                # The last chunk is known: what is held is its own.
+                out, held = out + held, []
+            if seen == total:
+                if state.exists:
+                    state.remove()
+            else:
+                state.update((top, seen, total, [tuple(h) for h in held]))
+                state.setTimeoutTimestamp(max(last, state.getCurrentWatermarkMs() + 1) + int(quiet * 1000))
         if out:
             frame = pd.DataFrame(out, columns=columns)
             frame.insert(0, "call_id", key[0])
             yield frame
 
     return rows.groupBy("call_id").applyInPandasWithState(
-        hold, schema, f"top int, held array<struct<chunk_idx:{kind['chunk_idx']},seq:{kind['seq']},word:string,start:double>>",
+        hold, schema, f"top int, seen long, total long, held array<struct<chunk_idx:{kind['chunk_idx']},seq:{kind['seq']},word:string,start:double>>",
         "append", GroupStateTimeout.EventTimeTimeout)
 
 
-def backlog(chunks: DataFrame) -> DataFrame:
-    """Seconds of work still queued after every chunk: max(0, backlog + processing - duration).
-    chunks: call_id, chunk_idx, proc_time_sec, duration_sec (chunks of one call arrive in order)."""
-    kind = dict(chunks.dtypes)
-    schema = f"call_id {kind['call_id']}, chunk_idx {kind['chunk_idx']}, backlog_sec double, drained boolean"
-
-    def carry(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        (waiting,) = state.get if state.exists else (0.0,)
-        rows = pd.concat(list(batches)).sort_values("chunk_idx")
-        out = []
-        for idx, proc, dur in zip(rows["chunk_idx"], rows["proc_time_sec"].astype(float), rows["duration_sec"].astype(float)):
-            waiting = max(0.0, waiting + proc - dur)
-            out.append((key[0], idx, waiting, proc < dur))
-        state.update((waiting,))
-        yield pd.DataFrame(out, columns=["call_id", "chunk_idx", "backlog_sec", "drained"])
-
-    return chunks.groupBy("call_id").applyInPandasWithState(carry, schema, "waiting double", "append", GroupStateTimeout.NoTimeout)
-
-
-def sections_live(segments: DataFrame) -> DataFrame:
-    """Section of every segment as it arrives (in order per call); a section never goes back.
-    segments: call_id, idx, start, text, speaker_role."""
-    who, idx = F.coalesce("speaker_role", F.lit("")), F.col("idx")
-    cue = F.col("text").rlike(any_of(fv.QA_CUES)) & ~F.col("text").rlike(any_of(fv.QA_DISCLAIMER_CUES)) & ((idx > 3) | (F.col("start") > 120.0))
-    leader = who.isin("CEO", "CFO", "President") | who.rlike("Chief (Executive|Financial) Officer")
-    host = who.isin("Operator", "IR") | who.contains("Investor Relations")
-    remarks = (F.col("text").rlike(any_of(fv.REMARKS_CUES)) & (idx > 0)) | leader | ((idx >= 2) & ~host)
-    rows = segments.select("call_id", "idx", F.when(cue | who.rlike("^Analyst(,|$)"), 2).when(remarks, 1).otherwise(0).alias("level"))
-    kind = dict(rows.dtypes)
-    schema = f"call_id {kind['call_id']}, idx {kind['idx']}, section string"
-    names = ["operator_intro", "prepared_remarks", "qa"]
-
-    def stick(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        (level,) = state.get if state.exists else (0,)
-        rows = pd.concat(list(batches)).sort_values("idx")
-        levels = rows["level"].clip(lower=level).cummax()
-        state.update((int(levels.iloc[-1]),))
-        yield pd.DataFrame({"call_id": key[0], "idx": rows["idx"].values, "section": [names[v] for v in levels]})
-
-    return rows.groupBy("call_id").applyInPandasWithState(stick, schema, "level int", "append", GroupStateTimeout.NoTimeout)
-
-
 # --- sinks and joins --------------------------------------------------------------------------------------------
 
 def split_hallucinations(raw: DataFrame, kept_path: str, dropped_path: str, checkpoint: str):
@@ -181,23 +181,30 @@ def split_hallucinations(raw: DataFrame, kept_path: str, dropped_path: str, chec
     return raw.withColumn("rule", rule).writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(route).start()
 
 
-def upsert_stream(changes: DataFrame, table_path: str, keys: list[str], version: Column, checkpoint: str):
-    """Starts a query that stores every batch's newest row per key under the batch number.  A batch writes its own changes
-    only, never the table, and replaces itself when it runs again; readers merge with ``latest_state``."""
-    def store(batch: DataFrame, number: int) -> None:
-        rel.pick_per_key(batch, keys, version, lowest=False).write.mode("overwrite").parquet(f"{table_path}/batch_no={number}")
+def upsert_stream(changes: DataFrame, into: KeyedTable, checkpoint: str):
+    """Starts a query that commits every batch's newest row per key to a keyed table; a batch that runs again is committed once."""
+    return changes.writeStream.outputMode("update").option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(into.commit).start()
 
-    return changes.writeStream.outputMode("update").option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(store).start()
 
+def late_corrections(words: DataFrame, at: str, delay: float, into: KeyedTable, late_path: str, checkpoint: str):
+    """Starts a query that merges words into a keyed table and keeps rows that come past the watermark: those more than ``delay`` seconds behind
+    the newest row of all batches before go to ``late_path`` as well, one folder a batch, and win over what was heard in time.
 
-def latest_state(spark: SparkSession, table_path: str, keys: list[str], version: Column) -> DataFrame:
-    """The keyed table: newest version of every key over all batches.  Write it to a new path now and then to compact."""
-    return rel.pick_per_key(spark.read.parquet(table_path).drop("batch_no"), keys, version, lowest=False)
+    The newest time before a batch is read from the marks that earlier batches left, so a batch that runs again splits its rows alike."""
+    spark, marks = words.sparkSession, f"{late_path}-marks"
 
+    def store(batch: DataFrame, number: int) -> None:
+        batch = batch.persist()
+        newest = batch.agg(F.max(at).alias("newest"))
+        newest.write.mode("overwrite").parquet(f"{marks}/batch_no={number}")
+        before = spark.read.parquet(marks).where(F.col("batch_no") < number).agg(F.max("newest")).first()[0]
+        late = F.lit(False) if before is None else F.coalesce(F.col(at) < F.lit(before) - F.expr(f"interval {delay} seconds"), F.lit(False))
+        rows = batch.withColumn("pass_no", late.cast("int"))
+        rows.where("pass_no = 1").drop("pass_no").write.mode("overwrite").parquet(f"{late_path}/batch_no={number}")
+        into.commit(rows, number)
+        batch.unpersist()
 
-def late_corrections(words: DataFrame, corrections: DataFrame, keys: list[str]) -> DataFrame:
-    """First-pass words with re-pass words merged in by key; the later pass wins."""
-    return rel.upsert(words.withColumn("pass_no", F.lit(0)), corrections.withColumn("pass_no", F.lit(1)), keys, F.col("pass_no"))
+    return words.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(store).start()
 
 
 def sla_alerts(ended: DataFrame, published: DataFrame, seconds: int = 300, delay: str = "10 minutes") -> DataFrame:

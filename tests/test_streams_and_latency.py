@@ -19,12 +19,7 @@ def rows(df, *columns):
 def test_every_word_leaves_the_stream_once(spark):
     batch = rows(QUERIES["boundary_ownership"](spark, FOLDER), "call_id", "seq", "word", "chunk_idx")
     stream = rows(QUERIES["stream_own_words"](spark, FOLDER), "call_id", "seq", "word", "chunk_idx")
-    closed = {r[0] for r in stream}
-    assert len(set(stream)) == len(stream)
-    # The last call's tail may still wait for the watermark; everything that left is right and every earlier call is whole.
-    assert set(stream) <= set(batch)
-    last = max(closed)
-    assert [r for r in stream if r[0] != last] == [r for r in batch if r[0] != last]
+    assert stream == batch
 
 
 def test_backlog_and_sections_equal_batch(spark):
