@@ -35,8 +35,9 @@ def encoded(docs: DataFrame, path: str, end: int = END) -> DataFrame:
         coder = vocabularies.loaded(vocabularies.ByteLevel, content.value)
         kind = "<u2" if max(len(coder.tokens) - 1, end) < 1 << 16 else "<u4"
         for piece in common.pieces(batches):
-            ids = [np.append(coder.encode_as_library(t or ""), np.uint32(end)) for t in piece.column("text").to_pylist()]
-            columns = [piece.column("doc_id"), piece.column("mark"), pa.array([x.astype(kind).tobytes() for x in ids], pa.binary()), pa.array([len(x) for x in ids], pa.int64())]
+            last, width = np.array([end], kind).tobytes(), np.dtype(kind).itemsize
+            ids = [coder.encode_as_library(t).astype(kind).tobytes() + last if t else last for t in piece.column("text").to_pylist()]
+            columns = [piece.column("doc_id"), piece.column("mark"), pa.array(ids, pa.binary()), pa.array([len(x) // width for x in ids], pa.int64())]
             yield from pa.table(columns, ["doc_id", "mark", "ids", "n_tokens"]).to_batches()
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(common.whole(F.col("text"))).alias("mark"), F.col("text").cast("string").alias("text"))

@@ -41,7 +41,7 @@ class Writer:
         ids = ids.astype(np.uint16) if planes <= 16 else ids
         blocks = -(-len(ids) // BLOCK)
         zeros, ones, ends, packed, at = [], [], [], [], 0
-        squeeze = zstandard.ZstdCompressor(level=3)
+        squeeze = zstandard.ZstdCompressor(level=1)
         for level in range(planes - 1, -1, -1):
             bit = (ids & ids.dtype.type(1 << level)) != 0
             bits = np.packbits(bit, bitorder="little")
