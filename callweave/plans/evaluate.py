@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from callweave.functions import alignment, editdist as ed, entities as ent, text as tx
+from callweave.functions import editdist as ed, entities as ent, text as tx
 from callweave.operators import segments as seg
 from callweave.operators.ordered import first_rows, neighbour, running, slice_by, spread
+from callweave.operators.piecewise import edit_scripts
 
 CALL = ["call_id"]
 
@@ -117,13 +118,7 @@ def engine_scores(outputs: DataFrame, clips: DataFrame, keys: list[str]) -> Data
 
 def scripts(pairs: DataFrame) -> DataFrame:
     """pairs: call_id, ref words, hyp words -> one row per edit-script entry with its words."""
-    ops = spread(pairs, "call_id").select("call_id", "ref", "hyp", F.posexplode(alignment.align(F.col("ref"), F.col("hyp"))).alias("op_no", "op"))
-    part = lambda side, lo, hi: F.slice(side, F.col(f"op.{lo}") + 1, F.col(f"op.{hi}") - F.col(f"op.{lo}"))
-    context = F.slice("ref", F.greatest(F.col("op.i1") - 3, F.lit(0)) + 1,
-                      F.least(F.col("op.i2") + 3, F.size("ref")) - F.greatest(F.col("op.i1") - 3, F.lit(0)))
-    return ops.select(
-        "call_id", "op_no", "op.*", part("ref", "i1", "i2").alias("ref_words"), part("hyp", "j1", "j2").alias("hyp_words"),
-        F.when(F.col("op.tag") == "replace", F.array_join(context, " ")).alias("context"))
+    return edit_scripts(pairs.select("call_id", "ref", "hyp"))
 
 
 def substitutions(ops: DataFrame, limit: int = 20) -> DataFrame:
