@@ -9,6 +9,7 @@ from callweave.operators import diarization as diar, matching, segments as seg,
 from callweave.operators.ordered import running, slice_by, spread
 from callweave.plans import evaluate as ev
 from callweave.session import cut_lineage
+from callweave.plans.transcripts import SECTIONED
 from callweave.plans.adapters import call_segments, heard_sql, heard_text, spoken_sql, spoken_text, table, wide_table, with_tables, word_array, words_sql
 
 QUERIES: dict = {}
@@ -283,19 +284,78 @@ def document_wer(spark, folder):
     return docs.select("doc_id", F.size("r").alias("ref_words"), ed.word_error_rate(F.col("r"), F.col("h")).alias("wer"))
 
 
-@query("call_scores")
+HEARD_TEXT = f"""
+hseg AS (SELECT *, {heard_sql('text')} AS heard FROM segments),
+hyp AS (SELECT call_id, string_agg(heard, ' ' ORDER BY idx) AS text FROM hseg GROUP BY call_id)"""
+
+
+def word_lists_sql(x: str) -> str:
+    return f"list_filter(string_split({x}, ' '), lambda w: w <> '')"
+
+
+def distances_sql(pairs: str) -> str:
+    """Common tables that end in dist (k, n, m, d): word edit distance of pairs (k, r, h), row by row of the whole table of costs."""
+    return f"""
+pairs AS MATERIALIZED ({pairs}),
+rt AS MATERIALIZED (SELECT k, unnest(r) AS w, unnest(range(1, len(r) + 1)) AS i FROM pairs),
+ht AS MATERIALIZED (SELECT k, unnest(h) AS w, unnest(range(1, len(h) + 1)) AS j FROM pairs),
+dp AS (
+  SELECT k, CAST(0 AS BIGINT) AS i, j, j AS c FROM pairs, LATERAL (SELECT unnest(range(0, len(h) + 1)) AS j)
+  UNION ALL
+  SELECT k, i, j, min(t - j) OVER (PARTITION BY k ORDER BY j ROWS UNBOUNDED PRECEDING) + j
+  FROM (SELECT d.k, d.i + 1 AS i, d.j, least(d.c + 1, lag(d.c) OVER (PARTITION BY d.k ORDER BY d.j) + CASE WHEN rt.w = ht.w THEN 0 ELSE 1 END) AS t
+        FROM dp d JOIN rt ON rt.k = d.k AND rt.i = d.i + 1 LEFT JOIN ht ON ht.k = d.k AND ht.j = d.j)),
+dist AS (SELECT p.k, len(r) AS n, len(h) AS m, dp.c AS d FROM pairs p JOIN dp ON dp.k = p.k AND dp.i = len(p.r) AND dp.j = len(p.h))"""
+
+
+RATE = "CASE WHEN n = 0 THEN CASE WHEN m = 0 THEN 0e0 ELSE 1e0 END ELSE CAST(d AS DOUBLE) / n END * 100"
+
+
+def cer_sql(r: str, h: str) -> str:
+    return f"CASE WHEN length({r}) = 0 THEN CASE WHEN length({h}) = 0 THEN 0e0 ELSE 100e0 END ELSE CAST(levenshtein({_bytes_sql(r)}, {_bytes_sql(h)}) AS DOUBLE) / length({r}) * 100 END"
+
+
+CALL_TEXTS = PUBLISHED + "," + HEARD_TEXT + f""",
+forms AS MATERIALIZED (SELECT call_id, {squeeze_sql(headers_sql(stamps_sql(fold_sql('p.text'))))} AS rr, {squeeze_sql(stamps_sql(fold_sql('hyp.text')))} AS rh,
+  {norm_sql('p.text', True)} AS nr, {norm_sql('hyp.text')} AS nh FROM published p JOIN hyp USING (call_id))"""
+
+
+@query("call_scores", recursive(with_tables("segments", more=CALL_TEXTS + "," + distances_sql(
+    f"SELECT 'raw' || call_id AS k, {word_lists_sql('rr')} AS r, {word_lists_sql('rh')} AS h FROM forms"
+    f" UNION ALL SELECT 'norm' || call_id, {word_lists_sql('nr')}, {word_lists_sql('nh')} FROM forms"), query=f"""
+  SELECT call_id, (SELECT {RATE} FROM dist WHERE k = 'raw' || call_id) AS raw_wer, (SELECT {RATE} FROM dist WHERE k = 'norm' || call_id) AS norm_wer,
+    {cer_sql('rr', 'rh')} AS raw_cer, {cer_sql('nr', 'nh')} AS norm_cer FROM forms""")))
 def call_scores(spark, folder):
     rows = call_segments(spark, folder)
     return ev.call_scores(published(rows), seg.assemble_text(heard(rows), ["call_id"]))
 
 
-@query("section_wer")
+HEARD_OR_NONE = "coalesce(b.text, '')"
+NORMAL_RATE = "CASE WHEN n = 0 THEN 0e0 ELSE CAST(d AS DOUBLE) / n * 100 END"
+
+
+@query("section_wer", recursive(with_tables("segments", more=SECTIONED + "," + PUBLISHED + f""",
+lines AS (SELECT call_id, string_split(text, chr(10)) AS l FROM published),
+halves AS (SELECT call_id, unnest(['remarks', 'qa']) AS part,
+  unnest([array_to_string(l[1 : len(l) // 2], chr(10)), array_to_string(l[len(l) // 2 + 1 :], chr(10))]) AS text FROM lines),
+spoken AS (SELECT call_id, CASE WHEN section = 'qa' THEN 'qa' ELSE 'remarks' END AS part, string_agg({heard_sql('text')}, ' ' ORDER BY idx) AS text
+  FROM sectioned GROUP BY ALL),
+""" + distances_sql(f"SELECT a.part || a.call_id AS k, {word_lists_sql(norm_sql('a.text', True))} AS r, {word_lists_sql(norm_sql(HEARD_OR_NONE))} AS h"
+                   " FROM halves a LEFT JOIN spoken b ON a.call_id = b.call_id AND a.part = b.part"), query=f"""
+  SELECT call_id, remarks_wer, qa_wer, qa_wer - remarks_wer AS delta FROM (
+    SELECT call_id, (SELECT {NORMAL_RATE} FROM dist WHERE k = 'remarks' || call_id) AS remarks_wer, (SELECT {NORMAL_RATE} FROM dist WHERE k = 'qa' || call_id) AS qa_wer FROM published)""")))
 def section_wer(spark, folder):
     rows = seg.label_sections(call_segments(spark, folder))
     return ev.section_scores(published(rows), heard(rows))
 
 
-@query("non_operator_wer")
+@query("non_operator_wer", recursive(with_tables("segments", more=PUBLISHED + "," + HEARD_TEXT + f""",
+speech AS (SELECT call_id, string_agg(heard, ' ' ORDER BY idx) AS text FROM hseg WHERE speaker_role IS DISTINCT FROM 'Operator' GROUP BY call_id),
+refs AS (SELECT call_id, {word_lists_sql(norm_sql('text', True))} AS r FROM published),
+hyps AS (SELECT 'all' || call_id AS k, call_id, text FROM hyp UNION ALL SELECT 'own' || p.call_id, p.call_id, coalesce(s.text, '') FROM published p LEFT JOIN speech s USING (call_id)),
+""" + distances_sql(f"SELECT k, r, {word_lists_sql(norm_sql('text'))} AS h FROM hyps JOIN refs USING (call_id)"), query=f"""
+  SELECT call_id, norm_wer, non_operator_wer, norm_wer - non_operator_wer AS reduction FROM (
+    SELECT call_id, (SELECT {NORMAL_RATE} FROM dist WHERE k = 'all' || call_id) AS norm_wer, (SELECT {NORMAL_RATE} FROM dist WHERE k = 'own' || call_id) AS non_operator_wer FROM published)""")))
 def non_operator_wer(spark, folder):
     rows = call_segments(spark, folder)
     return ev.without_operator(published(rows), heard(rows))
