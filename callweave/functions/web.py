@@ -4,8 +4,13 @@ from __future__ import annotations
 
 from html.entities import html5
 
+import json
+from dataclasses import dataclass
+
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from callweave.functions import fixed_values as fv
 from callweave.functions.editdist import bind
@@ -153,9 +158,41 @@ def cache_key(url: Column) -> Column:
     return F.sha2(url, 256)
 
 
+def _texts_of(raw: str | None, key: str) -> list[str]:
+    """Texts under a key, depth first in document order; repeated keys count each time, broken JSON has none."""
+    try:
+        # Pairs keep repeated keys and their order; a list of pairs is told from an array by its type.
+        root = json.loads(raw or "null", object_pairs_hook=tuple)
+    except (ValueError, RecursionError):
+        return []
+    out, todo = [], [root]
+    while todo:
+        here = todo.pop()
+        if isinstance(here, tuple):
+            for name, value in reversed(here):
+                todo.append(value)
+                if name == key and isinstance(value, str):
+                    todo[-1] = _Found(value)
+        elif isinstance(here, list):
+            todo += reversed(here)
+        elif isinstance(here, _Found):
+            out.append(here.text)
+    return out
+
+
+@dataclass
+class _Found:
+    text: str
+
+
 def json_values(raw: Column, key: str) -> Column:
-    """All string values of a key at any depth, in document order."""
-    return F.regexp_extract_all(raw, F.lit(rf'"{key}"\s*:\s*"((?:[^"\\]|\\.)*)"'), F.lit(1))
+    """All texts of a key at any depth, in document order, escapes resolved. Objects lose their order in Spark's own JSON types, so the
+    document is walked in Arrow batches."""
+    @F.pandas_udf(T.ArrayType(T.StringType()))
+    def find(documents: pd.Series) -> pd.Series:
+        return pd.Series([_texts_of(d, key) for d in documents])
+
+    return find(raw)
 
 
 def stream_address(raw: Column, host_word: str, default_host: str, manifest_word: str = "master.m3u8") -> Column:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from callweave.functions import fixed_values as fv
 from callweave.operators.ordered import SLICE, neighbour, running, slice_by
+from callweave.session import cut_lineage
 
 CALL = ["call_id"]
 
@@ -166,6 +167,41 @@ def stitch_pairs(before: DataFrame, after: DataFrame, keys: list[str], overlap:
     return before.withColumn("part", F.lit(0)).unionByName(kept.withColumn("part", F.lit(1)))
 
 
+def stitch_chunks(parts: DataFrame, keys: list[str], overlap: float = fv.CHUNK_OVERLAP_SEC, near: float = 2.0) -> DataFrame:
+    """Segments of overlapping chunks put together chunk by chunk: a segment goes when its text is among those kept of all chunks before, at
+    nearly the same end, or anywhere while it starts before the cut-off, which follows the last segment kept so far.
+
+    What is kept of a chunk depends on the chunks before, so it is settled by rounds: each takes the cut-offs and texts of what the round before
+    kept, until nothing changes; after round k the first k chunks are final.  parts: keys, chunk_idx, idx, start, end, text; a chunk's numbers
+    and its segments' rise with time."""
+    text = F.regexp_replace(F.coalesce("text", F.lit("")), r"^\s+|\s+$", "")
+    rows = cut_lineage(parts.withColumn("_t", text).withColumn("_kept", F.lit(True)))
+    row, chunk = [*keys, "chunk_idx", "idx"], [*keys, "chunk_idx"]
+    while True:
+        # The last kept end up to each chunk, handed to the chunk after it.
+        last = F.when(F.col("_end").isNotNull(), F.struct("chunk_idx", "_end"))
+        chunks = rows.groupBy(*chunk).agg(F.max_by("end", F.when(F.col("_kept"), F.col("idx"))).alias("_end"), F.count_if("_kept").alias("_n"))
+        chunks = slice_by(chunks.withColumn("_end", F.when(F.col("_n") > 0, F.col("_end"))), "chunk_idx")
+        upto = running(chunks, keys, ["chunk_idx"], {"_last": ("max", last)})
+        before = neighbour(upto, keys, ["chunk_idx"], {"_before": F.col("_last._end")}, ahead=False)
+        cut = before.select(*chunk, (F.col("_before") - overlap + 0.1).alias("_cutoff"))
+        kept = rows.where("_kept")
+        seen = kept.groupBy(*keys, "_t").agg(F.min("chunk_idx").alias("_first"))
+        # Nearly equal ends meet in the same or a neighbouring bucket of their difference.
+        slot = F.floor(F.col("end") / near)
+        ends = kept.select(*keys, "_t", F.col("chunk_idx").alias("_c"), F.col("end").alias("_e"), F.explode(F.sequence(slot - 1, slot + 1)).alias("_slot"))
+        close = rows.withColumn("_slot", slot).join(ends, [*keys, "_t", "_slot"]).where((F.col("_c") < F.col("chunk_idx")) & (F.abs(F.col("_e") - F.col("end")) < near))
+        close = close.select(*row).distinct().withColumn("_close", F.lit(True))
+        judged = rows.join(cut, chunk, "left").join(seen, [*keys, "_t"], "left").join(close, row, "left")
+        again = (F.col("start") < F.col("_cutoff")) & (F.col("_first") < F.col("chunk_idx"))
+        stays = ~F.coalesce(F.col("_close"), F.lit(False)) & ~F.coalesce(again, F.lit(False))
+        judged = cut_lineage(judged.withColumn("_new", stays).drop("_cutoff", "_first", "_close"))
+        settled = judged.where("_new != _kept").isEmpty()
+        rows = judged.withColumn("_kept", F.col("_new")).drop("_new")
+        if settled:
+            return rows.where("_kept").drop("_kept", "_t")
+
+
 def hallucination_rule(text: Column, logprob: Column, no_speech: Column, phrases: list[str] = fv.HALLUCINATION_PHRASES) -> Column:
     """Name of the first rule a raw segment breaks; null for a segment to keep."""
     clean = F.lower(F.regexp_replace(text, r"^\s+|\s+$", ""))

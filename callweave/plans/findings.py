@@ -200,7 +200,7 @@ def stream_address(spark, folder):
     """Stream URL from nested player configurations."""
     s = lambda c: F.col(c).cast("string")
     raw = F.concat(
-        F.lit('{"player": {"hostName": "https://'), F.when(F.col("o_orderpriority") == "1-URGENT", "stream.example.com").otherwise("other.example.net"),
+        F.lit('{"note": "a \\"manifest\\": \\"/no/master.m3u8\\" in words", "manifest": {"manifest": ["/in/a/list/master.m3u8"]}, "player": {"hostName": "https:\\/\\/'), F.when(F.col("o_orderpriority") == "1-URGENT", "stream.example.com").otherwise("other.example.net"),
         F.lit("/c"), s("o_custkey"), F.lit('/", "tracks": [{"id": 1, "manifest": "/old/list.txt"}, {"manifest": "/v'), s("o_orderkey"),
         F.when(F.col("o_orderstatus") == "P", "/part.mpd").otherwise("/master.m3u8"), F.lit('"}]}}'))
     return table(spark, folder, "orders").select(

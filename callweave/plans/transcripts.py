@@ -362,3 +362,28 @@ def max_overlap_join(spark, folder):
         (start + F.get_json_object("props", "$.k").cast("long") * 20000).alias("end"),
     )
     return intervals.assign_speakers(segments, turns, width=600_000).select("call_id", "seg_id", "speaker_id", "overlap")
+
+
+@query("stitched_chunks", with_tables("segments", more="""
+w AS (SELECT call_id, idx // 2 - o AS chunk_idx, idx, start + o * 0.5e0 AS start, "end" + o * 0.5e0 AS "end", text
+      FROM segments, (VALUES (0), (1)) v(o) WHERE idx // 2 - o >= 0),
+c AS (SELECT call_id, chunk_idx, list({'chunk_idx': chunk_idx, 'idx': idx, 'start': start, 'end': "end", 't': regexp_replace(text, '^\\s+|\\s+$', '', 'g')} ORDER BY idx) AS segs
+      FROM w GROUP BY call_id, chunk_idx),
+acc AS (
+  SELECT call_id, chunk_idx, segs AS kept FROM c WHERE chunk_idx = 0
+  UNION ALL
+  SELECT c.call_id, c.chunk_idx, acc.kept || list_filter(c.segs, lambda s: len(list_filter(acc.kept, lambda p: p.t = s.t
+    AND (abs(p."end" - s."end") < 2 OR s.start < acc.kept[len(acc.kept)]."end" - 3e0 + 0.1e0))) = 0)
+  FROM acc JOIN c ON c.call_id = acc.call_id AND c.chunk_idx = acc.chunk_idx + 1),
+done AS (SELECT call_id, max_by(kept, chunk_idx) AS kept FROM acc GROUP BY call_id)""",
+       query="""SELECT call_id, k.chunk_idx AS chunk_idx, k.idx AS idx, k.start AS start, k."end" AS "end" FROM (SELECT call_id, unnest(kept) AS k FROM done)""").replace("WITH ", "WITH RECURSIVE ", 1))
+def stitched_chunks(spark, folder):
+    """Four-turn chunks that share two turns with the next, put together chunk by chunk."""
+    late = F.col("_o") * F.lit(0.5)
+    parts = (
+        call_segments(spark, folder).withColumn("_o", F.explode(F.array(F.lit(0), F.lit(1))))
+        .select("call_id", (F.floor(F.col("idx") / 2) - F.col("_o")).alias("chunk_idx"), "idx",
+                (F.col("start") + late).alias("start"), (F.col("end") + late).alias("end"), "text")
+        .where(F.col("chunk_idx") >= 0)
+    )
+    return wd.stitch_chunks(parts, ["call_id"]).select("call_id", "chunk_idx", "idx", "start", "end")

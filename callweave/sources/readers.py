@@ -80,24 +80,56 @@ def database_table(spark: SparkSession, url: str, name: str, split_on: str, low:
     return spark.read.jdbc(url, name, column=split_on, lowerBound=low, upperBound=high, numPartitions=parts, properties=options)
 
 
-def _little_endian(header: Column, offset: int, size: int) -> Column:
-    """Unsigned number from the header's hex text."""
-    pieces = [F.substring(header, 2 * (offset + i) + 1, 2) for i in reversed(range(size))]
-    return F.conv(F.concat(*pieces), 16, 10).cast("long")
+def _number(content: Column, at: Column, size: int) -> Column:
+    """Unsigned little-endian number of the bytes from place ``at`` (0-based)."""
+    text = F.hex(F.substring(content, at + 1, F.lit(size)))
+    return F.conv(F.concat(*[F.substring(text, 2 * i + 1, 2) for i in reversed(range(size))]), 16, 10).cast("long")
+
+
+def riff_chunks(content: Column) -> Column:
+    """Places and lengths of the fmt and data chunks of a RIFF WAVE file as (fmt_at, fmt_size, data_size); null where the file is none or lacks one.
+
+    The chain of chunks is walked: each says how long it is, odd lengths are padded, others (LIST, fact, JUNK, ...) are passed over."""
+    def tag(at: Column) -> Column:
+        return F.decode(F.substring(content, at + 1, F.lit(4)), "ISO-8859-1")
+
+    def step(state: Column, _: Column) -> Column:
+        at = state["at"]
+        size = _number(content, at + 4, 4)
+        inside = at + 8 <= F.octet_length(content)
+        fmt = inside & (tag(at) == "fmt ") & state["fmt_at"].isNull()
+        data = inside & (tag(at) == "data") & state["data_size"].isNull()
+        moved = F.when(inside & state["data_size"].isNull() & ~data, at + 8 + size + size % 2).otherwise(at)
+        return F.struct(
+            moved.cast("int").alias("at"), F.when(fmt, at + 8).otherwise(state["fmt_at"]).alias("fmt_at"),
+            F.when(fmt, size).otherwise(state["fmt_size"]).alias("fmt_size"), F.when(data, size).otherwise(state["data_size"]).alias("data_size"))
+
+    # No file has more chunks than an eighth of its bytes; the walk stays where it is once the data chunk is found.
+    none = F.struct(F.lit(12).alias("at"), F.lit(None).cast("int").alias("fmt_at"), F.lit(None).cast("long").alias("fmt_size"), F.lit(None).cast("long").alias("data_size"))
+    turns = F.sequence(F.lit(1), F.greatest(F.lit(1), F.least(F.octet_length(content) / 8, F.lit(CHAIN)).cast("int")))
+    is_wave = (F.decode(F.substring(content, 1, 4), "ISO-8859-1") == "RIFF") & (F.decode(F.substring(content, 9, 4), "ISO-8859-1") == "WAVE")
+    found = F.when(is_wave, F.aggregate(turns, none, step))
+    return F.when(found["fmt_at"].isNotNull() & found["data_size"].isNotNull(), found)
+
+
+#: Chunks ahead of the audio data that are walked over; a file with more has no facts, as a broken one.
+CHAIN = 256
 
 
 def audio_inventory(spark: SparkSession, path: str) -> DataFrame:
-    """Size, SHA-256 and header facts of WAV files.  ``canonical`` is false for headers other than the plain 44 bytes, whose
-    facts stay null."""
+    """Size, SHA-256 and header facts of WAV files, whatever chunks stand ahead of the data.  ``canonical`` is true for the plain 44-byte header;
+    ``encoding`` is the format's number (of an extensible format, its sub-format).  A file without a fmt and a data chunk has null facts."""
     files = spark.read.format("binaryFile").load(path)
     rows = files.select(
         F.col("path"), F.regexp_extract("path", r"([^/]+)\.wav$", 1).alias("stem"), F.col("length").alias("file_size"),
-        F.sha2("content", 256).alias("sha256"), F.hex(F.substring("content", 1, 44)).alias("_h"))
-    tag = lambda offset: F.substring("_h", 2 * offset + 1, 8)
-    ok = (tag(0) == "52494646") & (tag(8) == "57415645") & (tag(12) == "666D7420") & (tag(36) == "64617461")
-    fact = lambda offset, size: F.when(ok, _little_endian(F.col("_h"), offset, size))
+        F.sha2("content", 256).alias("sha256"), F.col("content").alias("_c"))
+    rows = rows.select("*", F.explode(F.array(riff_chunks(F.col("_c")))).alias("_r"))
+    fact = lambda offset, size: F.when(F.col("_r").isNotNull(), _number(F.col("_c"), F.col("_r.fmt_at") + offset, size))
+    code = fact(0, 2)
     rows = rows.select(
-        "path", "stem", "file_size", "sha256", ok.alias("canonical"), fact(24, 4).alias("sample_rate"), fact(22, 2).alias("channels"),
-        fact(34, 2).alias("bit_depth"), fact(40, 4).alias("_bytes"))
+        "path", "stem", "file_size", "sha256",
+        F.coalesce((F.col("_r.fmt_at") == 20) & (F.col("_r.fmt_size") == 16) & (F.decode(F.substring("_c", 37, 4), "ISO-8859-1") == "data"), F.lit(False)).alias("canonical"),
+        fact(4, 4).alias("sample_rate"), fact(2, 2).alias("channels"), fact(14, 2).alias("bit_depth"),
+        F.when((code == 0xFFFE) & (F.col("_r.fmt_size") >= 40), fact(24, 2)).otherwise(code).alias("encoding"), F.col("_r.data_size").alias("_bytes"))
     rate = F.col("sample_rate") * F.col("channels") * F.col("bit_depth") / 8
     return rows.withColumn("duration_sec", F.col("_bytes") / F.nullif(rate, F.lit(0.0))).drop("_bytes")

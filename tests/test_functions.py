@@ -207,3 +207,11 @@ def test_edit_distance_of_long_and_lopsided_pairs():
         other[k] = -1
     assert edit_distance(long, other) == 60
     assert edit_distance([1], list(range(40_000))) == 39_999
+
+
+def test_texts_of_a_key_at_any_depth(spark):
+    raw = '{"k": "a\\"b", "x": [{"k": "second"}, {"y": {"k": {"k": "third"}}}], "k": "fourth", "text": "\\"k\\": \\"no\\"", "k": 5}'
+    assert one(spark, web.json_values(F.col("t"), "k"), t=raw) == ['a"b', "second", "third", "fourth"]
+    deep = '{"a": [' * 200 + '{"k": "down \\u00e9"}' + "]}" * 200
+    assert one(spark, web.json_values(F.col("t"), "k"), t=deep) == ["down é"]
+    assert one(spark, web.json_values(F.col("t"), "k"), t='{"k": "open') == []

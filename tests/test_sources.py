@@ -70,6 +70,26 @@ def test_audio_inventory(spark, tmp_path):
     assert (audit.total_files, audit.valid_files, audit.status) == (2, 1, "FAIL")
 
 
+def test_audio_files_with_further_chunks(spark, tmp_path):
+    """LIST, fact and odd-sized chunks ahead of the data, and the extensible format, give the same facts as the plain header."""
+    chunk = lambda tag, body: tag + len(body).to_bytes(4, "little") + body + b"\0" * (len(body) % 2)
+    plain = (1).to_bytes(2, "little") + (2).to_bytes(2, "little") + (8000).to_bytes(4, "little") + (32000).to_bytes(4, "little") + (4).to_bytes(2, "little") + (16).to_bytes(2, "little")
+    wide = b"\xfe\xff" + plain[2:] + (22).to_bytes(2, "little") + b"\x10\0\x03\0\0\0" + b"\x03\0" + b"\0" * 14
+    data = chunk(b"data", b"\0" * 16000)
+
+    def write(name, *chunks):
+        body = b"WAVE" + b"".join(chunks)
+        (tmp_path / f"{name}.wav").write_bytes(b"RIFF" + len(body).to_bytes(4, "little") + body)
+
+    write("listed", chunk(b"LIST", b"INFOdata12345"), chunk(b"fmt ", plain), chunk(b"fact", b"\0\0\0\0"), chunk(b"note", b"odd"), data)
+    write("wide", chunk(b"fmt ", wide), data)
+    write("headless", data)
+    write("cut", chunk(b"fmt ", plain))
+    rows = {r.stem: (r.canonical, r.sample_rate, r.channels, r.bit_depth, r.encoding, r.duration_sec) for r in readers.audio_inventory(spark, str(tmp_path)).collect()}
+    assert rows["listed"] == (False, 8000, 2, 16, 1, 0.5) and rows["wide"] == (False, 8000, 2, 16, 3, 0.5)
+    assert rows["headless"] == rows["cut"] == (False, None, None, None, None, None)
+
+
 def test_documents_and_merge(spark, tmp_path):
     rows = [("E", "ACME", i, float(i), float(i + 1), "S", None, "R", f"t{i}", 0.9, "qa" if i > 1 else "operator_intro") for i in range(4)]
     segs = spark.createDataFrame(rows, "event_id string, ticker string, idx int, start double, end double, speaker_id string, speaker_name string, speaker_role string, text string, confidence double, section string")
