@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from callweave.plans import auditing, findings, operations, scoring, streams, transcripts
+from callweave.plans import auditing, findings, operations, scans, scoring, streams, transcripts
 
-MODULES = [transcripts, operations, scoring, findings, auditing, streams]
+MODULES = [transcripts, operations, scoring, findings, auditing, streams, scans]
 
 
 def queries() -> dict:

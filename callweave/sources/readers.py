@@ -28,6 +28,21 @@ def transcript_segments(docs: DataFrame) -> DataFrame:
         "event_id", "ticker", "fiscal_period", "section", "_s", "pos", "seg.*")
 
 
+def quarantined(spark: SparkSession, path: str, schema: str, multi_line: bool = True) -> tuple[DataFrame, DataFrame]:
+    """(good, bad) documents of a folder of JSON: good ones as declared; of the others the file, why they are kept out, and their text.
+
+    A document is bad where the parser gives it up or where none of the declared fields is there. ``schema`` has a _corrupt_record column."""
+    rows = spark.read.schema(schema).json(path, multiLine=multi_line, mode="PERMISSIVE").withColumn("_file", F.col("_metadata.file_path"))
+    # The parser fills the corrupt record only where the whole schema is read, so rows are taken as they are before they are told apart.
+    names = [c for c in rows.columns if c not in ("_corrupt_record", "_file")]
+    empty = ~F.exists(F.array(*[F.col(c).isNotNull() for c in names]), lambda there: there)
+    why = F.when(F.col("_corrupt_record").isNotNull(), "unreadable").when(empty, "no declared field")
+    told = rows.select("*", F.explode(F.array(F.struct(why.alias("why")))).alias("_q"))
+    good = told.where(F.col("_q.why").isNull()).select(*names)
+    bad = told.where(F.col("_q.why").isNotNull()).select(F.col("_file").alias("file"), F.col("_q.why").alias("reason"), F.col("_corrupt_record").alias("document"))
+    return good, bad
+
+
 def call_metrics(spark: SparkSession, path: str, calls: DataFrame | None = None) -> DataFrame:
     """Call metrics documents; with a (call_key, ord) list, in its order and with ``missing`` marking absent documents."""
     docs = spark.read.schema(schemas.CALL_METRICS).json(path, multiLine=True, mode="PERMISSIVE")
