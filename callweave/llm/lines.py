@@ -8,7 +8,7 @@ spaces; what is shorter (headings, list marks, a lone "yes") always stays: such
 Each normal form has a SimHash of 128 bits over its runs of GRAM characters. It is cut into four blocks, and forms with a block in common are
 candidates: by pigeonhole all forms that differ in three bits at most. An edit similarity of 0.8 goes along with many more bits (two changed
 words in fifty move about ten), so that blocks alone miss most such pairs; a form therefore has further keys: a MinHash sample of KEYS of its
-runs of three units and, below SHORT words, its words with each one left out. Forms with a common key are candidates; those whose SimHash
+runs of RUN units and, below SHORT words, of its runs of one less and its words with each one left out. Forms with a common key are candidates; those whose SimHash
 differs in more than BITS bits, or whose lengths rule it out, go; all others are verified by edit similarity (1 - distance / longer length,
 code points) of `similarity` or more. Of every connected group of lines the first occurrence by (doc_id, line) stays, in that document and place.
 
@@ -34,9 +34,9 @@ MIN_WORDS, SIMILARITY = 5, 0.8
 #: Characters from which a line takes part whatever its words.
 LONG = 20
 #: Words of a run, runs sampled of a form, and words from which a form has no keys with a word left out.
-RUN, KEYS, SHORT = 3, 12, 10
+RUN, KEYS, SHORT = 4, 12, 10
 #: Characters of a SimHash feature, and bits of 128 in which verified forms may differ.
-GRAM, BITS = 5, 46
+GRAM, BITS = 5, 40
 #: Members of a key from which its pairs are not all given by its least member and by neighbours.
 FEW = 3
 
@@ -155,19 +155,22 @@ def line_keys(words: np.ndarray, width: np.ndarray, rows: np.ndarray, signs: np.
     count = np.diff(rows)
     line = np.repeat(np.arange(len(count)), count)
     place, size = np.arange(len(words)) - rows[:-1][line], count[line]
-    # Runs of words, the first KEYS of a line by a hash that long runs have shifted down.
-    at = np.flatnonzero(place <= size - RUN)
-    run, wide = np.zeros(len(at), np.uint64), np.zeros(len(at), np.int64)
-    for j in range(RUN):
-        run = common.mix(run * np.uint64(0x9E3779B97F4A7C15) + words[at + j])
-        wide += width[at + j]
-    order = np.lexsort((run >> np.clip((wide - 8) // 3, 0, 10).astype(np.uint64), line[at]))
-    own, run = line[at][order], run[order]
-    fresh = np.ones(len(own), bool)
-    fresh[1:] = (own[1:] != own[:-1]) | (run[1:] != run[:-1])
-    own, run = own[fresh], run[fresh]
-    keep = np.arange(len(own)) - np.searchsorted(own, own) < KEYS
-    lines, keys = [own[keep]], [run[keep]]
+    lines, keys = [], []
+    for length in (RUN - 1, RUN):
+        # Runs of words, the first KEYS of a line by a hash that long runs have shifted down; short lines also have runs of one word less.
+        at = np.flatnonzero((place <= size - length) & ((length == RUN) | (size < SHORT)))
+        run, wide = np.zeros(len(at), np.uint64), np.zeros(len(at), np.int64)
+        for j in range(length):
+            run = common.mix(run * np.uint64(0x9E3779B97F4A7C15) + words[at + j])
+            wide += width[at + j]
+        order = np.lexsort((run >> np.clip((wide - 8) // 3, 0, 10).astype(np.uint64), line[at]))
+        own, run = line[at][order], run[order]
+        fresh = np.ones(len(own), bool)
+        fresh[1:] = (own[1:] != own[:-1]) | (run[1:] != run[:-1])
+        own, run = own[fresh], run[fresh]
+        keep = np.arange(len(own)) - np.searchsorted(own, own) < KEYS
+        lines.append(own[keep])
+        keys.append(run[keep])
     some = np.flatnonzero(count)
     for block in range(4):
         part = signs[some, block // 2] >> np.uint64(32 * (block % 2)) & np.uint64(0xFFFFFFFF)
