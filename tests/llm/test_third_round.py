@@ -62,8 +62,8 @@ def plain_alignment(texts):
 @pytest.mark.parametrize("sent", [alignment.SENT, 0])
 def test_alignment(spark, sent, monkeypatch):
     """Both ways of the second pass, with several segments, salts and levels of the tree."""
-    monkeypatch.setattr(alignment, "SEGMENT", 300)
-    monkeypatch.setattr(alignment, "SUMS", 2)
+    monkeypatch.setattr(alignment, "SEGMENT", 1000)
+    monkeypatch.setattr(alignment, "SUMS", 50)
     texts = [*TEXTS, TEXTS[0], TEXTS[4]]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5).withColumn("n_a", F.lit("old")).withColumn("kept", F.lit(1))
     got = sorted(alignment.alignments(docs, A, B, sent).collect(), key=lambda r: r.doc_id)
