@@ -21,7 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -379,7 +379,12 @@ def op1_pii(spark: SparkSession, folder: str) -> DataFrame:
         F.transform(spans, lambda s: F.concat_ws(":", F.element_at(names, s["kind"] + 1), s["start"].cast("string"), s["end"].cast("string"))), ","
     )
     base = F.filter("spans", lambda s: s["base"])
-    counts = [F.size(F.filter("spans", lambda s, k=k: s["base"] & (s["kind"] == k))).cast("long").alias(f"n_{name}") for k, name in enumerate(KINDS)]
+
+    def count(k: int) -> Column:
+        # A second lambda parameter would be the place in the array.
+        return F.size(F.filter(base, lambda s: s["kind"] == k)).cast("long")
+
+    counts = [count(k).alias(f"n_{name}") for k, name in enumerate(KINDS)]
     added = F.size(F.filter("spans", lambda s: ~s["base"])).cast("long").alias("n_added")
     return rows.select("doc_id", *counts, F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"), added)
 

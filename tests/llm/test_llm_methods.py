@@ -1,5 +1,6 @@
 """The operators' own logic against plain versions, without tables where possible."""
 
+import hashlib
 import random
 import re
 
@@ -44,6 +45,21 @@ def test_patterns():
         pii.base_spans(text)
 
 
+def test_query_counts(spark, tmp_path):
+    """The query's columns against the plain patterns, with several spans and kinds in a text."""
+    draw = random.Random(6)
+    parts = ["a.b@c.de", "1.2.3.4", "4111 1111 1111 1111", "+44 20 7946 0958", "word", "999.1.1.1", "x@y", "+1 2"]
+    texts = [" ".join(draw.choice(parts) for _ in range(draw.randint(0, 9))) for _ in range(60)] + [None, ""]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r.doc_id: r for r in pii.op1_pii(spark, str(tmp_path)).collect()}
+    for k, text in enumerate(texts):
+        spans = sorted(plain_spans(text or ""))
+        joined = ",".join(f"{pii.KINDS[s[0]]}:{s[1]}:{s[2]}" for s in spans)
+        r = got[k]
+        assert [r.n_email, r.n_ip, r.n_card, r.n_phone] == [sum(s[0] == kind for s in spans) for kind in range(4)]
+        assert r.base_sha256 == hashlib.sha256(joined.encode()).hexdigest()
+
+
 def test_span_model():
     draw = random.Random(1)
     phone = lambda: f"+1 ({draw.randint(200, 999)}) 555-{draw.randint(1000, 9999)}"
