@@ -11,10 +11,26 @@ from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 from callweave.functions import fixed_values as fv
+from callweave.functions.editdist import bind
 
 SPACES = r"[\s\p{Z}\x1c-\x1f\x85]+"
 
 
+def in_runs(text: Column, run: str, change) -> Column:
+    """``change`` applied to the matches of ``run`` alone, which are joined by NUL for it; the text between them is left as it is. A long chain of
+    rules then reads the few places it can touch, not the whole text. Matches and what ``change`` makes of them hold no NUL."""
+    def changed(whole: Column) -> Column:
+        new = F.split(change(F.array_join(F.regexp_extract_all(whole, F.lit(run), F.lit(0)), "\0")), "\0")
+        return F.array_join(F.zip_with(F.split(whole, run), new, lambda gap, word: F.concat(gap, F.coalesce(word, F.lit("")))), "")
+
+    return bind(text, changed)
+
+
+def where_contains(text: Column, mark: str, change) -> Column:
+    """``change`` applied to texts that contain ``mark``; the others as they are."""
+    return bind(text, lambda t: F.when(t.contains(mark), change(t)).otherwise(t))
+
+
 def strip(text: Column) -> Column:
     return F.regexp_replace(text, rf"^{SPACES}|{SPACES}$", "")
 
@@ -24,17 +40,19 @@ def squeeze(text: Column) -> Column:
 
 
 def words(text: Column) -> Column:
-    return F.filter(F.split(squeeze(text), " "), lambda w: w != "")
+    return F.array_remove(F.split(text, SPACES), "")
 
 
 def fold_punctuation(text: Column) -> Column:
     """Curly quotes, back-ticks, long dashes and no-break spaces to their plain forms."""
-    return F.translate(text, "’‘`“”–— ", "'''\"\"-- ")
+    # All but the back-tick are beyond ASCII.
+    plain = lambda t: (F.octet_length(t) == F.length(t)) & ~t.contains("`")
+    return bind(text, lambda t: F.when(plain(t), t).otherwise(F.translate(t, "’‘`“”–— ", "'''\"\"-- ")))
 
 
 def drop_stamps(text: Column) -> Column:
     """Removes ``[1.0 --> 2.5]`` marks."""
-    return F.regexp_replace(text, r"\[\s*\d+(?:\.\d+)?\s*-->\s*\d+(?:\.\d+)?\s*\]", " ")
+    return where_contains(text, "-->", lambda t: F.regexp_replace(t, r"\[\s*\d+(?:\.\d+)?\s*-->\s*\d+(?:\.\d+)?\s*\]", " "))
 
 
 def drop_headers(text: Column) -> Column:
@@ -59,12 +77,18 @@ def _word_rule(word: str) -> str:
     return rf"(?iU)\b{word}\b"
 
 
+#: Runs without spaces that hold an apostrophe: every contraction has one and no space, so it lies in such a run with both its boundaries.
+APOSTROPHE_RUN = r"(?<![^ \x00])[^ '\x00]*+'[^ \x00]*+"
+
+
 def expand_contractions(text: Column, rules: list[tuple[str, str]] = fv.CONTRACTIONS) -> Column:
     """Contractions to full forms, rule by rule; rows without an apostrophe skip the chain."""
-    full = text
-    for short, long in rules:
-        full = F.regexp_replace(full, _word_rule(short), long)
-    return F.when(text.contains("'"), full).otherwise(text)
+    def expanded(runs: Column) -> Column:
+        for short, long in rules:
+            runs = F.regexp_replace(runs, _word_rule(short), long)
+        return runs
+
+    return where_contains(text, "'", lambda t: in_runs(t, APOSTROPHE_RUN, expanded))
 
 
 def contraction_passes(rules: list[tuple[str, str]]) -> list[tuple[str, str]]:
@@ -102,14 +126,22 @@ def expand_fast(text: Column, rules: list[tuple[str, str]] = fv.CONTRACTIONS) ->
 MAGNITUDES = [("bB", "billion"), ("mM", "million"), ("tT", "trillion"), ("kK", "thousand")]
 
 
+#: A dollar sign with the figures, further signs and the word behind it.
+AMOUNT_RUN = r"(?U)\$[\s0-9.$]*+\w*+"
+
+
 def spell_figures(text: Column) -> Column:
     """Thousands commas out, dollar amounts and percent signs in words.  The comma rule runs twice, no more."""
     for _ in range(2):
         text = F.regexp_replace(text, r"(\d+),(\d+)", "$1$2")
-    for letters, word in MAGNITUDES:
-        text = F.regexp_replace(text, rf"(?U)\$\s*([0-9]+(?:\.[0-9]+)?)\s*(?:[{letters}]|{word})\b", f"$1 {word} dollars")
-    text = F.regexp_replace(text, r"\$\s*(\d+(?:\.\d+)?)", "$1 dollars")
-    return F.regexp_replace(text, r"(\d+(?:\.\d+)?)\s*%", "$1 percent")
+
+    def dollars(runs: Column) -> Column:
+        for letters, word in MAGNITUDES:
+            runs = F.regexp_replace(runs, rf"(?U)\$\s*([0-9]+(?:\.[0-9]+)?)\s*(?:[{letters}]|{word})\b", f"$1 {word} dollars")
+        return F.regexp_replace(runs, r"\$\s*(\d+(?:\.\d+)?)", "$1 dollars")
+
+    text = where_contains(text, "$", lambda t: in_runs(t, AMOUNT_RUN, dollars))
+    return where_contains(text, "%", lambda t: F.regexp_replace(t, r"(\d+(?:\.\d+)?)\s*%", "$1 percent"))
 
 
 def drop_fillers(text: Column) -> Column:
@@ -122,10 +154,10 @@ def normalize(text: Column, is_reference: bool = False) -> Column:
     if is_reference:
         text = drop_headers(text)
     text = F.lower(drop_fillers(spell_figures(expand_fast(text))))
-    text = F.regexp_replace(text, "[-–—/]", " ")
     text = F.regexp_replace(text, r"(\d+)\.(\d+)", "$1_DOT_$2")
-    text = F.regexp_replace(text, r"[^\p{L}\p{N}_\s]", " ")
-    return squeeze(F.replace(text, F.lit("_DOT_"), F.lit(".")))
+    # All but letters, figures and underscores, white space too, become single spaces in one pass.
+    text = F.regexp_replace(text, r"[^\p{L}\p{N}_ ][^\p{L}\p{N}_]*+| [^\p{L}\p{N}_]++", " ")
+    return F.trim(F.replace(text, F.lit("_DOT_"), F.lit(".")))
 
 
 def raw_clean(text: Column, is_reference: bool = False) -> Column:
@@ -139,19 +171,27 @@ def normalize_v1(text: Column) -> Column:
     text = expand_fast(F.lower(F.coalesce(text, F.lit(""))), fv.CONTRACTIONS_V1)
     number = r"([0-9]+(?:\.[0-9]+)?)"
     large = [("billion", "b"), ("million", "m"), ("thousand", "k")]
-    for word, letter in large:
-        text = F.regexp_replace(text, rf"(?U)\${number}\s*(?:{word}|{letter}\b)", f"$1 {word} dollars")
-    text = F.regexp_replace(text, rf"\${number}", "$1 dollars")
+
+    def dollars(runs: Column) -> Column:
+        for word, letter in large:
+            runs = F.regexp_replace(runs, rf"(?U)\${number}\s*(?:{word}|{letter}\b)", f"$1 {word} dollars")
+        return F.regexp_replace(runs, rf"\${number}", "$1 dollars")
+
+    text = where_contains(text, "$", lambda t: in_runs(t, AMOUNT_RUN, dollars))
     for word, _ in large:
-        text = F.regexp_replace(text, rf"{number}\s*{word}(?:\s*dollars)?", f"$1 {word} dollars")
-    text = F.regexp_replace(text, r"dollars\s+dollars", "dollars")
-    text = F.regexp_replace(text, rf"{number}\s*%", "$1 percent")
-    for digit, word in enumerate(fv.NUMBER_WORDS):
-        text = F.regexp_replace(text, _word_rule(word), str(digit))
+        text = where_contains(text, word, lambda t: F.regexp_replace(t, rf"{number}\s*{word}(?:\s*dollars)?", f"$1 {word} dollars"))
+    text = where_contains(text, "dollars", lambda t: F.regexp_replace(t, r"dollars\s+dollars", "dollars"))
+    text = where_contains(text, "%", lambda t: F.regexp_replace(t, rf"{number}\s*%", "$1 percent"))
+
+    def digits(runs: Column) -> Column:
+        for digit, word in enumerate(fv.NUMBER_WORDS):
+            runs = F.regexp_replace(runs, _word_rule(word), str(digit))
+        return runs
+
+    text = in_runs(text, _word_rule("(?:" + "|".join(fv.NUMBER_WORDS) + ")"), digits)
     text = F.regexp_replace(text, _word_rule("(?:" + "|".join(fv.FILLERS_V1) + ")"), "")
-    text = F.regexp_replace(text, r"[^\p{L}\p{N}_\s.]", " ")
-    text = F.regexp_replace(text, r"(?<!\d)\.|\.(?!\d)", " ")
-    return squeeze(text)
+    # Points stay between digits only; all else but letters, figures and underscores becomes single spaces in one pass.
+    return F.trim(F.regexp_replace(text, r"(?:[^\p{L}\p{N}_.]|(?<!\d)\.|\.(?!\d))++", " "))
 
 
 def split_reference(text: Column) -> tuple[Column, Column]:

@@ -215,3 +215,29 @@ def test_texts_of_a_key_at_any_depth(spark):
     deep = '{"a": [' * 200 + '{"k": "down \\u00e9"}' + "]}" * 200
     assert one(spark, web.json_values(F.col("t"), "k"), t=deep) == ["down é"]
     assert one(spark, web.json_values(F.col("t"), "k"), t='{"k": "open') == []
+
+
+def test_long_chains_read_only_the_runs_they_can_touch(spark):
+    """Contractions and amounts are rewritten inside their own runs: with long words around them the chain stays short, with the results of rules
+    applied to the whole text one after the other."""
+    def whole(text, rules):
+        for short, long in rules:
+            text = F.regexp_replace(text, rf"(?iU)\b{short}\b", long)
+        return text
+
+    def spelled(text):
+        for _ in range(2):
+            text = F.regexp_replace(text, r"(\d+),(\d+)", "$1$2")
+        for letters, word in tx.MAGNITUDES:
+            text = F.regexp_replace(text, rf"(?U)\$\s*([0-9]+(?:\.[0-9]+)?)\s*(?:[{letters}]|{word})\b", f"$1 {word} dollars")
+        text = F.regexp_replace(text, r"\$\s*(\d+(?:\.\d+)?)", "$1 dollars")
+        return F.regexp_replace(text, r"(\d+(?:\.\d+)?)\s*%", "$1 percent")
+
+    texts = [None, "", "plain", "he'd've and I'm, CAN'T've-it's\nthey're", "'cause 'tis ''x'' o'clock", "\x00don't\x00'", "$ 5.$5billion", "$ $5 billion, $\n$3 million 12%",
+             "$1.2.3 k $4kx $7\u00e9 1,2,3,4 5 %", "\u0131'm \u017fhe's"]
+    rows = spark.createDataFrame([(t,) for t in texts], "text string")
+    t = F.col("text")
+    for r in rows.select(tx.expand_contractions(t), whole(t, fv.CONTRACTIONS), tx.spell_figures(t), spelled(t)).collect():
+        assert r[0] == r[1] and r[2] == r[3]
+    plan = rows.select(tx.expand_contractions(t).alias("x"))._jdf.queryExecution().optimizedPlan().toString()
+    assert "regexp_extract_all" in plan
