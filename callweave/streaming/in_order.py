@@ -1,5 +1,8 @@
 """Calls whose rows arrive in any order: a buffer per call gives them to a fold in order of their position.
 
+State is kept by bucket, the calls of one hash: their open calls in one list, the rows that wait in another. A call that comes whole in one batch
+never gets there.
+
 A row has a dense position from 0. Rows ahead of the next expected one wait in list state; a call's end marker (``closes``, its position is the
 number of rows) says when it is complete, then all its state goes. A call without a marker is closed by an event-time timer once it has been
 quiet past the watermark: what waits is folded in order, gaps and all. A row seen before is dropped, so replayed files change nothing.
@@ -18,6 +21,9 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from callweave.operators.words import join_words
 
+#: Calls share their state by hash, as a state call costs the same for one call as for thousands. The number must stay for a stream's lifetime.
+BUCKETS, FRAME_ROWS = 1024, 10_000
+
 
 class Fold:
     """What happens to a call's rows, one after the other. ``carry`` is the DDL of what is kept between rows, ``out`` that of the results."""
@@ -40,15 +46,16 @@ class Buffered(StatefulProcessor):
     fold: Fold
     row_schema: T.StructType
     carry_schema: T.StructType
+    key_type: T.DataType
     out_names: list[str]
     quiet_ms: int
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         head = [T.StructField("next", T.LongType()), T.StructField("total", T.LongType()), T.StructField("timer", T.LongType())]
-        self.place = handle.getValueState("place", T.StructType(head))
-        self.carried = handle.getValueState("carry", self.carry_schema)
-        self.waiting = handle.getListState("waiting", T.StructType([T.StructField("position", T.LongType()), *self.row_schema.fields]))
+        call = T.StructField("call_id", self.key_type)
+        self.open = handle.getListState("open", T.StructType([call, *head, T.StructField("carry", self.carry_schema)]))
+        self.waiting = handle.getListState("waiting", T.StructType([call, T.StructField("position", T.LongType()), *self.row_schema.fields]))
 
     @staticmethod
     def _values(column: pd.Series, field: T.StructField) -> list:
@@ -58,67 +65,82 @@ class Buffered(StatefulProcessor):
         values = column.astype(object).where(column.notna(), None).tolist()
         return values if kind is None else [None if v is None else kind(v) for v in values]
 
-    def _folded(self, position: int, waiting: dict[int, tuple], all_: bool) -> tuple[int, list[tuple]]:
-        """Folds the waiting rows that are next, or all of them."""
-        carry = tuple(self.carried.get()) if self.carried.exists() else self.fold.start()
+    def _folded(self, call: list, waiting: dict[int, tuple], all_: bool) -> list[tuple]:
+        """Folds a call's waiting rows that are next, or all of them. ``call``: next position, total, timer, carry."""
         out: list[tuple] = []
         for k in sorted(waiting):
-            if k != position and not all_:
+            if k != call[0] and not all_:
                 break
-            carry, more = self.fold.take(carry, waiting.pop(k))
+            call[3], more = self.fold.take(call[3], waiting.pop(k))
             out += more
-            position = k + 1
-        self.carried.update(carry)
-        return position, out
-
-    def _closed(self, timer: int) -> list[tuple]:
-        out = self.fold.finish(tuple(self.carried.get()))
-        if timer >= 0:
-            self.handle.deleteTimer(timer)
-        for state in (self.place, self.carried, self.waiting):
-            state.clear()
+            call[0] = k + 1
         return out
 
-    def _frame(self, key: tuple, rows: list[tuple]) -> pd.DataFrame:
-        return pd.DataFrame([(*key, *r) for r in rows], columns=self.out_names)
+    def _loaded(self) -> tuple[dict, dict]:
+        """The bucket's open calls and their rows that wait."""
+        calls = {r[0]: [r[1], r[2], r[3], tuple(r[4])] for r in self.open.get()} if self.open.exists() else {}
+        waiting: dict = {}
+        for r in self.waiting.get() if self.waiting.exists() else ():
+            waiting.setdefault(r[0], {})[r[1]] = tuple(r[2:])
+        return calls, waiting
+
+    def _stored(self, calls: dict, waiting: dict) -> None:
+        rows = [(c, k, *w[k]) for c, w in waiting.items() for k in sorted(w)]
+        for state, kept in ((self.open, [(c, *v) for c, v in calls.items()]), (self.waiting, rows)):
+            if kept:
+                state.put(kept)
+            elif state.exists():
+                state.clear()
+
+    def _frames(self, rows: list[tuple]) -> Iterator[pd.DataFrame]:
+        for at in range(0, len(rows), FRAME_ROWS):
+            yield pd.DataFrame(rows[at : at + FRAME_ROWS], columns=self.out_names)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        position, total, timer = tuple(self.place.get()) if self.place.exists() else (0, -1, -1)
-        waiting = {r[0]: tuple(r[1:]) for r in self.waiting.get()} if self.waiting.exists() else {}
-        last = 0
+        calls, waiting = self._loaded()
+        last: dict = {}
         for batch in rows:
-            last = max(last, int(batch["at"].max().timestamp() * 1000))
-            ends = batch.loc[batch["closes"], "position"]
-            total = max(total, int(ends.max())) if len(ends) else total
-            plain = batch.loc[~batch["closes"]]
-            columns = [self._values(plain[f.name], f) for f in self.row_schema.fields]
-            for k, row in zip(plain["position"].tolist(), zip(*columns)):
-                if k >= position:
-                    waiting.setdefault(int(k), row)
-        position, out = self._folded(position, waiting, False)
-        if position == total:
-            out += self._closed(timer)
-        else:
-            if timer >= 0:
-                self.handle.deleteTimer(timer)
-            timer = max(last, timerValues.getCurrentWatermarkInMs() + 1) + self.quiet_ms
+            ids, positions = batch["call_id"].tolist(), batch["position"].tolist()
+            ats = [t.timestamp() for t in batch["at"].tolist()]
+            columns = [self._values(batch[f.name], f) for f in self.row_schema.fields]
+            for call, k, at, closes, row in zip(ids, positions, ats, batch["closes"].tolist(), zip(*columns)):
+                open_ = calls.get(call)
+                if open_ is None:
+                    open_ = calls[call] = [0, -1, -1, self.fold.start()]
+                last[call] = max(last.get(call, 0), int(at * 1000))
+                if closes:
+                    open_[1] = max(open_[1], int(k))
+                elif k >= open_[0]:
+                    waiting.setdefault(call, {}).setdefault(int(k), row)
+        before, out = {v[2] for v in calls.values() if v[2] >= 0}, []
+        for call, at in last.items():
+            open_, mine = calls[call], waiting.get(call, {})
+            found = self._folded(open_, mine, False)
+            if open_[0] == open_[1]:
+                found += self.fold.finish(open_[3])
+                del calls[call]
+                waiting.pop(call, None)
+            else:
+                open_[2] = max(at, timerValues.getCurrentWatermarkInMs() + 1) + self.quiet_ms
+                if not mine:
+                    waiting.pop(call, None)
+            out += [(call, *r) for r in found]
+        after = {v[2] for v in calls.values()}
+        for timer in before - after:
+            self.handle.deleteTimer(timer)
+        for timer in after - before:
             self.handle.registerTimer(timer)
-            self.place.update((position, total, timer))
-            if waiting:
-                self.waiting.put([(k, *waiting[k]) for k in sorted(waiting)])
-            elif self.waiting.exists():
-                self.waiting.clear()
-        if out:
-            yield self._frame(key, out)
+        self._stored(calls, waiting)
+        yield from self._frames(out)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        if not self.place.exists():
-            return
-        waiting = {r[0]: tuple(r[1:]) for r in self.waiting.get()} if self.waiting.exists() else {}
-        _, out = self._folded(self.place.get()[0], waiting, True)
-        out += self._closed(-1)
-        if out:
-            yield self._frame(key, out)
+        calls, waiting = self._loaded()
+        due, out = expiredTimerInfo.getExpiryTimeInMs(), []
+        for call in [c for c, v in calls.items() if v[2] <= due]:
+            open_ = calls.pop(call)
+            out += [(call, *r) for r in self._folded(open_, waiting.pop(call, {}), True) + self.fold.finish(open_[3])]
+        self._stored(calls, waiting)
+        yield from self._frames(out)
 
     def close(self) -> None:
         pass
@@ -132,8 +154,9 @@ def in_order(rows: DataFrame, fold: Fold, columns: list[str], delay: str, quiet:
     picked = rows.select("call_id", F.col("position").cast("long").alias("position"), "at", F.coalesce("closes", F.lit(False)).alias("closes"), *columns)
     payload = T.StructType([picked.schema[c] for c in columns])
     out = T.StructType([picked.schema["call_id"], *T.StructType.fromDDL(fold.out).fields])
-    processor = Buffered(fold, payload, T.StructType.fromDDL(fold.carry), out.names, int(quiet * 1000))
-    return picked.withWatermark("at", delay).groupBy("call_id").transformWithStateInPandas(processor, out, "append", "EventTime")
+    processor = Buffered(fold, payload, T.StructType.fromDDL(fold.carry), picked.schema["call_id"].dataType, out.names, int(quiet * 1000))
+    bucket = F.pmod(F.xxhash64("call_id"), F.lit(BUCKETS)).cast("int")
+    return picked.withColumn("bucket", bucket).withWatermark("at", delay).groupBy("bucket").transformWithStateInPandas(processor, out, "append", "EventTime")
 
 
 def with_end_markers(rows: DataFrame, position: str, at: str) -> DataFrame:

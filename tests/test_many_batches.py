@@ -1,7 +1,9 @@
 """Streams fed by shuffled files, one file a micro-batch, against their batch twins; end of call by marker and by timer; the keyed table."""
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from callweave.operators import segments as seg, words as wd
 from callweave.plans import streams
@@ -96,3 +98,48 @@ def test_keyed_table(spark):
     # A second writer that would take the same pointer fails.
     with pytest.raises(RuntimeError):
         table._write_pointer(table._numbers()[-1], table.pointer())
+
+
+def test_whole_calls_of_a_bucket_leave_without_state(spark):
+    """Calls that come whole in one batch cost no call to the state, however many share a bucket; only the open one is stored."""
+    class Kept:
+        def __init__(self):
+            self.rows, self.puts = [], 0
+
+        def exists(self):
+            return bool(self.rows)
+
+        def get(self):
+            return iter(self.rows)
+
+        def put(self, rows):
+            self.rows, self.puts = rows, self.puts + 1
+
+        def clear(self):
+            self.rows = []
+
+    class Handle:
+        def __init__(self):
+            self.lists, self.timers = {}, []
+
+        def getListState(self, name, schema):
+            return self.lists.setdefault(name, Kept())
+
+        def registerTimer(self, at):
+            self.timers.append(at)
+
+    class Clock:
+        def getCurrentWatermarkInMs(self):
+            return 0
+
+    fold = in_order.Backlog("int")
+    payload = T.StructType.fromDDL("chunk_idx int, proc double, dur double")
+    handle = Handle()
+    processor = in_order.Buffered(fold, payload, T.StructType.fromDDL(fold.carry), T.LongType(), ["call_id", "chunk_idx", "backlog_sec", "drained"], 1000)
+    processor.init(handle)
+    at = pd.Timestamp("2026-01-01")
+    whole = [(c, k, at, k == 2, k, 50.0, 45.0) for c in range(500) for k in (1, 2, 0)]
+    batch = pd.DataFrame([*whole, (500, 1, at, False, 1, 50.0, 45.0)], columns=["call_id", "position", "at", "closes", "chunk_idx", "proc", "dur"])
+    out = pd.concat(processor.handleInputRows((7,), iter([batch]), Clock()))
+    assert out[["call_id", "backlog_sec"]].values.tolist() == [[c, b] for c in range(500) for b in (5.0, 10.0)]
+    assert {n: (s.puts, len(s.rows)) for n, s in handle.lists.items()} == {"open": (1, 1), "waiting": (1, 1)} and len(handle.timers) == 1
