@@ -200,12 +200,13 @@ def stream_late_corrections(spark, folder):
     far = far_rows(words, "at")
     path = live.scratch(spark)
     kept = KeyedTable(spark, f"{path}/table", ["call_id", "seq"], F.struct("pass_no", "at", "word"))
-    # Three batches: what is heard in time, a row that moves the watermark, what comes after it.
+    # Three batches, each a run of the stream from where the one before stopped: what is heard in time, a row that moves the watermark, what
+    # comes after it. A batch is as many files as its rows were written by.
     source = f"{path}/in"
-    for n, rows in enumerate((words, far, again)):
-        rows.coalesce(1).write.mode("append").parquet(source)
-    stream = spark.readStream.schema(words.schema).option("maxFilesPerTrigger", "1").parquet(source)
-    live.late_corrections(stream, "at", 86_400 * 365 * 100, kept, f"{path}/late", f"{path}/checkpoint").awaitTermination()
+    for rows in (words, far, again):
+        rows.write.mode("append").parquet(source)
+        stream = spark.readStream.schema(words.schema).parquet(source)
+        live.late_corrections(stream, "at", 86_400 * 365 * 100, kept, f"{path}/late", f"{path}/checkpoint").awaitTermination()
     return kept.read().where(F.col("call_id") != NOBODY).select("call_id", "seq", "word", "pass_no")
 
 

@@ -143,3 +143,13 @@ def test_whole_calls_of_a_bucket_leave_without_state(spark):
     out = pd.concat(processor.handleInputRows((7,), iter([batch]), Clock()))
     assert out[["call_id", "backlog_sec"]].values.tolist() == [[c, b] for c in range(500) for b in (5.0, 10.0)]
     assert {n: (s.puts, len(s.rows)) for n, s in handle.lists.items()} == {"open": (1, 1), "waiting": (1, 1)} and len(handle.timers) == 1
+
+
+def test_late_corrections_are_written_side_by_side(spark, monkeypatch):
+    """No batch of the replay goes through a single task."""
+    def refused(self, n):
+        raise AssertionError("rows folded into few tasks")
+
+    monkeypatch.setattr(type(spark.range(1)), "coalesce", refused)
+    got = streams.stream_late_corrections(spark, FOLDER)
+    assert 0 < got.where("pass_no = 1").count() == got.where("length(word) > 8 AND word LIKE '%*'").count() < got.count()
