@@ -8,7 +8,7 @@ from callweave.functions import editdist as ed, entities as ent, fixed_values as
 from callweave.operators import diarization as diar, matching, segments as seg, speakers as spk
 from callweave.operators.ordered import running, slice_by, spread
 from callweave.plans import evaluate as ev
-from callweave.session import cut_lineage
+from callweave.session import cut_lineage, stored
 from callweave.plans.transcripts import SECTIONED
 from callweave.plans.adapters import call_segments, heard_sql, heard_text, spoken_sql, spoken_text, table, wide_table, with_tables, word_array, words_sql
 
@@ -493,7 +493,8 @@ def entity_recall(spark, folder):
   SELECT call_id, class, entity, CAST(ref_count AS INTEGER) AS ref_count, CAST(hyp_count AS INTEGER) AS hyp_count, CAST(ref_count - hyp_count AS INTEGER) AS deficit, CASE WHEN hyp_count = 0 THEN 'Missing' ELSE 'Partial' END AS status
   FROM matches WHERE ref_count > hyp_count"""))
 def entity_deficits(spark, folder):
-    return ent.deficits(figure_matches(spark, folder), ["call_id"]).orderBy(F.desc("deficit"))
+    # Stored first: the sort's sampling would find all entities a second time.
+    return stored(ent.deficits(figure_matches(spark, folder), ["call_id"])).orderBy(F.desc("deficit"))
 
 
 @query("dictionary_counts", f"""

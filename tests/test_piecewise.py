@@ -53,3 +53,13 @@ def test_a_long_call_is_many_pieces(spark):
     pairs = spark.createDataFrame([(1, ref, heard(ref, draw, 0.05))], "call_id int, ref array<string>, hyp array<string>")
     found = pieces(pairs).where("NOT run").selectExpr("size(ref_words) AS n").collect()
     assert len(found) > 300 and max(r.n for r in found) < 200
+
+
+def test_deficits_are_found_once(spark):
+    """The sort reads stored rows: its sampling does not go back to the orders."""
+    from callweave.plans import scoring
+
+    out = scoring.entity_deficits(spark, "/root/testdata/sf0.001")
+    assert out.inputFiles() and not any("orders" in f for f in out.inputFiles())
+    found = [r.deficit for r in out.collect()]
+    assert found and found == sorted(found, reverse=True)
