@@ -34,12 +34,11 @@ def chunk_plan(calls: DataFrame, length: float = fv.CHUNK_SEC, overlap: float =
 
 def word_times(segments: DataFrame, words: Column, min_sec: float = 0.0) -> DataFrame:
     """Spreads a segment's time evenly over its words."""
-    n = F.size(words)
-    step = F.greatest(F.col("end") - F.col("start"), F.lit(min_sec)) / n
-    out = segments.select(
-        *[c for c in segments.columns if c not in ("start", "end", "text")],
-        F.col("start").alias("_s"), step.alias("_step"), F.posexplode(words).alias("pos", "word"),
-    )
+    kept = [c for c in segments.columns if c not in ("start", "end", "text")]
+    # The words are split in a step of their own: beside the generator their number would be found anew for every word.
+    split = segments.select(*kept, F.col("start").alias("_s"), F.greatest(F.col("end") - F.col("start"), F.lit(min_sec)).alias("_long"), words.alias("_words"))
+    sized = split.select(*kept, "_s", (F.col("_long") / F.size("_words")).alias("_step"), "_words")
+    out = sized.select(*kept, "_s", "_step", F.posexplode("_words").alias("pos", "word"))
     return out.select(
         *[c for c in out.columns if c not in ("_s", "_step", "pos", "word")], "pos", "word",
         F.round(F.col("_s") + F.col("pos") * F.col("_step"), 3).alias("start"),

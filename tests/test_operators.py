@@ -183,3 +183,16 @@ def test_upsert_overrides_and_capture(spark):
     row = spark.createDataFrame([("https://a.b/x", 16000, 1, 16, "h", 1300.0, 40_000_000)], "source_url string, sample_rate int, channels int, bit_depth int, sha256 string, duration_sec double, file_size long")
     assert row.select(cap.capture_verdict(F.lit(False))).first()[0] == "VALID"
     assert row.select(cap.capture_verdict(F.lit(True))).first()[0].startswith("SHA256 h")
+
+
+def test_word_times_splits_a_segment_once(spark):
+    """Nothing above the generator works on the segment's text: it would do so once for every word."""
+    from callweave.operators import words as wd
+    from callweave.plans.adapters import word_array
+
+    rows = spark.createDataFrame([(1, 0, 2.0, 4.0, " one  two three four "), (1, 1, 4.0, 4.0, "")], "call_id long, idx long, start double, end double, text string")
+    out = wd.word_times(rows, word_array(F.col("text")))
+    above = out._jdf.queryExecution().optimizedPlan().toString().split("Generate")[0]
+    assert "regexp_replace" not in above and "split" not in above
+    assert [tuple(r) for r in out.orderBy("pos").collect()] == [
+        (1, 0, 0, "one", 2.0, 2.5), (1, 0, 1, "two", 2.5, 3.0), (1, 0, 2, "three", 3.0, 3.5), (1, 0, 3, "four", 3.5, 4.0)]
