@@ -26,26 +26,20 @@ def call_scores(reference: DataFrame, hypothesis: DataFrame) -> DataFrame:
         tx.raw_clean(F.col("_r"), True).alias("_rr"), tx.raw_clean(F.col("_h")).alias("_rh"),
         tx.normalize(F.col("_r"), True).alias("_nr"), tx.normalize(F.col("_h")).alias("_nh"),
     )
-    pairs = pairs.select("*", *[tx.words(F.col(c)).alias(f"{c}w") for c in ("_rr", "_rh", "_nr", "_nh")])
-
-    def wer(r, h):
-        return percent(ed.word_error_rate(F.col(f"{r}w"), F.col(f"{h}w")))
-
-    def cer(r, h):
-        return percent(ed.char_error_rate(F.col(r), F.col(h)))
-
+    pairs = pairs.select(
+        "call_id", ed.text_distances(F.col("_rr"), F.col("_rh")).alias("raw"), ed.text_distances(F.col("_nr"), F.col("_nh")).alias("norm"))
+    (raw_wer, raw_cer), (norm_wer, norm_cer) = ed.rates(F.col("raw")), ed.rates(F.col("norm"))
     return pairs.select(
-        "call_id", wer("_rr", "_rh").alias("raw_wer"), wer("_nr", "_nh").alias("norm_wer"),
-        cer("_rr", "_rh").alias("raw_cer"), cer("_nr", "_nh").alias("norm_cer"),
-    )
+        "call_id", percent(raw_wer).alias("raw_wer"), percent(norm_wer).alias("norm_wer"),
+        percent(raw_cer).alias("raw_cer"), percent(norm_cer).alias("norm_cer"))
 
 
 def normal_wer(reference: DataFrame, hypothesis: DataFrame, keys: list[str], name: str) -> DataFrame:
     """Normalised word error rate (percent) per key; 0 where the reference has no words."""
     pairs = reference.select(*keys, F.col("text").alias("_r")).join(hypothesis.select(*keys, F.col("text").alias("_h")), keys, "left")
-    r, h = tx.words(tx.normalize(F.col("_r"), True)), tx.words(tx.normalize(F.col("_h")))
-    pairs = spread(pairs, *keys).select(*keys, r.alias("_r"), h.alias("_h"))
-    rate = F.when(F.size("_r") == 0, 0.0).otherwise(percent(ed.word_error_rate(F.col("_r"), F.col("_h"))))
+    pairs = spread(pairs, *keys).select(*keys, ed.text_distances(
+        tx.normalize(F.col("_r"), True), tx.normalize(F.col("_h")), chars=False).alias("_d"))
+    rate = F.when(F.col("_d.ref_words") == 0, 0.0).otherwise(percent(ed.rates(F.col("_d"))[0]))
     return pairs.select(*keys, rate.alias(name))
 
 
@@ -103,15 +97,13 @@ def compare_versions(reference: DataFrame, new: DataFrame, old: DataFrame) -> Da
 
 def engine_scores(outputs: DataFrame, clips: DataFrame, keys: list[str]) -> DataFrame:
     """Scores of every engine output; null where the clip has no reference.  outputs: keys, clip, text; clips: clip, text."""
-    pairs = outputs.join(clips.select("clip", F.col("text").alias("_r")), "clip", "left")
-    pairs = spread(pairs, *keys, "clip").select(
-        *keys, "clip", F.col("_r").isNotNull().alias("_has"),
-        F.when(F.col("_r").isNotNull(), tx.normalize(F.col("_r"), True)).alias("_nr"),
-        F.when(F.col("_r").isNotNull(), tx.normalize(F.col("text"))).alias("_nh"))
-    pairs = pairs.select("*", tx.words(F.col("_nr")).alias("_wr"), tx.words(F.col("_nh")).alias("_wh"))
-    wer = percent(ed.word_error_rate(F.col("_wr"), F.col("_wh")))
-    cer = percent(ed.char_error_rate(F.col("_nr"), F.col("_nh")))
-    return pairs.select(*keys, "clip", F.when(F.col("_has"), wer).alias("wer_pct"), F.when(F.col("_has"), cer).alias("cer_pct"))
+    # Both sides do their text work before the join, on the spread rows: a reference is normalised once for all engines.
+    said = spread(outputs, "clip").select(*keys, "clip", tx.normalize(F.col("text")).alias("_nh"))
+    right = spread(clips.where(F.col("text").isNotNull()), "clip").select("clip", tx.normalize(F.col("text"), True).alias("_nr"))
+    pairs = said.join(right, "clip", "left").select(*keys, "clip", ed.text_distances(F.col("_nr"), F.col("_nh")).alias("_d"))
+    wer, cer = ed.rates(F.col("_d"))
+    scored = F.col("_d.ref_words").isNotNull()
+    return pairs.select(*keys, "clip", F.when(scored, percent(wer)).alias("wer_pct"), F.when(scored, percent(cer)).alias("cer_pct"))
 
 
 # --- alignment tables --------------------------------------------------------------------------------------------

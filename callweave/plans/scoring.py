@@ -280,8 +280,8 @@ def cer(spark, folder):
 def document_wer(spark, folder):
     """Word error rate of whole documents against their spoken-and-misheard version."""
     docs = wide_table(spark, folder, "documents").select(
-        "doc_id", tx.words(tx.normalize(F.col("text"))).alias("r"), tx.words(tx.normalize(heard_text(F.col("text")))).alias("h"))
-    return docs.select("doc_id", F.size("r").alias("ref_words"), ed.word_error_rate(F.col("r"), F.col("h")).alias("wer"))
+        "doc_id", ed.text_distances(tx.normalize(F.col("text")), tx.normalize(heard_text(F.col("text"))), chars=False).alias("d"))
+    return docs.select("doc_id", F.col("d.ref_words").cast("int").alias("ref_words"), ed.rates(F.col("d"))[0].alias("wer"))
 
 
 HEARD_TEXT = f"""

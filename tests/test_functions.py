@@ -241,3 +241,26 @@ def test_long_chains_read_only_the_runs_they_can_touch(spark):
         assert r[0] == r[1] and r[2] == r[3]
     plan = rows.select(tx.expand_contractions(t).alias("x"))._jdf.queryExecution().optimizedPlan().toString()
     assert "regexp_extract_all" in plan
+
+
+def test_edit_distance_of_pairs_that_differ_little():
+    """Long texts with few edits take work by their edits; results equal the bit vectors'."""
+    import time
+
+    rnd = random.Random(5)
+    text = "".join(rnd.choice("abcdefgh é漢") for _ in range(150_000))
+    other = text[:70_000] + "xyz" + text[70_000:120_000] + text[120_002:]
+    begun = time.perf_counter()
+    assert ed.edit_distance(text, other) == 5 and time.perf_counter() - begun < 3
+    for letters in ("ab", "abcdefgh é漢", [str(k) for k in range(400)]):
+        a = [rnd.choice(letters) for _ in range(600)]
+        b = [rnd.choice(letters) if rnd.random() < 0.1 else x for x in a if rnd.random() > 0.05]
+        for one_side, two_side in ((a, b), ("".join(a), "".join(b))):
+            assert ed._waves(one_side, two_side, 1e12) == ed._bit_vectors(one_side, two_side)
+    assert ed._waves("ab" * 500, "zy" * 500, 100.0) is None
+
+
+def test_text_distances(spark):
+    rows = spark.createDataFrame([("a b c", "a x c d"), ("", "a"), ("", ""), (None, "a")], "r string, h string")
+    out = rows.select(ed.text_distances(F.col("r"), F.col("h")).alias("d")).select("d.*").collect()
+    assert [tuple(r) for r in out] == [(2, 3, 4, 3, 5, 7), (1, 0, 1, 1, 0, 1), (0, 0, 0, 0, 0, 0), (None,) * 6]
