@@ -24,8 +24,9 @@ def slice_by(df: DataFrame, position: str, width: float = SLICE_ROWS) -> DataFra
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:
     """Rows spread by key over all shuffle partitions, ahead of work whose cost is the text, not the bytes.  The fixed
-    partition count keeps the runtime planner from folding small inputs into one task."""
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    partition count keeps the runtime planner from folding small inputs into one task; it differs from that of other
+exchanges, as one by the same keys and count just before (of a grouping) would stand in for it and be folded."""
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) + 1
     return df.repartition(n, *keys)
 
 

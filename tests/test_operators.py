@@ -196,3 +196,11 @@ def test_word_times_splits_a_segment_once(spark):
     assert "regexp_replace" not in above and "split" not in above
     assert [tuple(r) for r in out.orderBy("pos").collect()] == [
         (1, 0, 0, "one", 2.0, 2.5), (1, 0, 1, "two", 2.5, 3.0), (1, 0, 2, "three", 3.0, 3.5), (1, 0, 3, "four", 3.5, 4.0)]
+
+
+def test_spread_after_a_grouping_by_the_same_key(spark):
+    """The exchange of the grouping does not stand in for the spread, or the planner folds it into few tasks."""
+    rows = spark.range(200).select((F.col("id") % 50).alias("call_id"), F.col("id").alias("idx"), F.lit("word").alias("text"))
+    out = ordered.spread(seg.assemble_text(rows, ["call_id"]), "call_id")
+    assert out.rdd.getNumPartitions() > int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert out.count() == 50
