@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from callweave import schemas
 from callweave.operators import segments as seg
+from callweave.operators.ordered import spread
 from callweave.plans.adapters import call_segments, table, with_tables
 from callweave.plans.transcripts import SECTIONED
 from callweave.sources import readers, writers
@@ -83,5 +84,6 @@ def scan_whole_texts(spark, folder):
     """One text file per call; the call's id is in the path."""
     path = scratch(spark)
     rows = table(spark, folder, "conversations").select(F.col("conv_id").alias("call_id"), F.col("turn").alias("idx"), F.coalesce("text", F.lit("")).alias("text"))
-    seg.assemble_text(rows, ["call_id"], sep="\n").withColumnRenamed("text", "value").repartition("call_id").write.partitionBy("call_id").text(path)
+    # A file a call: writing costs the number of files, not their bytes, so the calls are spread over all tasks.
+    spread(seg.assemble_text(rows, ["call_id"], sep="\n"), "call_id").withColumnRenamed("text", "value").write.partitionBy("call_id").text(path)
     return readers.whole_texts(spark, path, call=r"call_id=(-?\d+)/")

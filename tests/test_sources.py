@@ -107,3 +107,15 @@ def test_markdown_tables(spark):
     df = spark.createDataFrame([("r", text), ("s", "nothing")], "name string, text string")
     rows = rp.parse_table(df, "name", "text", "## 2. Mine").orderBy("row_no").collect()
     assert [r.cells for r in rows] == [{"A": "1", "B": "**2**"}, {"A": "3", "B": "4"}]
+
+
+def test_call_files_are_written_by_all_tasks(spark, monkeypatch):
+    """A file a call: the rows reach the writer in more partitions than the planner would fold them into."""
+    from pyspark.sql.readwriter import DataFrameWriter
+
+    from callweave.plans import scans
+
+    parts, write = [], DataFrameWriter.text
+    monkeypatch.setattr(DataFrameWriter, "text", lambda self, path, *a, **k: (parts.append(self._df.rdd.getNumPartitions()), write(self, path, *a, **k))[1])
+    assert scans.scan_whole_texts(spark, "/root/testdata/sf0.001").count() > 0
+    assert parts[0] > int(spark.conf.get("spark.sql.shuffle.partitions"))
