@@ -62,13 +62,27 @@ def _hits(ref: Column, hyp: Column) -> Column:
     return bind(ref, lambda r: F.size(F.filter(hyp, lambda e: F.array_contains(r, e))))
 
 
-def weighted_accuracy(ref: Column, hyp: Column) -> Column:
-    """Array of (class, ref_count, hyp_count, correct, accuracy, weight) for two maps of ``normal_lists``; pass
-    materialised columns."""
+def normal_hits(ref: Column, hyp: Column) -> Column:
+    """Per class, how many entries of ``hyp`` occur in ``ref`` once both are normalised (``normalize_v1``). Equal entries are equal normalised,
+    so only those that ``ref`` lacks as they stand are normalised, and ``ref`` for their sake."""
+    def more(r: Column, rest: Column) -> Column:
+        every = F.transform(F.concat(r, rest), lambda e: normalize_v1(e))
+        return bind(every, lambda n: _hits(F.slice(n, F.lit(1), F.size(r)), F.slice(n, F.size(r) + 1, F.size(rest))))
+
+    def count(side: Column) -> Column:
+        lacking = F.filter(side["h"], lambda e: ~F.array_contains(side["r"], e))
+        return bind(lacking, lambda rest: F.size(side["h"]) - F.size(rest) + F.when(F.size(rest) == 0, 0).otherwise(more(side["r"], rest)))
+
+    return F.transform(F.array(*[F.struct(ref[name].alias("r"), hyp[name].alias("h")) for name, _ in fv.ENTITY_WEIGHTS]), count)
+
+
+def weighted_accuracy(ref: Column, hyp: Column, hits: Column | None = None) -> Column:
+    """Array of (class, ref_count, hyp_count, correct, accuracy, weight) for two maps of ``normal_lists``, or of lists as found where ``hits``
+    has the result of ``normal_hits``; pass materialised columns."""
     rows = []
-    for name, weight in fv.ENTITY_WEIGHTS:
+    for k, (name, weight) in enumerate(fv.ENTITY_WEIGHTS):
         r, h = ref[name], hyp[name]
-        correct = _hits(r, h)
+        correct = _hits(r, h) if hits is None else hits[k]
         accuracy = F.when(F.size(r) == 0, F.when(F.size(h) == 0, 1.0).otherwise(0.95)).otherwise(
             F.round(F.least(F.lit(1.0), correct / F.greatest(F.lit(1), F.size(r))), 4))
         correct = F.when(F.size(r) == 0, 0).otherwise(correct)

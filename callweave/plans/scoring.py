@@ -460,9 +460,10 @@ def _lists7(rel: str) -> str:
 def weighted_entity_accuracy(spark, folder):
     """Seven-class accuracy summed over all calls, one row per class."""
     ref = figure_texts(spark, folder)
-    lists = lambda rows, name: spread(rows, "call_id").select("call_id", ent.normal_lists(ent.entities_7(F.col("text"))).alias(name))
+    lists = lambda rows, name: spread(rows, "call_id").select("call_id", ent.entities_7(F.col("text")).alias(name))
     pairs = lists(ref, "r").join(lists(misheard_figures(ref), "h"), "call_id")
-    rows = pairs.select("call_id", F.inline(ent.weighted_accuracy(F.col("r"), F.col("h"))))
+    pairs = pairs.withColumn("hits", ent.normal_hits(F.col("r"), F.col("h")))
+    rows = pairs.select("call_id", F.inline(ent.weighted_accuracy(F.col("r"), F.col("h"), F.col("hits"))))
     return rows.groupBy("class").agg(
         F.sum("ref_count").alias("ref_count"), F.sum("hyp_count").alias("hyp_count"), F.sum("correct").alias("correct"),
         (F.sum(F.col("accuracy").cast("decimal(18,4)")).cast("double") / F.count(F.lit(1))).alias("accuracy"))

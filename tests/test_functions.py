@@ -264,3 +264,14 @@ def test_text_distances(spark):
     rows = spark.createDataFrame([("a b c", "a x c d"), ("", "a"), ("", ""), (None, "a")], "r string, h string")
     out = rows.select(ed.text_distances(F.col("r"), F.col("h")).alias("d")).select("d.*").collect()
     assert [tuple(r) for r in out] == [(2, 3, 4, 3, 5, 7), (1, 0, 1, 1, 0, 1), (0, 0, 0, 0, 0, 0), (None,) * 6]
+
+
+def test_normal_hits_equal_those_of_normal_lists(spark):
+    """Hits found by normalising only what the reference lacks are those of the lists normalised in full."""
+    texts = [("$5 billion and 12 % by Tim Cook in Q3", "$5 Billion, 12% by TIM COOK in Q3"), ("MSFT, Azure, 3 percent", "nothing"), ("", "$7b FY2024"),
+             ("10 million, 10 million, 4%", "10 million dollars, $10 million, 4 percent, 4%")]
+    found = spark.createDataFrame(texts, "r string, h string").select(*[ent.entities_7(F.col(c)).alias(c) for c in "rh"]).cache()
+    fast = ent.weighted_accuracy(F.col("r"), F.col("h"), ent.normal_hits(F.col("r"), F.col("h")))
+    full = found.select(ent.normal_lists(F.col("r")).alias("r"), ent.normal_lists(F.col("h")).alias("h")).cache()
+    got, want = found.select(fast.alias("x")).collect(), full.select(ent.weighted_accuracy(F.col("r"), F.col("h")).alias("x")).collect()
+    assert got == want and any(s.correct for row in got for s in row.x)
