@@ -438,10 +438,11 @@ def scored(docs: DataFrame, learn: Column, s: Settings = Settings()) -> DataFram
             word, rows = words(piece.column("text"))
             at = np.minimum(np.searchsorted(key, word), max(0, len(key) - 1))
             c = np.where(key[at] == word, value[at], 0.0) if len(word) else np.zeros(0)
-            share = np.concatenate([[0.0], np.cumsum(np.log10(c + 0.5) - log_base)])
+            # The end token after each row's words; every row is summed by itself, so that equal texts have equal sums wherever they stand.
+            share = np.insert(np.log10(c + 0.5), rows[1:], np.log10(ends + 0.5)) - log_base
             seen = np.concatenate([[0], np.cumsum(c > 0)])
             n = np.diff(rows) + 1
-            base = share[rows[1:]] - share[rows[:-1]] + np.log10(ends + 0.5) - log_base
+            base = np.add.reduceat(share, rows[:-1] + np.arange(len(n)))
             known_ = seen[rows[1:]] - seen[rows[:-1]] + (ends > 0)
             columns = [piece.column("doc_id").combine_chunks(), pa.array(n), pa.array(known_), pa.array(np.full(len(n), size)), pa.array(base), pa.array(chance), pa.array(10 ** np.minimum(300, -chance / n))]
             out.append(pa.table(columns, ["doc_id", "n_tokens", "n_known", "train_tokens", "base_score", "score", "perplexity"]))

@@ -14,7 +14,7 @@ import sentencepiece
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from callweave.llm import alignment, clustering, common, lines, perfecthash, pitmanyor, quality, tokenfiles, vocabularies, wavelet
+from callweave.llm import alignment, clustering, common, components, lines, perfecthash, pitmanyor, quality, tokenfiles, vocabularies, wavelet
 from callweave.llm.bpe import FROM_SHOWN
 from odd_rows import CLASHING, ROWS
 
@@ -308,3 +308,10 @@ def test_line_signs_and_early_exit():
         for half in range(2):
             bits = np.unpackbits(common.mix(grams + np.uint64((half + 1) * 0x9E3779B97F4A7C15 % (1 << 64))).view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
             assert signs[k, half] == np.packbits(2 * bits.sum(0) > len(grams), bitorder="little").view(np.uint64)[0]
+
+
+def test_base_score_does_not_depend_on_neighbours(spark):
+    """Rows of one text have one base score, whatever stands before them in their block."""
+    rows = [(k, "one text " * (k % 7) if k % 3 else "the same words all over") for k in range(300)]
+    out = pitmanyor.scored(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1), F.lit(True)).collect()
+    assert len({r.base_score for r in out if r.doc_id % 3 == 0}) == 1
