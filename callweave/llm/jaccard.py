@@ -254,8 +254,9 @@ def _verified(pairs: DataFrame, rows: DataFrame, docs: DataFrame, n: int, percen
     return pairs.join(right, "b").join(left, "a").mapInArrow(work, "a long, b long").distinct()
 
 
-def near_classes(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
-    """doc_id, n_shingles, component_id: the least doc_id reachable over pairs with 100 * intersection >= percent * union."""
+def near_classes(docs: DataFrame, n: int = 5, percent: int = 80, passes: int = 1) -> DataFrame:
+    """doc_id, n_shingles, component_id: the least doc_id reachable over pairs with 100 * intersection >= percent * union. The index goes
+    through the shuffle in so many passes."""
     rows = indexed(docs, n, percent)
     index = rows.where("node IS NOT NULL").select(F.explode("keys").alias("key"), "node")
     sized = common.written(rows.where("node IS NOT NULL").groupBy("node").agg(F.first("n").alias("size"), F.first("counters").alias("counters")))
@@ -271,14 +272,16 @@ def near_classes(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
         return (100 + percent) * np.maximum(apart, np.abs(full).sum(2)) <= (100 - percent) * (nx[:, None] + ny[None, :])
 
     found = components.grouped(
-        components.shared_keys(index), lambda pairs: _verified(common.written(_possible(pairs, sized, percent)), rows, docs, n, percent), traits, may
+        components.shared_keys(index, passes), lambda pairs: _verified(common.written(_possible(pairs, sized, percent)), rows, docs, n, percent), traits, may
     )
 
     named = rows.join(found, "node", "left").withColumn("class", F.coalesce("component", "node"))
     least = named.where("class IS NOT NULL").groupBy("class").agg(F.min("doc_id").alias("least"))
-    return named.join(least, "class", "left").select(
+    out = common.written(named.join(least, "class", "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("class").isNull(), F.col("doc_id")).otherwise(F.col("least")).alias("component_id")
-    )
+    ))
+    common.removed(rows, sized)
+    return out
 
 
 def op7_jaccard(spark: SparkSession, folder: str) -> DataFrame:

@@ -315,3 +315,9 @@ def test_base_score_does_not_depend_on_neighbours(spark):
     rows = [(k, "one text " * (k % 7) if k % 3 else "the same words all over") for k in range(300)]
     out = pitmanyor.scored(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1), F.lit(True)).collect()
     assert len({r.base_score for r in out if r.doc_id % 3 == 0}) == 1
+
+
+def test_passes_give_the_same_keys(spark):
+    index = spark.createDataFrame([(k * 7919 - 50_000, n) for k in range(300) for n in range(k % 4 + 1)], "key long, node long")
+    one, four = (sorted(map(tuple, components.shared_keys(index, n).collect())) for n in (1, 4))
+    assert one == four and one
