@@ -30,6 +30,8 @@ from callweave.llm import common
 END, DEPTH = 0xFF, 5
 #: Text bytes of a scoring block.
 BLOCK_BYTES = 24 << 20
+#: Text bytes whose n-grams are made at a time (an n-gram is eight bytes), and keys that a gathering task holds.
+GRAM_BYTES, HELD = 1 << 19, 1_000_000
 
 _HASHER = common.Hasher(fold=True, seed=2)
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -56,7 +58,8 @@ class Settings:
 
 def grams(texts: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     """Key of each symbol with its context (six bytes of an integer), and each row's first symbol (one more entry than rows)."""
-    closed = pc.binary_join_element_wise(pc.fill_null(texts, "").cast(pa.binary()), pa.scalar(b" \xff"), pa.scalar(b""))
+    # Ends ahead of a row stand for the symbols that its first contexts lack.
+    closed = pc.binary_join_element_wise(pa.scalar(b"\xff" * DEPTH), pc.fill_null(texts, "").cast(pa.binary()), pa.scalar(b" \xff"), pa.scalar(b""))
     if isinstance(closed, pa.ChunkedArray):
         closed = closed.combine_chunks()
     data = _LOWER[np.frombuffer(b"".join(closed.to_pylist()), np.uint8)]
@@ -64,16 +67,15 @@ def grams(texts: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     solid = ~space & (data != END)
     keep = ~space
     keep[1:] |= space[1:] & solid[:-1]
-    symbols = np.where(space, 32, data)[keep].astype(np.int64)
-    last = np.flatnonzero(symbols == END)
-    first = np.concatenate([[0], last + 1])
-    place = np.arange(len(symbols)) - np.repeat(first[:-1], np.diff(first))
-    key = symbols.copy()
+    data[space] = 32
+    symbols = data[keep]
+    ends = np.flatnonzero(symbols == END).reshape(-1, DEPTH + 1)
+    key = symbols.astype(np.int64)
     for j in range(1, DEPTH + 1):
-        before = np.full(len(symbols), END, np.int64)
-        before[j:] = np.where(place[j:] >= j, symbols[:-j], END)
-        key |= before << (8 * j)
-    return key, first
+        key[j:] |= symbols[:-j].astype(np.int64) << (8 * j)
+    own = np.ones(len(symbols), bool)
+    own[ends[:, :-1]] = False
+    return key[own], np.concatenate([[0], np.cumsum(ends[:, -1] - ends[:, -2])])
 
 
 def words(texts: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
@@ -85,33 +87,43 @@ def words(texts: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
 END_WORD = int((common.mix(np.array([20], np.uint64)) | _WORD).view(np.int64)[0])
 
 
+def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """key, n of the texts of a task: every word and n-gram, and how often it stands where `learn` holds. Keys may come more than once."""
+    kept: list[tuple[np.ndarray, np.ndarray]] = []
+    for piece in common.pieces(batches, size=GRAM_BYTES):
+        learn = piece.column("learn").to_numpy().astype(bool)
+        for of in (grams, words):
+            key, rows = of(piece.column("text"))
+            learnt = np.repeat(learn, np.diff(rows))
+            kept.append(np.unique(key[learnt], return_counts=True))
+            rest = _distinct(key[~learnt])
+            kept.append((rest, np.zeros(len(rest), np.int64)))
+        kept.append((np.array([END_WORD]), np.array([learn.sum()])))
+        if sum(len(u) for u, _ in kept) > 2 * HELD:
+            kept = [_merged(kept)]
+            if len(kept[0][0]) > HELD:
+                yield from _batches(*kept.pop())
+    if kept:
+        yield from _batches(*_merged(kept))
+
+
 def gathered(docs: DataFrame) -> DataFrame:
     """key, n: how often every word and n-gram of the corpus stands in training documents (0 for those of other documents alone)."""
-    rows = docs.select("learn", "text")
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept, size = [], 0
-        for piece in common.pieces(batches):
-            learn = piece.column("learn").to_numpy().astype(np.int64)
-            for key, rows in (grams(piece.column("text")), words(piece.column("text"))):
-                u, at = np.unique(key, return_inverse=True)
-                kept.append((u, np.bincount(at, np.repeat(learn, np.diff(rows)), len(u)).astype(np.int64)))
-            kept.append((np.array([END_WORD]), np.array([learn.sum()])))
-            size = sum(len(u) for u, _ in kept)
-            if size > 3_000_000:
-                kept = [_merged(kept)]
-                if len(kept[0][0]) > 1_500_000:
-                    yield from _batches(*kept.pop())
-        if kept:
-            yield from _batches(*_merged(kept))
-
-    return common.written(rows.mapInArrow(work, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")))
+    return common.written(docs.select("learn", "text").mapInArrow(counted, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")))
+
+
+def _distinct(keys: np.ndarray) -> np.ndarray:
+    """The keys once each, sorted. `np.unique` of numpy 2.3 hashes whole numbers, which takes several times as long."""
+    keys = np.sort(keys)
+    return keys[np.concatenate([[True], keys[1:] != keys[:-1]])] if len(keys) else keys
 
 
 def _merged(kept: list) -> tuple[np.ndarray, np.ndarray]:
     keys, n = np.concatenate([u for u, _ in kept]), np.concatenate([c for _, c in kept])
-    u, at = np.unique(keys, return_inverse=True)
-    return u, np.bincount(at, n, len(u)).astype(np.int64)
+    order = np.argsort(keys)
+    keys, n = keys[order], n[order]
+    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+    return keys[first], np.add.reduceat(n, first)
 
 
 def _batches(keys: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
@@ -119,93 +131,95 @@ def _batches(keys: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(keys[lo : lo + (1 << 16)]), pa.array(n[lo : lo + (1 << 16)])], ["key", "n"])
 
 
-def _split(draw: np.random.Generator, k: np.ndarray, weight: np.ndarray, first: np.ndarray, dish: np.ndarray) -> np.ndarray:
-    """Customers that each table gets when k[i] of them choose among the tables of dish[i] by weight: table after table, a binomial share of
-    those left. `first` has each dish's first table (one more entry than dishes)."""
-    out = np.zeros(len(weight), np.int64)
-    rest, at, end = k.copy(), first[dish], first[dish + 1]
-    ends = np.concatenate([[0.0], np.cumsum(weight)])
-    whole = ends[end] - ends[at]
-    open_ = np.flatnonzero(rest > 0)
-    while len(open_):
-        here = at[open_]
-        last = here + 1 >= end[open_]
-        share = np.where(last, 1.0, np.clip(weight[here] / np.maximum(whole[open_], 1e-300), 0, 1))
-        got = draw.binomial(rest[open_], share)
-        out[here] += got
-        rest[open_] -= got
-        whole[open_] -= weight[here]
-        at[open_] += 1
-        open_ = open_[rest[open_] > 0]
-    return out
-
-
 class Level:
-    """Restaurants of one context length. The seating is kept: `dish` and `size` of every table, in order of dishes."""
+    """Restaurants of one context length. The seating is kept: `dish` and `size` of every table, in order of dishes, and `number` of tables of each dish."""
 
     def __init__(self, room: np.ndarray, discount: float, strength: float, draw: np.random.Generator) -> None:
         self.room, self.rooms = room, int(room.max(initial=-1)) + 1
         self.discount, self.strength, self.draw = discount, strength, draw
-        self.customers = np.zeros(len(room), np.int64)
+        self.customers, self.number = np.zeros(len(room), np.int64), np.zeros(len(room), np.int64)
         self.dish = self.size = np.zeros(0, np.int64)
 
     def _first(self) -> np.ndarray:
-        return np.concatenate([[0], np.cumsum(np.bincount(self.dish, minlength=len(self.room)))])
+        first = np.zeros(len(self.room) + 1, np.int64)
+        np.cumsum(self.number, out=first[1:])
+        return first
 
     def leave(self, dish: np.ndarray, k: np.ndarray) -> None:
         """k[i] customers of dish[i], drawn at random, leave; empty tables go."""
-        first = self._first()
-        rest, at = k.copy(), first[dish]
-        whole = self.customers[dish].copy()
-        open_ = np.flatnonzero(rest > 0)
-        while len(open_):
-            here = at[open_]
-            own = self.size[here]
-            others = whole[open_] - own
-            most = np.minimum(own, rest[open_])
-            small = own + others < 1_000_000_000
-            gone = np.zeros(len(open_), np.int64)
-            gone[small] = self.draw.hypergeometric(own[small], others[small], rest[open_][small])
-            # Beyond the sizes that numpy's hypergeometric law takes, the binomial one is as good.
-            gone[~small] = self.draw.binomial(rest[open_][~small], own[~small] / whole[open_][~small])
-            gone = np.clip(gone, np.maximum(rest[open_] - others, 0), most)
-            self.size[here] -= gone
-            rest[open_] -= gone
-            whole[open_] -= own
-            at[open_] += 1
-            open_ = open_[rest[open_] > 0]
+        at, one = self._first()[dish], self.number[dish] == 1
+        # They all leave a dish's only table.
+        self.size[at[one]] -= k[one]
+        open_ = np.flatnonzero(~one & (k > 0))
+        at, rest, whole = at[open_], k[open_], self.customers[dish[open_]]
+        while len(at):
+            own = self.size[at]
+            others = whole - own
+            small = whole < 1_000_000_000
+            if small.all():
+                gone = self.draw.hypergeometric(own, others, rest)
+            else:
+                gone = np.zeros(len(at), np.int64)
+                gone[small] = self.draw.hypergeometric(own[small], others[small], rest[small])
+                # Beyond the sizes that numpy's hypergeometric law takes, the binomial one is as good.
+                gone[~small] = self.draw.binomial(rest[~small], own[~small] / whole[~small])
+            gone = np.clip(gone, np.maximum(rest - others, 0), np.minimum(own, rest))
+            self.size[at] -= gone
+            rest = rest - gone
+            more = rest > 0
+            at, rest, whole = at[more] + 1, rest[more], others[more]
         self.customers[dish] -= k
         keep = self.size > 0
+        np.subtract.at(self.number, self.dish[~keep], 1)
         self.dish, self.size = self.dish[keep], self.size[keep]
 
+    def _join(self, k: np.ndarray, dish: np.ndarray, first: np.ndarray) -> None:
+        """k[i] customers choose among the tables of dish[i] by size less discount: table after table, a binomial share of those left."""
+        at, number = first[dish], self.number[dish]
+        one = (number == 1) & (k > 0)
+        self.size[at[one]] += k[one]
+        open_ = np.flatnonzero((number > 1) & (k > 0))
+        at, rest, number = at[open_], k[open_], number[open_]
+        whole = self.customers[dish[open_]] - self.discount * number
+        while len(at):
+            weight = self.size[at] - self.discount
+            share = np.where(number == 1, 1.0, np.minimum(weight / np.maximum(whole, 1e-300), 1))
+            got = self.draw.binomial(rest, share)
+            self.size[at] += got
+            rest = rest - got
+            more = rest > 0
+            at, rest, number, whole = at[more] + 1, rest[more], number[more] - 1, (whole - weight)[more]
+
     def enter(self, dish: np.ndarray, k: np.ndarray, base: np.ndarray, blocks: int = 2) -> None:
         """k[i] customers of dish[i] are seated in turn; rates stay the same inside one of the blocks, which double where few are seated."""
-        rest = k.copy()
-        while True:
-            some = np.flatnonzero(rest > 0)
-            if not len(some):
-                return
-            d, tables = dish[some], self.tables()
-            total = np.bincount(self.room, tables, self.rooms)
-            seated, own = self.customers[d], tables[d]
-            many = np.minimum(rest[some], np.maximum(-(-k[some] // blocks), 1))
-            many = np.where(seated == 0, 1, np.minimum(many, seated // 4 + 1))
-            fresh = (self.strength + self.discount * total[self.room[d]]) * base[d]
-            new = self.draw.binomial(many, np.where(seated == 0, 1.0, np.clip(fresh / (fresh + seated - self.discount * own), 0, 1)))
-            self.size += _split(self.draw, many - new, self.size - self.discount, self._first(), d)
+        some = np.flatnonzero(k > 0)
+        d, rest, most = dish[some], k[some], np.maximum(-(-k[some] // blocks), 1)
+        total, first = np.bincount(self.room, self.number, self.rooms), self._first()
+        while len(d):
+            seated, room = self.customers[d], self.room[d]
+            many = np.minimum(np.minimum(rest, most), np.where(seated == 0, 1, seated // 4 + 1))
+            fresh = (self.strength + self.discount * total[room]) * base[d]
+            new = self.draw.binomial(many, np.where(seated == 0, 1.0, np.clip(fresh / (fresh + seated - self.discount * self.number[d]), 0, 1)))
+            self._join(many - new, d, first)
             self.customers[d] += many
-            rest[some] -= many
-            added = np.repeat(d, new)
-            order = np.argsort(np.concatenate([self.dish, added]), kind="stable")
-            self.dish = np.concatenate([self.dish, added])[order]
-            self.size = np.concatenate([self.size, np.ones(len(added), np.int64)])[order]
+            made = np.flatnonzero(new)
+            if len(made):
+                added = np.repeat(d[made], new[made])
+                spots = first[added + 1]
+                self.dish, self.size = np.insert(self.dish, spots, added), np.insert(self.size, spots, 1)
+                self.number[d] += new
+                np.add.at(total, room[made], new[made])
+                first = self._first()
+            rest = rest - many
+            more = rest > 0
+            d, rest, most = d[more], rest[more], most[more]
 
     def arrange(self, customers: np.ndarray, base: np.ndarray) -> None:
         """Customers come or go until there are as many as given; all others keep their tables. The chain starts with one table a dish:
         from there the steps come near the law soonest, since tables of many customers rarely empty."""
         if not len(self.dish):
             self.customers, self.dish = customers.copy(), np.flatnonzero(customers)
-            self.size = customers[self.dish].copy()
+            self.size, self.number = customers[self.dish].copy(), (customers > 0).astype(np.int64)
             return
         change = customers - self.customers
         gone, come = np.flatnonzero(change < 0), np.flatnonzero(change > 0)
@@ -223,11 +237,8 @@ class Level:
             self.leave(some, k)
             self.enter(some, k, base)
 
-    def tables(self) -> np.ndarray:
-        return np.bincount(self.dish, minlength=len(self.room))
-
     def predictive(self, base: np.ndarray) -> np.ndarray:
-        tables = self.tables()
+        tables = self.number
         c, t = np.bincount(self.room, self.customers, self.rooms)[self.room], np.bincount(self.room, tables, self.rooms)[self.room]
         return (np.maximum(self.customers - self.discount * tables, 0) + (self.strength + self.discount * t) * base) / (self.strength + c)
 
@@ -257,7 +268,7 @@ def sample(keys: np.ndarray, n: np.ndarray, depths: tuple[int, ...], base: np.nd
             for _ in range(s.steps):
                 levels[k].step(law[k], s.share)
             if k:
-                customers = np.bincount(up[k - 1], levels[k].tables(), len(parts[k - 1][0])).astype(np.int64)
+                customers = np.bincount(up[k - 1], levels[k].number, len(parts[k - 1][0])).astype(np.int64)
         p = base
         for k, level in enumerate(levels):
             law[k] = p
@@ -266,7 +277,7 @@ def sample(keys: np.ndarray, n: np.ndarray, depths: tuple[int, ...], base: np.nd
                 p = p[up[k]]
         if sweep >= s.burn:
             out += p
-    return (out / s.samples)[parts[-1][1]], parts[0][0], levels[0].tables()
+    return (out / s.samples)[parts[-1][1]], parts[0][0], levels[0].number
 
 
 def _subtrees(batches: Iterator[pa.RecordBatch], together: int) -> Iterator[tuple[np.ndarray, np.ndarray, bool, bool]]:
@@ -406,18 +417,18 @@ def scored(docs: DataFrame, learn: Column, s: Settings = Settings()) -> DataFram
     def asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Every word and n-gram of a block once."""
         found: dict[int, list[np.ndarray]] = {}
-        for piece in common.pieces(batches):
+        for piece in common.pieces(batches, size=GRAM_BYTES):
             block = piece.column("block").to_numpy()
             for key, first in (grams(piece.column("text")), words(piece.column("text"))):
                 of = np.repeat(block, np.diff(first))
                 for b in np.unique(block):
                     kept = found.setdefault(int(b), [])
-                    kept.append(np.unique(key[of == b]))
+                    kept.append(_distinct(key[of == b]))
                     # Merged now and then: the runs gathered since are as long as what is kept.
                     if sum(map(len, kept[1:])) > max(1_000_000, len(kept[0])):
-                        found[int(b)] = [np.unique(np.concatenate(kept))]
+                        found[int(b)] = [_distinct(np.concatenate(kept))]
         for b, kept in found.items():
-            keys = np.unique(np.concatenate(kept))
+            keys = _distinct(np.concatenate(kept))
             for lo in range(0, len(keys), 1 << 16):
                 part = keys[lo : lo + (1 << 16)]
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(part), b, np.int32)), pa.array(part)], ["block", "key"])
@@ -431,10 +442,14 @@ def scored(docs: DataFrame, learn: Column, s: Settings = Settings()) -> DataFram
         key, value = right.column("key").to_numpy(), right.column("p").to_numpy()
         order = np.argsort(key)
         key, value = key[order], value[order]
+        log = np.log10(np.maximum(value, 1e-300))
         out = []
-        for piece in common.pieces(iter(left.combine_chunks().to_batches())):
+        for piece in common.pieces(iter(left.combine_chunks().to_batches()), size=GRAM_BYTES):
             gram, first = grams(piece.column("text"))
-            chance = np.add.reduceat(np.log10(value[np.searchsorted(key, gram)]), first[:-1])
+            # Looked up in order: near keys stand near each other.
+            order, each = np.argsort(gram), np.empty(len(gram))
+            each[order] = log[np.searchsorted(key, gram[order])]
+            chance = np.add.reduceat(each, first[:-1])
             word, rows = words(piece.column("text"))
             at = np.minimum(np.searchsorted(key, word), max(0, len(key) - 1))
             c = np.where(key[at] == word, value[at], 0.0) if len(word) else np.zeros(0)

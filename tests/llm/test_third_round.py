@@ -321,3 +321,26 @@ def test_passes_give_the_same_keys(spark):
     index = spark.createDataFrame([(k * 7919 - 50_000, n) for k in range(300) for n in range(k % 4 + 1)], "key long, node long")
     one, four = (sorted(map(tuple, components.shared_keys(index, n).collect())) for n in (1, 4))
     assert one == four and one
+
+
+def test_gathering_holds_little_at_a_time():
+    """A task's n-grams are made from pieces of bounded size, and counted as a plain count has them."""
+    import tracemalloc
+
+    draw = np.random.default_rng(3)
+    texts = ["".join(chr(97 + c) if c < 26 else " " for c in draw.integers(0, 30, 200_000)) for _ in range(30)]
+    batch = pa.RecordBatch.from_arrays([pa.array([k % 3 > 0 for k in range(len(texts))]), pa.array(texts)], ["learn", "text"])
+    tracemalloc.start()
+    keys, n = [], []
+    for found in pitmanyor.counted(iter([batch])):
+        keys.append(found.column("key").to_numpy().copy()), n.append(found.column("n").to_numpy().copy())
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    # 6 MB of text whose n-grams are nearly all distinct; the 16 bytes of each key that goes out are held here.
+    assert peak < 16 * sum(map(len, keys)) + (160 << 20)
+    out, n = np.concatenate(keys), np.concatenate(n)
+    got, at = np.unique(out, return_inverse=True)
+    every = [np.concatenate([*(f(pa.chunked_array([[t]]))[0] for f in (pitmanyor.grams, pitmanyor.words)), [pitmanyor.END_WORD]]) for t in texts]
+    want, of = np.unique(np.concatenate(every), return_inverse=True)
+    learnt = np.repeat([k % 3 > 0 for k in range(len(texts))], [len(e) for e in every])
+    assert (got == want).all() and (np.bincount(at, n) == np.bincount(of, learnt)).all()
