@@ -21,6 +21,10 @@ from callweave.sources.keyed_table import KeyedTable
 from callweave.session import STATE_STORE, shared_folder
 
 
+#: Buckets of calls that share a state row; the number must stay for a stream's lifetime.
+BUCKETS = 1024
+
+
 # --- plumbing ---------------------------------------------------------------------------------------------------
 
 def scratch(spark: SparkSession) -> str:
@@ -123,46 +127,66 @@ def own_words_live(words: DataFrame, delay: str, step: float = fv.CHUNK_SEC - fv
     late = F.col("start") >= (F.col("chunk_idx") + 1) * step + margin
     mine = (F.col("chunk_idx") == 0) | (F.col("start") >= F.col("chunk_idx") * step + margin)
     flags = words.withColumn("_tail", F.coalesce(late, F.lit(False))).withColumn("_mine", F.coalesce(mine, F.lit(False)))
-    rows = flags.withWatermark("at", delay).dropDuplicatesWithinWatermark(["call_id", "chunk_idx", "start", "word", "closes"])
+    # A bucket is the calls of one hash: state and frames cost the same for one call as for hundreds. Calls without id have one of their own.
+    bucket = F.when(F.col("call_id").isNull(), -1).otherwise(F.pmod(F.xxhash64("call_id"), F.lit(BUCKETS)).cast("int"))
+    rows = flags.withWatermark("at", delay).dropDuplicatesWithinWatermark(["call_id", "chunk_idx", "start", "word", "closes"]).withColumn("_bucket", bucket)
     kind = dict(words.dtypes)
+    columns = ["call_id", "chunk_idx", "seq", "word", "start"]
     schema = f"call_id {kind['call_id']}, chunk_idx {kind['chunk_idx']}, seq {kind['seq']}, word string, start double"
-    columns = ["chunk_idx", "seq", "word", "start"]
 
     def hold(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        top, seen, total, held = state.get if state.exists else (-1, 0, -1, [])
-        out, held = [], [list(h) for h in held]
-        if state.hasTimedOut:
-            out = held
-            state.remove()
-        else:
-            last = 0
-            for batch in batches:
-                if len(batch):
-                    ends = batch.loc[batch["closes"]]
-                    total = max(total, int(ends["seq"].max())) if len(ends) else total
-                    seen += int((~batch["closes"]).sum())
-                    top = max(top, int(batch["chunk_idx"].max()))
-                    last = max(last, int(batch["at"].max().timestamp() * 1000))
-                    own = batch.loc[batch["_mine"] & ~batch["closes"]]
-                    out += own.loc[~own["_tail"], columns].values.tolist()
-                    held += own.loc[own["_tail"], columns].values.tolist()
-            held = [h for h in held if h[0] >= top]
-            if total >= 0:
+        """calls: last chunk seen, rows seen, rows told by the marker, timer; held: a call's words in doubt."""
+        kept, words_ = state.get if state.exists else ([], [])
+        calls, held, out, now = {c[0]: list(c[1:]) for c in kept}, {}, [], state.getCurrentWatermarkMs()
+        for h in words_:
+            held.setdefault(h[0], []).append(tuple(h))
+        met: dict = {}
+        for batch in () if state.hasTimedOut else batches:
+            if not len(batch):
+                continue
+            batch = batch.assign(_at=batch["at"].astype("datetime64[ms]").astype("int64"), _total=batch["seq"].where(batch["closes"]), _word=~batch["closes"])
+            each = batch.groupby("call_id", sort=False, dropna=False).agg(top=("chunk_idx", "max"), seen=("_word", "sum"), total=("_total", "max"), last=("_at", "max"))
+            for call, top, seen, total, last in zip(each.index.tolist(), *(each[c].tolist() for c in each.columns)):
+                call = None if pd.isna(call) else call
+                own = calls.setdefault(call, [-1, 0, -1, 0])
+                own[0], own[1] = max(own[0], int(top)), own[1] + int(seen)
+                own[2] = own[2] if pd.isna(total) else max(own[2], int(total))
+                met[call] = max(met.get(call, 0), int(last))
+            own = batch.loc[batch["_mine"] & batch["_word"]]
+            sure = own.loc[~own["_tail"], columns]
+            if len(sure):
+                yield sure
+            for row in own.loc[own["_tail"], columns].astype(object).values.tolist():
+                row[0] = None if pd.isna(row[0]) else row[0]
+                held.setdefault(row[0], []).append(tuple(row))
+        for call in [c for c in calls if c in met or calls[c][3] <= now]:
+            own, mine = calls[call], held.pop(call, [])
+            if call not in met:
+                # Quiet past the watermark: what it holds is its last chunk's.
+                out += mine
+                del calls[call]
+                continue
+            mine = [h for h in mine if h[1] >= own[0]]
+            if own[2] >= 0:
                 # The last chunk is known: what is held is its own.
-                out, held = out + held, []
-            if seen == total:
-                if state.exists:
-                    state.remove()
-            else:
-                state.update((top, seen, total, [tuple(h) for h in held]))
-                state.setTimeoutTimestamp(max(last, state.getCurrentWatermarkMs() + 1) + int(quiet * 1000))
+                out, mine = out + mine, []
+            if own[1] == own[2]:
+                del calls[call]
+                continue
+            own[3] = max(met[call], now + 1) + int(quiet * 1000)
+            if mine:
+                held[call] = mine
+        if calls:
+            state.update(([(c, *v) for c, v in calls.items()], [h for mine in held.values() for h in mine]))
+            state.setTimeoutTimestamp(max(now + 1, min(v[3] for v in calls.values())))
+        elif state.exists:
+            state.remove()
         if out:
-            frame = pd.DataFrame(out, columns=columns)
-            frame.insert(0, "call_id", key[0])
-            yield frame
+            yield pd.DataFrame(out, columns=columns)
 
-    return rows.groupBy("call_id").applyInPandasWithState(
-        hold, schema, f"top int, seen long, total long, held array<struct<chunk_idx:{kind['chunk_idx']},seq:{kind['seq']},word:string,start:double>>",
+    call, row = f"call_id:{kind['call_id']}", f"chunk_idx:{kind['chunk_idx']},seq:{kind['seq']},word:string,start:double"
+    return rows.groupBy("_bucket").applyInPandasWithState(
+        hold, schema, f"calls array<struct<{call},top:int,seen:long,total:long,timer:long>>, held array<struct<{call},{row}>>",
         "append", GroupStateTimeout.EventTimeTimeout)
 
 
