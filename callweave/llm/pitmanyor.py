@@ -118,6 +118,16 @@ def _distinct(keys: np.ndarray) -> np.ndarray:
     return keys[np.concatenate([[True], keys[1:] != keys[:-1]])] if len(keys) else keys
 
 
+def _looked_up(gram: np.ndarray, key: np.ndarray, value: np.ndarray) -> np.ndarray:
+    """The value of each n-gram, all of which are among the sorted keys. Sought in order, with the place in a run of n-grams as the low 16 bits."""
+    out = np.empty(len(gram))
+    for lo in range(0, len(gram), 1 << 16):
+        run = gram[lo : lo + (1 << 16)].astype(np.uint64) << np.uint64(16)
+        run = np.sort(run | np.arange(len(run), dtype=np.uint64))
+        out[lo + (run & np.uint64(0xFFFF)).astype(np.int64)] = value[np.searchsorted(key, (run >> np.uint64(16)).astype(np.int64))]
+    return out
+
+
 def _merged(kept: list) -> tuple[np.ndarray, np.ndarray]:
     keys, n = np.concatenate([u for u, _ in kept]), np.concatenate([c for _, c in kept])
     order = np.argsort(keys)
@@ -446,10 +456,7 @@ def scored(docs: DataFrame, learn: Column, s: Settings = Settings()) -> DataFram
         out = []
         for piece in common.pieces(iter(left.combine_chunks().to_batches()), size=GRAM_BYTES):
             gram, first = grams(piece.column("text"))
-            # Looked up in order: near keys stand near each other.
-            order, each = np.argsort(gram), np.empty(len(gram))
-            each[order] = log[np.searchsorted(key, gram[order])]
-            chance = np.add.reduceat(each, first[:-1])
+            chance = np.add.reduceat(_looked_up(gram, key, log), first[:-1])
             word, rows = words(piece.column("text"))
             at = np.minimum(np.searchsorted(key, word), max(0, len(key) - 1))
             c = np.where(key[at] == word, value[at], 0.0) if len(word) else np.zeros(0)

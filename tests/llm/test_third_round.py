@@ -344,3 +344,12 @@ def test_gathering_holds_little_at_a_time():
     want, of = np.unique(np.concatenate(every), return_inverse=True)
     learnt = np.repeat([k % 3 > 0 for k in range(len(texts))], [len(e) for e in every])
     assert (got == want).all() and (np.bincount(at, n) == np.bincount(of, learnt)).all()
+
+
+def test_values_are_looked_up_in_place():
+    draw = np.random.default_rng(4)
+    key = np.unique(np.concatenate([draw.integers(0, 1 << 48, 5000), [0, (1 << 48) - 1]]))
+    gram = key[draw.integers(0, len(key), 150_000)]
+    value = draw.random(len(key))
+    assert (pitmanyor._looked_up(gram, key, value) == value[np.searchsorted(key, gram)]).all()
+    assert len(pitmanyor._looked_up(gram[:0], key, value)) == 0
