@@ -153,3 +153,16 @@ def test_late_corrections_are_written_side_by_side(spark, monkeypatch):
     monkeypatch.setattr(type(spark.range(1)), "coalesce", refused)
     got = streams.stream_late_corrections(spark, FOLDER)
     assert 0 < got.where("pass_no = 1").count() == got.where("length(word) > 8 AND word LIKE '%*'").count() < got.count()
+
+
+def test_own_words_of_many_calls_share_state(spark, monkeypatch):
+    """State is kept for buckets of calls; a call without end marker is closed by the timer, whatever its bucket's other calls do."""
+    monkeypatch.setattr(live, "BUCKETS", 1)
+    schema = "call_id long, chunk_idx int, seq int, word string, start double, closes boolean, s long"
+    words = [(k, 0, i, f"w{i}", at, False, 1000) for k in (1, 2, None) for i, at in enumerate((3.0, 59.0))] + [(2, 0, 2, None, None, True, 1002)]
+    stamp = lambda rows: spark.createDataFrame(rows, schema).withColumn("at", F.timestamp_seconds("s")).drop("s")
+    stream = live.replay(stamp(words), 1, last=stamp([(3, 0, 0, "far", 1.0, False, 90_000)]))
+    live_ = live.own_words_live(stream, "10 seconds")
+    assert "_bucket" in live_._jdf.queryExecution().analyzed().toString()
+    got = sorted((r.call_id or 0, r.seq) for r in live.drain(live_).collect())
+    assert got == [(0, 0), (0, 1), (1, 0), (1, 1), (2, 0), (2, 1), (3, 0)]
