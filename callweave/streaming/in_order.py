@@ -10,6 +10,7 @@ quiet past the watermark: what waits is folded in order, gaps and all. A row see
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -23,6 +24,16 @@ from callweave.operators.words import join_words
 
 #: Calls share their state by hash, as a state call costs the same for one call as for thousands. The number must stay for a stream's lifetime.
 BUCKETS, FRAME_ROWS = 1024, 10_000
+#: Seconds of event time to a second of the clock that state works by. Python has times of nanoseconds, which end in 2262; by this clock they cover
+#: all that Spark has. Watermark and timers count milliseconds of the clock, whole seconds of event time.
+PACE = 1000
+
+
+def clocked(rows: DataFrame, at: str, delay: str) -> DataFrame:
+    """``rows`` with ``at`` by the clock, and its watermark."""
+    logical = rows.sparkSession._jvm.org.apache.spark.sql.catalyst
+    wait = logical.plans.logical.EventTimeWatermark.getDelayMs(logical.util.IntervalUtils.fromIntervalString(delay))
+    return rows.withColumn(at, F.timestamp_micros(F.unix_millis(at))).withWatermark(at, f"{-(-wait // PACE)} milliseconds")
 
 
 class Fold:
@@ -48,7 +59,7 @@ class Buffered(StatefulProcessor):
     carry_schema: T.StructType
     key_type: T.DataType
     out_names: list[str]
-    quiet_ms: int
+    quiet: int
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
@@ -101,13 +112,13 @@ class Buffered(StatefulProcessor):
         last: dict = {}
         for batch in rows:
             ids, positions = batch["call_id"].tolist(), batch["position"].tolist()
-            ats = [t.timestamp() for t in batch["at"].tolist()]
+            ats = batch["at"].astype("datetime64[ms]").astype("int64").tolist()
             columns = [self._values(batch[f.name], f) for f in self.row_schema.fields]
             for call, k, at, closes, row in zip(ids, positions, ats, batch["closes"].tolist(), zip(*columns)):
                 open_ = calls.get(call)
                 if open_ is None:
                     open_ = calls[call] = [0, -1, -1, self.fold.start()]
-                last[call] = max(last.get(call, 0), int(at * 1000))
+                last[call] = max(last.get(call, 0), at)
                 if closes:
                     open_[1] = max(open_[1], int(k))
                 elif k >= open_[0]:
@@ -121,7 +132,7 @@ class Buffered(StatefulProcessor):
                 del calls[call]
                 waiting.pop(call, None)
             else:
-                open_[2] = max(at, timerValues.getCurrentWatermarkInMs() + 1) + self.quiet_ms
+                open_[2] = max(at, timerValues.getCurrentWatermarkInMs() + 1) + self.quiet
                 if not mine:
                     waiting.pop(call, None)
             out += [(call, *r) for r in found]
@@ -154,9 +165,9 @@ def in_order(rows: DataFrame, fold: Fold, columns: list[str], delay: str, quiet:
     picked = rows.select("call_id", F.col("position").cast("long").alias("position"), "at", F.coalesce("closes", F.lit(False)).alias("closes"), *columns)
     payload = T.StructType([picked.schema[c] for c in columns])
     out = T.StructType([picked.schema["call_id"], *T.StructType.fromDDL(fold.out).fields])
-    processor = Buffered(fold, payload, T.StructType.fromDDL(fold.carry), picked.schema["call_id"].dataType, out.names, int(quiet * 1000))
+    processor = Buffered(fold, payload, T.StructType.fromDDL(fold.carry), picked.schema["call_id"].dataType, out.names, math.ceil(quiet * 1000 / PACE))
     bucket = F.pmod(F.xxhash64("call_id"), F.lit(BUCKETS)).cast("int")
-    return picked.withColumn("bucket", bucket).withWatermark("at", delay).groupBy("bucket").transformWithStateInPandas(processor, out, "append", "EventTime")
+    return clocked(picked.withColumn("bucket", bucket), "at", delay).groupBy("bucket").transformWithStateInPandas(processor, out, "append", "EventTime")
 
 
 def with_end_markers(rows: DataFrame, position: str, at: str) -> DataFrame:
