@@ -4,7 +4,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from callweave.functions import manypairs
+from callweave.functions import editdist, manypairs
 from callweave.functions.editdist import edit_distance
 from callweave.llm import components
 from callweave.plans import streams
@@ -50,3 +50,22 @@ def test_least_common_key_of_a_chunk():
     lists = [pa.array(z, pa.list_(pa.int64())) for z in (x, y)]
     want = [[any(k < 20 for k in set(p) & set(q)) for q in y] for p in x]
     assert components._sooner(*lists, 20).tolist() == want
+
+
+def test_distances_of_many_pairs():
+    """Texts and lists of words together as one by one; empty ones, equal ones, wide alphabets, and None past the budget or the most edits."""
+    draw = np.random.default_rng(9)
+    a, b = ["", "", "abc", "same text"], ["", "xy", "", "same text"]
+    for k in range(300):
+        letters = ("ab", "abcdefghijklm nopqrstuvwxyz", "aé漢字😀b c", "".join(map(chr, range(100, 900))))[k % 4]
+        text = [letters[i] for i in draw.integers(0, len(letters), draw.choice([1, 7, 8, 9, 30, 100, 300]))]
+        change = draw.random(len(text)) < draw.choice([0, 0.02, 0.1, 0.5, 1])
+        a.append("".join(text))
+        b.append("".join(x if not c else ("", "b", x + "c")[draw.integers(3)] for x, c in zip(text, change)))
+    want = [edit_distance(x, y) for x, y in zip(a, b)]
+    assert manypairs.distances(a, b, lambda n, m: 1e9) == want
+    assert manypairs.distances([list(x) for x in a], [list(x) for x in b], lambda n, m: 1e9) == want
+    some = manypairs.distances(a, b, lambda n, m: 6.0)
+    assert all(g is None or g == w for g, w in zip(some, want)) and None in some
+    assert manypairs.distances(["a" * 900], ["b" * 900], lambda n, m: 1e9) == [None]
+    assert editdist.edit_distances([*a, "a" * 900], [*b, "b" * 900]) == [*want, 900]
